@@ -52,10 +52,10 @@ NAME_DROPPED = "«»„\"“”'().,!?;:"
 # --- Dates a report cell may carry ------------------------------------------
 
 DATE_FORMATS = [
-    "yyyy-MM-dd",
-    "dd.MM.yyyy",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss",
+    "yyyy-M-d",
+    "d.M.yyyy",
+    "yyyy-M-d'T'H:m:s",
+    "yyyy-M-d H:m:s",
 ]
 
 # --- Contact extraction -----------------------------------------------------

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from firmament.functions import normalize as N
 
-EXISTING = F.lit(-1).cast("bigint")
+def before_all():
+    """Arrival number of what is already there; a function because columns need a session."""
+    return F.lit(-1).cast("bigint")
 
 
 def first_by(order: list, *values: str):
@@ -24,7 +26,7 @@ def upsert_sources(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 
     ``incoming(company_id, source_url, site_key, seen_at, ingest_seq)``.
     """
-    rows = existing.withColumn("seq", EXISTING).unionByName(
+    rows = existing.withColumn("seq", before_all()).unionByName(
         incoming.select(
             "company_id", "source_url", "site_key",
             F.col("seen_at").alias("first_seen_at"), F.col("seen_at").alias("last_seen_at"),
@@ -43,7 +45,7 @@ def upsert_sources(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 
 def _contact_rows(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Existing and new contacts with their identity: digits for phones, text for e-mails."""
-    rows = existing.withColumns({"seq": EXISTING, "pos": F.lit(0)}).unionByName(
+    rows = existing.withColumns({"seq": before_all(), "pos": F.lit(0)}).unionByName(
         incoming.select(
             "company_id", "contact_type", "value",
             F.col("seen_at").alias("first_seen_at"), F.col("seen_at").alias("last_seen_at"),
@@ -98,7 +100,7 @@ def new_contact_counts(inserted: DataFrame) -> DataFrame:
 
 def upsert_kpp(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Insert-or-ignore on (company_id, kpp); ``incoming(company_id, kpp, seen_at, ingest_seq)``."""
-    rows = existing.withColumn("seq", EXISTING).unionByName(
+    rows = existing.withColumn("seq", before_all()).unionByName(
         incoming.select("company_id", "kpp", F.col("seen_at").alias("first_seen_at"), F.col("ingest_seq").alias("seq"))
     )
     return (

@@ -19,22 +19,26 @@ def page_card_links(pages: DataFrame, rules: DataFrame) -> DataFrame:
     ``pages(site_key, page_no, html, ...)``; ``rules`` is the bounded rule table.
     """
 
+    def slug_of(path):
+        return F.call_function("regexp_extract", path, F.col("path_pattern"), F.lit(1))
+
     def accept(a):
         path = U.path(a["href"])
-        slug = F.regexp_extract(path, F.col("path_pattern"), 1)
+        slug = slug_of(path)
         by_class = F.col("link_class").isNull() | F.array_contains(
             F.split(a["class"], r"\s+"), F.col("link_class")
         )
-        by_slug = F.col("card_prefix").isNull() | (
+        # Rules without a prefix keep the path as it is; their pattern has no slug group.
+        by_slug = F.when(F.col("card_prefix").isNull(), F.lit(True)).otherwise(
             (slug != "") & ~F.array_contains(F.col("skip_slugs"), slug)
         )
-        return by_class & F.regexp_like(path, F.col("path_pattern")) & F.when(F.col("card_prefix").isNull(), True).otherwise(by_slug)
+        return by_class & F.regexp_like(path, F.col("path_pattern")) & by_slug
 
     def card_url(a):
         path = U.path(a["href"])
         return F.when(
             F.col("card_prefix").isNotNull(),
-            F.concat("origin", "card_prefix", F.regexp_extract(path, F.col("path_pattern"), 1), F.lit("/")),
+            F.concat("origin", "card_prefix", slug_of(path), F.lit("/")),
         ).otherwise(U.resolve(F.concat("origin", F.lit("/")), path))
 
     urls = F.array_distinct(F.transform(F.filter(H.links("html"), accept), card_url))

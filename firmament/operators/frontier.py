@@ -36,52 +36,52 @@ def state_of(completed, failures, max_attempts: int = fv.MAX_ATTEMPTS):
     )
 
 
-def fold_outcomes(outcomes: DataFrame, max_attempts: int = fv.MAX_ATTEMPTS) -> DataFrame:
-    """Frontier state of every URL from its outcome log (K1); a completion always wins."""
+def as_entries(outcomes: DataFrame) -> DataFrame:
+    """Log rows in the additive form that folds: flags and counts instead of an outcome."""
+    return outcomes.select(
+        "url", "event_id", "site_key",
+        (F.col("outcome") == COMPLETED).cast("int").alias("done"),
+        (F.col("outcome") == FAILED).cast("bigint").alias("failures"),
+        F.col("ts").cast("timestamp").alias("ts"),
+    )
+
+
+def combine_entries(entries: DataFrame) -> DataFrame:
+    """One entry per URL; combining combined entries again gives the same result."""
     return (
-        outcomes.groupBy("url")
+        entries.groupBy("url")
         .agg(
             F.min(F.struct("event_id", "site_key")).alias("f"),
-            F.max((F.col("outcome") == COMPLETED).cast("int")).alias("done"),
-            F.count_if(F.col("outcome") == FAILED).alias("attempts"),
-            F.max("ts").alias("updated_at"),
-        )
-        .select(
-            "url", "f.site_key",
-            state_of(F.col("done") == 1, F.col("attempts"), max_attempts).alias("status"),
-            F.col("attempts").cast("int").alias("attempts"),
-            "updated_at",
+            F.max("done").alias("done"),
+            F.sum("failures").alias("failures"),
+            F.max("ts").alias("ts"),
         )
+        .select("url", "f.event_id", "f.site_key", "done", "failures", "ts")
     )
 
 
+def entry_state(combined: DataFrame, max_attempts: int = fv.MAX_ATTEMPTS) -> DataFrame:
+    return combined.select(
+        "url", "site_key",
+        state_of(F.col("done") == 1, F.col("failures"), max_attempts).alias("status"),
+        F.col("failures").cast("int").alias("attempts"),
+        F.col("ts").alias("updated_at"),
+    )
+
+
+def fold_outcomes(outcomes: DataFrame, max_attempts: int = fv.MAX_ATTEMPTS) -> DataFrame:
+    """Frontier state of every URL from its outcome log (K1); a completion always wins."""
+    return entry_state(combine_entries(as_entries(outcomes)), max_attempts)
+
+
 def advance_frontier(frontier: DataFrame, outcomes: DataFrame, max_attempts: int = fv.MAX_ATTEMPTS) -> DataFrame:
-    """Existing frontier plus a new stretch of the outcome log; processing rows fall back to pending."""
-    state = frontier.select(
+    """Existing frontier plus a new stretch of the log; processing rows fall back to pending."""
+    known = frontier.select(
         "url", F.lit(-1).cast("bigint").alias("event_id"), "site_key",
         (F.col("status") == COMPLETED).cast("int").alias("done"),
         F.col("attempts").cast("bigint").alias("failures"), F.col("updated_at").alias("ts"),
     )
-    fresh = outcomes.select(
-        "url", "event_id", "site_key",
-        (F.col("outcome") == COMPLETED).cast("int").alias("done"),
-        (F.col("outcome") == FAILED).cast("bigint").alias("failures"), "ts",
-    )
-    return (
-        state.unionByName(fresh)
-        .groupBy("url")
-        .agg(
-            F.min(F.struct("event_id", "site_key")).alias("f"),
-            F.max("done").alias("done"),
-            F.sum("failures").alias("failures"),
-            F.max("ts").alias("updated_at"),
-        )
-        .select(
-            "url", "f.site_key",
-            state_of(F.col("done") == 1, F.col("failures"), max_attempts).alias("status"),
-            F.col("failures").cast("int").alias("attempts"), "updated_at",
-        )
-    )
+    return entry_state(combine_entries(known.unionByName(as_entries(outcomes))), max_attempts)
 
 
 def pending_batch(frontier: DataFrame, per_site: int) -> DataFrame:

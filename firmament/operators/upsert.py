@@ -73,7 +73,7 @@ def _join_companies_without_inn(keys: DataFrame, assigned: DataFrame, master: Ma
     )
     offered = cut(
         soft.select("company_id", "key", F.col("ingest_seq").alias("since"))
-        .unionByName(phone_keys(master).select("company_id", "key", C.EXISTING.alias("since")))
+        .unionByName(phone_keys(master).select("company_id", "key", C.before_all().alias("since")))
         .join(wanting, "key", "left_semi")
         .join(inn_holders, "company_id", "left_anti")
         .groupBy("key", "company_id")
@@ -123,7 +123,7 @@ def fold_companies(existing: DataFrame, assigned: DataFrame) -> DataFrame:
         F.col("scrape_date").alias("first_seen_at"), "last_seen_at", "scrape_date",
         F.col("ingest_seq").alias("seq"),
     )
-    rows = existing.withColumn("seq", C.EXISTING).unionByName(records)
+    rows = existing.withColumn("seq", C.before_all()).unionByName(records)
 
     def earliest(c):
         return F.min(F.when(F.col(c).isNotNull(), F.struct("seq", c)))[c].alias(c)

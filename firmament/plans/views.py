@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmament.operators.records import normalize_listings
-from firmament.schemas import Master
+from firmament.operators.upsert import apply_assigned
+from firmament.schemas import OFFICIAL, Master, empty_master
 from firmament.session import tune
 
 TABLES = ["nation", "customer", "orders", "events", "documents", "pages"]
@@ -38,7 +39,7 @@ SELECT source_url, site_key, ingest_seq, custkey, inn, name,
        regexp_replace(regexp_replace(lower(website), '^(https://)?(http://)?(www\\.)?', ''), '/+$', '') AS website,
        replace(phone, ' (fax)', '') AS phone,
        lower(email) AS email,
-       CASE WHEN length(replace(kpp, ' / ', '')) = 9 THEN kpp END AS kpp,
+       split_part(kpp, ' / ', 1) AS kpp,
        address, status_aggregator, scrape_date,
        lower(replace(replace(name, '"', ''), '.', '')) AS name_norm,
        concat('7495', CAST(1000000 + custkey AS VARCHAR(20))) AS fp
@@ -55,26 +56,28 @@ SELECT concat('u', CAST(user_id AS VARCHAR(20)), '/', CAST(event_id % 7 AS VARCH
 """
 
 # Registry answers of two providers in their own payload formats.
-FX_RESPONSES = """
-SELECT p.provider, CAST(7700000000 + c.c_custkey AS VARCHAR(20)) AS inn,
-       CAST('2024-06-01 12:00:00' AS TIMESTAMP) AS fetched_at,
-       CASE WHEN p.provider = 'A' THEN
-         CASE WHEN c.c_custkey % 10 = 0 THEN '{"suggestions":[]}' ELSE
-           concat('{"suggestions":[{"data":{"inn":"', CAST(7700000000 + c.c_custkey AS VARCHAR(20)),
-                  '","name":{"full_with_opf":"', CASE WHEN c.c_custkey % 4 = 0 THEN '' ELSE concat('FULL ', c.c_name) END,
-                  '","short_with_opf":"', c.c_name, '"},"management":{"name":"Head ', CAST(c.c_custkey AS VARCHAR(20)),
-                  '"},"address":{"value":"', c.c_mktsegment, ', 1"},"state":{"status":"',
-                  CASE c.c_custkey % 7 WHEN 0 THEN 'LIQUIDATED' WHEN 1 THEN 'BANKRUPT' WHEN 2 THEN 'REORGANIZING' WHEN 3 THEN 'OTHER' ELSE 'ACTIVE' END,
-                  '","liquidation_date":', CASE WHEN c.c_custkey % 7 = 0 THEN CAST(1600000000000 + c.c_custkey * 86400000 AS VARCHAR(20)) ELSE 'null' END,
-                  '}}}]}') END
-       ELSE
-         concat('{"rows":[{"i":"', CAST(7700000000 + c.c_custkey AS VARCHAR(20)), '","n":"', c.c_mktsegment, ' ', c.c_name,
-                '","g":"', CASE c.c_custkey % 5 WHEN 0 THEN 'ЛИКВИДАТОР: ' WHEN 1 THEN 'Конкурсный управляющий: ' WHEN 2 THEN '' ELSE 'ДИРЕКТОР: ' END,
-                'Chief ', CAST(c.c_custkey AS VARCHAR(20)), '"',
-                CASE WHEN c.c_custkey % 8 = 0 THEN ',"e":"17.06.2021"' ELSE '' END, '}]}')
-       END AS payload
-  FROM customer c JOIN (SELECT 'A' AS provider UNION ALL SELECT 'B' AS provider) p
-    ON (p.provider = 'A' AND c.c_custkey % 2 = 0) OR (p.provider = 'B' AND c.c_custkey % 3 <> 1)
+_NESTED_PAYLOAD = """CASE WHEN c_custkey % 10 = 0 THEN '{"suggestions":[]}' ELSE
+           concat('{"suggestions":[{"data":{"inn":"', CAST(7700000000 + c_custkey AS VARCHAR(20)),
+                  '","name":{"full_with_opf":"', CASE WHEN c_custkey % 4 = 0 THEN '' ELSE concat('FULL ', c_name) END,
+                  '","short_with_opf":"', c_name, '"},"management":{"name":"Head ', CAST(c_custkey AS VARCHAR(20)),
+                  '"},"address":{"value":"', c_mktsegment, ', 1"},"state":{"status":"',
+                  CASE c_custkey % 7 WHEN 0 THEN 'LIQUIDATED' WHEN 1 THEN 'BANKRUPT' WHEN 2 THEN 'REORGANIZING' WHEN 3 THEN 'OTHER' ELSE 'ACTIVE' END,
+                  '","liquidation_date":', CASE WHEN c_custkey % 7 = 0 THEN CAST(1600000000000 + c_custkey * 86400000 AS VARCHAR(20)) ELSE 'null' END,
+                  '}}}]}') END"""
+
+_ROW_PAYLOAD = """concat('{"rows":[{"i":"', CAST(7700000000 + c_custkey AS VARCHAR(20)), '","n":"', c_mktsegment, ' ', c_name,
+                '","g":"', CASE c_custkey % 5 WHEN 0 THEN 'ЛИКВИДАТОР: ' WHEN 1 THEN 'Конкурсный управляющий: ' WHEN 2 THEN '' ELSE 'ДИРЕКТОР: ' END,
+                'Chief ', CAST(c_custkey AS VARCHAR(20)), '"',
+                CASE WHEN c_custkey % 8 = 0 THEN ',"e":"17.06.2021"' ELSE '' END, '}]}')"""
+
+FX_RESPONSES = f"""
+SELECT 'A' AS provider, CAST(7700000000 + c_custkey AS VARCHAR(20)) AS inn, CAST('2024-06-01 12:00:00' AS TIMESTAMP) AS fetched_at,
+       {_NESTED_PAYLOAD} AS payload
+  FROM customer WHERE c_custkey % 2 = 0
+UNION ALL
+SELECT 'B' AS provider, CAST(7700000000 + c_custkey AS VARCHAR(20)) AS inn, CAST('2024-06-01 12:00:30' AS TIMESTAMP) AS fetched_at,
+       {_ROW_PAYLOAD} AS payload
+  FROM customer WHERE c_custkey % 3 <> 1
 """
 
 # A settled master: one company per customer with listings.
@@ -100,9 +103,9 @@ SELECT min(ingest_seq) AS company_id, max(inn) AS inn,
 """
 
 FX_SOURCES = f"""
-SELECT min(ingest_seq) OVER (PARTITION BY custkey) AS company_id, source_url, site_key,
-       scrape_date AS first_seen_at, scrape_date AS last_seen_at
+SELECT f.company_id, l.source_url, l.site_key, l.scrape_date AS first_seen_at, l.scrape_date AS last_seen_at
   FROM ({FX_NORMALIZED}) l
+  JOIN (SELECT o_custkey, min(o_orderkey) AS company_id FROM orders GROUP BY o_custkey) f ON f.o_custkey = l.custkey
 """
 
 FX_CONTACTS = f"""
@@ -133,6 +136,20 @@ SELECT ingest_seq AS company_id, inn, name, website, address, status_aggregator,
   FROM ({FX_NORMALIZED}) l
 """
 
+# Repeated copies of pages: one cache entry per host, several on some days.
+FX_SNAPSHOTS = """
+SELECT regexp_extract(url, '//([^/?#]+)', 1) AS url, page_id,
+       CAST('2024-01-01 00:00:00' AS TIMESTAMP) + CAST(page_id AS INTEGER) * INTERVAL 7 HOUR AS fetched_at, html
+  FROM pages
+"""
+
+# Listing pages of ten catalogues.
+FX_CATALOG = """
+SELECT concat('site', CAST(page_id % 10 AS VARCHAR(20))) AS site_key,
+       CAST((page_id - page_id % 10) / 10 + 1 AS INTEGER) AS page_no, html
+  FROM pages
+"""
+
 # Landed pages of company sites: the main page and a contact page, some on http only.
 FX_SITE_PAGES = """
 SELECT concat(CASE WHEN page_id % 3 = 0 THEN 'http' ELSE 'https' END, '://site', CAST(page_id AS VARCHAR(20)), '.example.net') AS url, html
@@ -184,13 +201,9 @@ def raw_master(spark: SparkSession) -> Master:
     """Every normalised record as its own company with its own children."""
     rows = normalized(spark).withColumn("company_id", F.col("ingest_seq"))
     text = F.lit(None).cast("string")
-    official = [
-        "status_official", "inn_verified", "legal_name_official", "official_verified_at",
-        "provider_name", "liquidation_date", "director_official", "address_official",
-    ]
     companies = rows.select(
         "company_id", "inn", "ogrn", "registration_date", "name", "legal_name", "director", "address",
-        "website", "status_aggregator", *[text.alias(c) for c in official],
+        "website", "status_aggregator", *[text.alias(c) for c in OFFICIAL],
         F.col("scrape_date").alias("first_seen_at"), "last_seen_at", "scrape_date",
     )
     seen = [F.col("scrape_date").alias("first_seen_at"), F.col("scrape_date").alias("last_seen_at")]
@@ -210,7 +223,9 @@ def master_of(spark: SparkSession, before: str) -> Master:
     """Settled master over the records scraped before a date: one company per customer."""
     rows = normalized(spark).filter(F.col("scrape_date") < before)
     founded = rows.groupBy("custkey").agg(F.min("ingest_seq").alias("company_id"))
-    from firmament.operators.upsert import apply_assigned
-    from firmament.schemas import empty_master
-
     return apply_assigned(rows.join(founded, "custkey").drop("custkey"), empty_master(spark))
+
+
+def incoming(spark: SparkSession, since: str) -> DataFrame:
+    """Records scraped on or after a date."""
+    return normalized(spark).filter(F.col("scrape_date") >= since).drop("custkey")
