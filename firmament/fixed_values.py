@@ -44,6 +44,14 @@ OGRN_LENGTHS = [13, 15]
 KPP_LENGTH = 9
 MIN_PHONE_DIGITS = 7
 
+# --- White space that is stripped from texts ----------------------------------
+
+WHITE_SPACE = (
+    "\t\n\u000b\u000c\r\u001c\u001d\u001e\u001f \u0085\u00a0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 # --- Names ------------------------------------------------------------------
 
 NAME_DASHES = "-–—"

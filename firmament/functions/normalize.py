@@ -23,7 +23,7 @@ def let(value: Column, body) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Trim Unicode white space; ``F.trim`` would only remove U+0020."""
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+\z", "")
+    return F.btrim(col(c), F.lit(fv.WHITE_SPACE))
 
 
 def blank_to_null(c: Column | str) -> Column:

@@ -21,14 +21,20 @@ def winner_rank():
     return F.struct(F.col("inn").isNull().alias("no_inn"), F.col("company_id"))
 
 
+def winner_id():
+    """First member in that order, from two plain minima."""
+    with_inn = F.min(F.when(F.col("inn").isNotNull(), F.col("company_id")))
+    return F.coalesce(with_inn, F.min("company_id")).alias("winner_id")
+
+
 def website_id_map(companies: DataFrame) -> DataFrame:
     """Losers of every group of equal website."""
     sited = companies.filter(F.col("website").isNotNull()).select("company_id", "inn", "website")
     winners = (
         sited.groupBy("website")
-        .agg(F.min(winner_rank()).alias("w"), F.count("*").alias("n"))
+        .agg(winner_id(), F.count("*").alias("n"))
         .filter(F.col("n") > 1)
-        .select("website", F.col("w.company_id").alias("winner_id"))
+        .drop("n")
     )
     return (
         sited.join(winners, "website")
@@ -68,7 +74,7 @@ def name_phone_id_map(master: Master) -> DataFrame:
     named = master.companies.select("company_id", "inn", N.normalize_name("name").alias("key")).join(
         members, "company_id"
     )
-    winners = named.groupBy("component").agg(F.min(winner_rank())["company_id"].alias("winner_id"))
+    winners = named.groupBy("component").agg(winner_id())
     return (
         named.join(winners, "component")
         .filter(F.col("company_id") != F.col("winner_id"))

@@ -114,10 +114,14 @@ def candidates(listings: DataFrame, master: Master, levels: list[int] | None = N
 
 def match_batch(listings: DataFrame, master: Master) -> DataFrame:
     """First level that hits for every record; nulls when the company is new."""
-    best = (
-        candidates(listings, master)
-        .groupBy("ingest_seq")
-        .agg(F.min(F.struct("level", "company_id")).alias("hit"))
-        .select("ingest_seq", F.col("hit.level").alias("matched_level"), "hit.company_id")
+    numbers = list(LEVELS.values())
+    per_level = candidates(listings, master).groupBy("ingest_seq").agg(
+        *[F.min(F.when(F.col("level") == n, F.col("company_id"))).alias(f"id_{n}") for n in numbers]
+    )
+    ids = [F.col(f"id_{n}") for n in numbers]
+    best = per_level.select(
+        "ingest_seq",
+        F.coalesce(*[F.when(i.isNotNull(), F.lit(n)) for i, n in zip(ids, numbers)]).alias("matched_level"),
+        F.coalesce(*ids).alias("company_id"),
     )
     return listings.select("ingest_seq").join(best, "ingest_seq", "left")

@@ -19,42 +19,48 @@ from pyspark.sql import functions as F
 
 from firmament.operators import children as C
 from firmament.operators.graph import chase_pointers
-from firmament.operators.match import NAME_PHONE, company_keys, key_index, phone_keys, record_keys
+from firmament.operators.match import INN, NAME_PHONE, SOURCE, WEBSITE, company_keys, key_index, phone_keys, record_keys
 from firmament.schemas import COMPANIES, FRESH, IMMUTABLE, OFFICIAL, Master
 from firmament.session import cut
 
-KNOWN, BATCH = 0, 1
+def parent_pointers(keys: DataFrame, master: Master) -> DataFrame:
+    """``(node, root, parent)``: the known company or the earlier record a record follows.
 
-
-def parent_pointers(keys: DataFrame, listings: DataFrame, master: Master) -> DataFrame:
-    """``(node, root, parent)``: the known company or the earlier record a record follows."""
-    index = key_index(company_keys(master)).select("level", "key", F.col("any_id").alias("known"))
-    earliest = keys.groupBy("level", "key").agg(F.min("ingest_seq").alias("first_seq"))
-    joint = (
-        index.withColumn("first_seq", F.lit(None).cast("bigint"))
-        .unionByName(earliest.withColumn("known", F.lit(None).cast("bigint")))
-        .groupBy("level", "key")
-        .agg(F.min("known").alias("known"), F.min("first_seq").alias("first_seq"))
+    Every record has a source key, so the keys alone name all records.
+    """
+    known = key_index(company_keys(master)).select(
+        "level", "key", F.col("any_id").alias("known"), F.lit(None).cast("bigint").alias("first_seq")
+    )
+    own = keys.select("level", "key", F.lit(None).cast("bigint").alias("known"), F.col("ingest_seq").alias("first_seq"))
+    index = known.unionByName(own).groupBy("level", "key").agg(
+        F.min("known").alias("known"), F.min("first_seq").alias("first_seq")
     )
     earlier = F.when(F.col("first_seq") < F.col("ingest_seq"), F.col("first_seq"))
+    levels = [INN, WEBSITE, SOURCE, NAME_PHONE]
+
+    def lowest(level, target):
+        return F.min(F.when(F.col("level") == level, target))
+
+    # Plain minima per level aggregate by hash and combine before the shuffle.
     hits = (
         keys.filter(~((F.col("level") == NAME_PHONE) & F.col("has_inn")))
-        .join(joint, ["level", "key"])
-        .select(
-            "ingest_seq", "level",
-            F.when(F.col("known").isNotNull(), F.lit(KNOWN)).otherwise(F.lit(BATCH)).alias("kind"),
-            F.coalesce("known", earlier).alias("target"),
-        )
-        .filter(F.col("target").isNotNull())
+        .join(index, ["level", "key"])
         .groupBy("ingest_seq")
-        .agg(F.min(F.struct("level", "kind", "target")).alias("hit"))
+        .agg(
+            *[lowest(n, F.col("known")).alias(f"known_{n}") for n in levels],
+            *[lowest(n, earlier).alias(f"batch_{n}") for n in levels],
+        )
     )
-    return listings.select("ingest_seq").join(hits, "ingest_seq", "left").select(
+    root, parent, missed = F.lit(None).cast("bigint"), F.lit(None).cast("bigint"), F.lit(True)
+    for n in levels:
+        known_n, batch_n = F.col(f"known_{n}"), F.col(f"batch_{n}")
+        root = F.when(missed & known_n.isNotNull(), known_n).otherwise(root)
+        parent = F.when(missed & known_n.isNull(), batch_n).otherwise(parent)
+        missed = missed & known_n.isNull() & batch_n.isNull()
+    return hits.select(
         F.col("ingest_seq").alias("node"),
-        F.when(F.col("hit").isNull(), F.col("ingest_seq"))
-        .when(F.col("hit.kind") == KNOWN, F.col("hit.target"))
-        .alias("root"),
-        F.when(F.col("hit.kind") == BATCH, F.col("hit.target")).alias("parent"),
+        F.when(missed, F.col("ingest_seq")).otherwise(root).alias("root"),
+        parent.alias("parent"),
     )
 
 
@@ -99,7 +105,7 @@ def _join_companies_without_inn(keys: DataFrame, assigned: DataFrame, master: Ma
 def assign_companies(listings: DataFrame, master: Master) -> DataFrame:
     """``(ingest_seq, company_id)`` for every record of a normalised batch."""
     keys = cut(record_keys(listings))
-    assigned = chase_pointers(parent_pointers(keys, listings, master)).select(
+    assigned = chase_pointers(parent_pointers(keys, master)).select(
         F.col("node").alias("ingest_seq"), F.col("root").alias("company_id")
     )
     joined = _join_companies_without_inn(keys, assigned, master).select(
@@ -157,6 +163,11 @@ def apply_assigned(assigned: DataFrame, master: Master) -> Master:
 
 
 def upsert_batch(listings: DataFrame, master: Master) -> Master:
-    """Resolve a normalised batch against the master and merge it in (M2)."""
+    """Resolve a normalised batch against the master and merge it in (M2).
+
+    The batch is materialised first: it is read for its keys and again for every
+    table, and behind it may lie the parsing of pages.
+    """
+    listings = cut(listings)
     assigned = listings.join(assign_companies(listings, master), "ingest_seq")
     return apply_assigned(cut(assigned), master)

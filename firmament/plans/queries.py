@@ -297,7 +297,7 @@ def upsert_kpp(spark):
 
 def _founded(spark):
     """All records of a customer under the first one's id."""
-    rows = views.normalized(spark)
+    rows = cut(views.normalized(spark))
     ids = rows.groupBy("custkey").agg(F.min("ingest_seq").alias("company_id"))
     return rows.join(ids, "custkey").drop("custkey")
 

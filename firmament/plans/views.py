@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from firmament.operators.records import normalize_listings
 from firmament.operators.upsert import apply_assigned
 from firmament.schemas import OFFICIAL, Master, empty_master
-from firmament.session import tune
+from firmament.session import cut, tune
 
 TABLES = ["nation", "customer", "orders", "events", "documents", "pages"]
 
+# Tables whose rows go through parsing or normalisation.
+HEAVY = {"orders", "pages", "documents"}
+
 # Company records: several listings per customer, spelling varied on purpose.
 FX_LISTINGS = """
 SELECT concat('http://site', CAST(o.o_orderkey % 4 AS VARCHAR(20)), '.example.net/card/', CAST(o.o_orderkey AS VARCHAR(20))) AS source_url,
@@ -164,10 +167,21 @@ def load(spark: SparkSession, sf_dir: str) -> SparkSession:
     """Register the given tables as views of the session."""
     tune(spark)
     for table in TABLES:
-        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+        spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"), table).createOrReplaceTempView(table)
     return spark
 
 
+def spread(df: DataFrame, table: str) -> DataFrame:
+    """Give every core work when a table whose rows are costly to process is one small file.
+
+    A table with at least as many splits as cores is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if table not in HEAVY or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def listings(spark: SparkSession) -> DataFrame:
     """Raw company records of the LISTINGS schema."""
     text = F.lit(None).cast("string")
@@ -199,7 +213,7 @@ def master(spark: SparkSession) -> Master:
 
 def raw_master(spark: SparkSession) -> Master:
     """Every normalised record as its own company with its own children."""
-    rows = normalized(spark).withColumn("company_id", F.col("ingest_seq"))
+    rows = cut(normalized(spark).withColumn("company_id", F.col("ingest_seq")))
     text = F.lit(None).cast("string")
     companies = rows.select(
         "company_id", "inn", "ogrn", "registration_date", "name", "legal_name", "director", "address",
@@ -221,9 +235,10 @@ def raw_master(spark: SparkSession) -> Master:
 
 def master_of(spark: SparkSession, before: str) -> Master:
     """Settled master over the records scraped before a date: one company per customer."""
-    rows = normalized(spark).filter(F.col("scrape_date") < before)
+    rows = cut(normalized(spark).filter(F.col("scrape_date") < before))
     founded = rows.groupBy("custkey").agg(F.min("ingest_seq").alias("company_id"))
-    return apply_assigned(rows.join(founded, "custkey").drop("custkey"), empty_master(spark))
+    settled = apply_assigned(rows.join(founded, "custkey").drop("custkey"), empty_master(spark))
+    return Master(**{name: cut(df) for name, df in settled.tables().items()})
 
 
 def incoming(spark: SparkSession, since: str) -> DataFrame:
