@@ -26,25 +26,38 @@ def name_phone_key(name, fingerprint):
     return F.concat_ws("\u001f", name, fingerprint)
 
 
-def record_keys(listings: DataFrame) -> DataFrame:
-    """``(ingest_seq, has_inn, level, key)`` rows of normalised records."""
-    name = F.when(F.col("name") != "", N.normalize_name("name"))
+def key_record(listings: DataFrame) -> DataFrame:
+    """What identifies a record: ``(ingest_seq, inn, website, source_url, name_norm, fps)``."""
+    return listings.select(
+        "ingest_seq", "inn", "website", "source_url",
+        F.when(F.col("name") != "", N.normalize_name("name")).alias("name_norm"),
+        N.fingerprints("phones").alias("fps"),
+    )
+
+
+def filled(entries):
+    """Entries whose key is neither null nor empty."""
+    return F.filter(entries, lambda e: F.coalesce(e["key"], F.lit("")) != "")
+
+
+def soft_entries(name, fps):
+    """Name-and-phone entries; none for a record without a name."""
+    return F.transform(fps, lambda fp: _entry(NAME_PHONE, F.when(name.isNotNull(), name_phone_key(name, fp))))
+
+
+def explode_keys(records: DataFrame) -> DataFrame:
+    """``(ingest_seq, has_inn, level, key)`` rows of key records."""
     single = F.array(
         _entry(INN, F.col("inn")),
         _entry(WEBSITE, F.col("website")),
         _entry(SOURCE, F.col("source_url")),
     )
-    soft = N.let(
-        name,
-        lambda n: F.transform(
-            N.fingerprints("phones"),
-            lambda fp: _entry(NAME_PHONE, F.when(n.isNotNull(), name_phone_key(n, fp))),
-        ),
-    )
-    keys = F.filter(F.concat(single, soft), lambda e: F.coalesce(e["key"], F.lit("")) != "")
-    return listings.select(
-        "ingest_seq", F.col("inn").isNotNull().alias("has_inn"), F.inline(keys)
-    )
+    keys = filled(F.concat(single, soft_entries(F.col("name_norm"), F.col("fps"))))
+    return records.select("ingest_seq", F.col("inn").isNotNull().alias("has_inn"), F.inline(keys))
+
+
+def record_keys(listings: DataFrame) -> DataFrame:
+    return explode_keys(key_record(listings))
 
 
 def phone_keys(master: Master) -> DataFrame:
@@ -69,7 +82,7 @@ def company_keys(master: Master) -> DataFrame:
     by_field = master.companies.select(
         "company_id",
         F.col("inn").isNotNull().alias("has_inn"),
-        F.inline(F.filter(own, lambda e: F.coalesce(e["key"], F.lit("")) != "")),
+        F.inline(filled(own)),
     )
     by_source = master.sources.select(
         "company_id", F.lit(None).cast("boolean").alias("has_inn"),

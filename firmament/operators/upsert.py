@@ -1,119 +1,262 @@
 """Batch card upsert: assign records to companies, fold fields, upsert child tables (M1-M4).
 
-A batch means "these cards, one after another in ``ingest_seq`` order":
-
-1. every record looks for the first cascade level that hits a known company or an
-   earlier record of the batch, which gives it at most one parent;
-2. pointer chasing turns parents into companies.  A record without a parent founds
-   a company and its ``ingest_seq`` becomes the ``company_id``: unique, stable over
-   re-runs and ordered by arrival;
-3. a company founded by a record with inn may still join one company without inn
-   over name and phone; each such company accepts its earliest claimant only;
-4. one aggregation per table folds existing and new values.
+A batch means "these cards, one after another in ``ingest_seq`` order", although all
+of them are resolved at once:
+
+* A record follows the first cascade level on which some company held its key before
+  it arrived, and there the oldest such company.  That gives every record at most one
+  parent, and pointer chasing turns parents into companies.
+* A record without a parent founds a company and its ``ingest_seq`` becomes the
+  ``company_id``: unique, stable over re-runs and ordered by arrival.
+* Which keys a company holds, and from when, depends on its earlier records: the first
+  inn and the first website count, a name also counts with phones from other records,
+  and a company is open for a foreign inn only until it has one.  So the step is
+  repeated with the keys of the companies found, until no parent changes.  A decision
+  depends on earlier records only, hence there is one fixpoint and the rounds reach it.
+
+Only narrow key rows take part; afterwards one aggregation per table folds existing
+and new values.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from firmament.functions import normalize as N
 from firmament.operators import children as C
 from firmament.operators.graph import chase_pointers
-from firmament.operators.match import INN, NAME_PHONE, SOURCE, WEBSITE, company_keys, key_index, phone_keys, record_keys
+from firmament.operators.match import (
+    INN,
+    LEVELS,
+    NAME_PHONE,
+    SOURCE,
+    WEBSITE,
+    company_keys,
+    explode_keys,
+    filled,
+    key_record,
+    soft_entries,
+)
 from firmament.schemas import COMPANIES, FRESH, IMMUTABLE, OFFICIAL, Master
 from firmament.session import cut
 
-def parent_pointers(keys: DataFrame, master: Master) -> DataFrame:
-    """``(node, root, parent)``: the known company or the earlier record a record follows.
+MAX_ROUNDS = 50
+NEVER = 2**62
+KNOWN_SEQ = -1
+
+# Inside this module known companies carry their id minus OFFSET: negative, hence
+# older than any company the batch founds.
+OFFSET = 2**62
+
+# Arrival numbers per slice; a slice of one key can hold no more records than that.
+SLICE = 100_000
+
+
+def known_code(company_id: Column) -> Column:
+    return company_id - F.lit(OFFSET)
+
+
+def company_of(code: Column) -> Column:
+    return F.when(code < 0, code + F.lit(OFFSET)).otherwise(code)
+
+
+def known_offers(wanted: DataFrame, master: Master) -> DataFrame:
+    """``(level, key, company_id, open)``: per wanted key the lowest known company, and the
+    lowest one without inn."""
+    asked = wanted.select("level", "key").distinct()
+    index = (
+        company_keys(master)
+        .join(asked, ["level", "key"], "left_semi")
+        .groupBy("level", "key")
+        .agg(
+            F.min("company_id").alias("any_id"),
+            F.min(F.when(~F.col("has_inn"), F.col("company_id"))).alias("open_id"),
+        )
+    )
+    offers = F.array(
+        F.struct(F.col("any_id").alias("company_id"), F.lit(False).alias("open")),
+        F.struct(
+            F.when(F.col("level") == NAME_PHONE, F.col("open_id")).alias("company_id"), F.lit(True).alias("open")
+        ),
+    )
+    return (
+        index.select("level", "key", F.inline(offers))
+        .filter(F.col("company_id").isNotNull())
+        .withColumn("company_id", known_code(F.col("company_id")))
+    )
+
 
-    Every record has a source key, so the keys alone name all records.
+def known_members(offers: DataFrame, master: Master) -> DataFrame:
+    """Known companies the batch may touch, in the shape of key records that came before it.
+
+    A company that has no name yet also brings its phones, one per row.
     """
-    known = key_index(company_keys(master)).select(
-        "level", "key", F.col("any_id").alias("known"), F.lit(None).cast("bigint").alias("first_seq")
+    touched = offers.select(company_of(F.col("company_id")).alias("company_id")).distinct()
+    companies = master.companies.join(touched, "company_id", "left_semi").select(
+        "company_id", "inn", "website", F.when(F.col("name") != "", N.normalize_name("name")).alias("name_norm")
+    )
+    phones = (
+        master.contacts.filter(F.col("contact_type") == "phone")
+        .select("company_id", N.digits("value").alias("fp"))
+        .filter(N.usable_fingerprint(F.col("fp")))
     )
-    own = keys.select("level", "key", F.lit(None).cast("bigint").alias("known"), F.col("ingest_seq").alias("first_seq"))
-    index = known.unionByName(own).groupBy("level", "key").agg(
-        F.min("known").alias("known"), F.min("first_seq").alias("first_seq")
+    no_phone = F.array().cast("array<string>")
+    nameless = companies.filter(F.col("name_norm").isNull()).join(phones, "company_id")
+    members = companies.withColumn("fps", no_phone).unionByName(
+        nameless.withColumn("fps", F.array("fp")).drop("fp")
     )
-    earlier = F.when(F.col("first_seq") < F.col("ingest_seq"), F.col("first_seq"))
-    levels = [INN, WEBSITE, SOURCE, NAME_PHONE]
+    return members.select(
+        known_code(F.col("company_id")).alias("company_id"), F.lit(KNOWN_SEQ).cast("bigint").alias("seq"), "inn", "website",
+        F.lit(None).cast("string").alias("source_url"), "name_norm", "fps",
+    )
+
+
+def company_marks(rows: DataFrame) -> DataFrame:
+    """First inn, website and name of every company and when each came."""
+
+    def first(c):
+        return F.min(F.when(F.col(c).isNotNull(), F.struct("seq", c)))
+
+    return (
+        rows.groupBy("company_id")
+        .agg(first("inn").alias("i"), first("website").alias("w"), first("name_norm").alias("n"))
+        .select(
+            "company_id",
+            F.col("i.inn").alias("own_inn"), F.coalesce("i.seq", F.lit(NEVER)).alias("inn_since"),
+            F.col("w.website").alias("own_website"),
+            F.col("n.name_norm").alias("own_name"), F.col("n.seq").alias("name_since"),
+        )
+    )
+
+
+def held_keys(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """``(level, key, since, company_id, inn_since)``: keys a company holds and from which arrival on."""
 
-    def lowest(level, target):
-        return F.min(F.when(F.col("level") == level, target))
+    def entry(level, key, since):
+        return F.struct(F.lit(level).alias("level"), key.alias("key"), since.alias("since"))
 
-    # Plain minima per level aggregate by hash and combine before the shuffle.
-    hits = (
-        keys.filter(~((F.col("level") == NAME_PHONE) & F.col("has_inn")))
-        .join(index, ["level", "key"])
-        .groupBy("ingest_seq")
+    seq = F.col("seq")
+    single = F.array(
+        entry(INN, F.when(F.col("inn") == F.col("own_inn"), F.col("inn")), seq),
+        entry(WEBSITE, F.when(F.col("website") == F.col("own_website"), F.col("website")), seq),
+        entry(SOURCE, F.col("source_url"), seq),
+    )
+    own = F.transform(
+        soft_entries(F.col("name_norm"), F.col("fps")), lambda e: F.struct(e["level"], e["key"], seq.alias("since"))
+    )
+    # The company's name also goes with phones that came without it.
+    borrowed = F.transform(
+        soft_entries(F.when(~F.col("own_name").eqNullSafe(F.col("name_norm")), F.col("own_name")), F.col("fps")),
+        lambda e: F.struct(e["level"], e["key"], F.greatest(seq, F.col("name_since")).alias("since")),
+    )
+    return rows.join(marks, "company_id").select(
+        "company_id", "inn_since", F.inline(filled(F.concat(single, own, borrowed)))
+    )
+
+
+def oldest_holders(wanted: DataFrame, offers: DataFrame) -> DataFrame:
+    """Oldest company that held a wanted key before the record arrived.
+
+    A running minimum over the arrivals of a key, taken in slices: inside a slice
+    over its rows, across slices over one minimum each.  So a key that a third of
+    all records share is still worked on in bounded groups.
+    """
+    none = F.lit(None).cast("bigint")
+    events = offers.select(
+        "level", "key", F.col("since").alias("at"), F.lit(1).alias("side"), F.col("company_id").alias("holder"),
+        none.alias("ingest_seq"),
+    ).unionByName(
+        wanted.select(
+            "level", "key", F.col("ingest_seq").alias("at"), F.lit(0).alias("side"), none.alias("holder"), "ingest_seq"
+        )
+    ).withColumn("slice", F.floor(F.col("at") / F.lit(SLICE)))
+    inside = Window.partitionBy("level", "key", "slice").orderBy("at", "side").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("level", "key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = (
+        events.groupBy("level", "key", "slice")
+        .agg(F.min("holder").alias("low"))
+        .select("level", "key", "slice", F.min("low").over(before).alias("earlier"))
+        .filter(F.col("earlier").isNotNull())
+    )
+    return (
+        events.withColumn("near", F.min("holder").over(inside))
+        .filter(F.col("side") == 0)
+        .join(slices, ["level", "key", "slice"], "left")
+        .select("ingest_seq", "level", F.least("near", "earlier").alias("holder"))
+    )
+
+
+def open_holders(wanted: DataFrame, offers: DataFrame) -> DataFrame:
+    """Company without inn that held a wanted name-and-phone key when the record arrived."""
+    spot = F.struct("company_id", "since", "inn_since")
+    spots = (
+        offers.filter((F.col("level") == NAME_PHONE) & (F.col("inn_since") > F.col("since")))
+        .groupBy("level", "key")
         .agg(
-            *[lowest(n, F.col("known")).alias(f"known_{n}") for n in levels],
-            *[lowest(n, earlier).alias(f"batch_{n}") for n in levels],
+            F.min(spot).alias("oldest"),
+            F.min(F.struct("since", spot.alias("spot")))["spot"].alias("first"),
+            F.max(F.struct("inn_since", (-F.col("company_id")).alias("age"), spot.alias("spot")))["spot"].alias("longest"),
         )
     )
-    root, parent, missed = F.lit(None).cast("bigint"), F.lit(None).cast("bigint"), F.lit(True)
-    for n in levels:
-        known_n, batch_n = F.col(f"known_{n}"), F.col(f"batch_{n}")
-        root = F.when(missed & known_n.isNotNull(), known_n).otherwise(root)
-        parent = F.when(missed & known_n.isNull(), batch_n).otherwise(parent)
-        missed = missed & known_n.isNull() & batch_n.isNull()
+
+    def fits(c):
+        return (F.col(f"{c}.since") < F.col("ingest_seq")) & (F.col(f"{c}.inn_since") >= F.col("ingest_seq"))
+
+    choice = F.coalesce(*[F.when(fits(c), F.col(f"{c}.company_id")) for c in ("oldest", "first", "longest")])
+    return wanted.join(spots, ["level", "key"]).select("ingest_seq", "level", choice.alias("holder"))
+
+
+def parent_pointers(wanted: DataFrame, held: DataFrame, known: DataFrame, marks: DataFrame) -> DataFrame:
+    """``(node, root, parent)``: the known company or the founding record a record follows."""
+    fixed = known.join(marks.select("company_id", "inn_since"), "company_id", "left").select(
+        "level", "key", F.lit(KNOWN_SEQ).cast("bigint").alias("since"), "company_id",
+        F.when(F.col("open"), F.coalesce("inn_since", F.lit(NEVER))).otherwise(F.lit(KNOWN_SEQ)).alias("inn_since"),
+    )
+    offers = held.select("level", "key", "since", "company_id", "inn_since").unionByName(fixed)
+    guarded = (F.col("level") == NAME_PHONE) & F.col("has_inn")
+    found = oldest_holders(wanted.filter(~guarded), offers).unionByName(
+        open_holders(wanted.filter(guarded), offers)
+    )
+    levels = list(LEVELS.values())
+    # Every record has a source key, so this names all records.  Plain minima per
+    # level aggregate by hash and combine before the shuffle.
+    hits = found.groupBy("ingest_seq").agg(
+        *[F.min(F.when(F.col("level") == n, F.col("holder"))).alias(f"holder_{n}") for n in levels]
+    )
+    holder = F.coalesce(*[F.col(f"holder_{n}") for n in levels])
     return hits.select(
         F.col("ingest_seq").alias("node"),
-        F.when(missed, F.col("ingest_seq")).otherwise(root).alias("root"),
-        parent.alias("parent"),
-    )
-
-
-def _join_companies_without_inn(keys: DataFrame, assigned: DataFrame, master: Master) -> DataFrame:
-    """``(claimant, company_id)`` accepted between new companies with inn and companies without."""
-    owned = keys.join(assigned, "ingest_seq")
-    inn_holders = (
-        owned.filter(F.col("has_inn")).select("company_id")
-        .unionByName(master.companies.filter(F.col("inn").isNotNull()).select("company_id"))
-        .distinct()
-    )
-    soft = owned.filter(F.col("level") == NAME_PHONE)
-    wanting = cut(
-        soft.filter(F.col("has_inn") & (F.col("company_id") == F.col("ingest_seq")))
-        .select(F.col("ingest_seq").alias("claimant"), "key")
-    )
-    offered = cut(
-        soft.select("company_id", "key", F.col("ingest_seq").alias("since"))
-        .unionByName(phone_keys(master).select("company_id", "key", C.before_all().alias("since")))
-        .join(wanting, "key", "left_semi")
-        .join(inn_holders, "company_id", "left_anti")
-        .groupBy("key", "company_id")
-        .agg(F.min("since").alias("since"))
-    )
-    accepted = None
-    while True:
-        first_offer = offered.groupBy("key").agg(F.min(F.struct("since", "company_id")).alias("offer"))
-        deals = cut(
-            wanting.join(first_offer, "key")
-            .filter(F.col("offer.since") < F.col("claimant"))
-            .groupBy("claimant").agg(F.min("offer").alias("offer"))
-            .groupBy(F.col("offer.company_id").alias("company_id"))
-            .agg(F.min("claimant").alias("claimant"))
-        )
-        accepted = deals if accepted is None else accepted.unionByName(deals)
-        if deals.isEmpty():
-            return accepted
-        wanting = cut(wanting.join(deals.select("claimant"), "claimant", "left_anti"))
-        offered = cut(offered.join(deals.select("company_id"), "company_id", "left_anti"))
+        F.when(holder.isNull(), F.col("ingest_seq")).when(holder < 0, holder).alias("root"),
+        F.when(holder >= 0, holder).alias("parent"),
+    )
 
 
 def assign_companies(listings: DataFrame, master: Master) -> DataFrame:
     """``(ingest_seq, company_id)`` for every record of a normalised batch."""
-    keys = cut(record_keys(listings))
-    assigned = chase_pointers(parent_pointers(keys, master)).select(
-        F.col("node").alias("ingest_seq"), F.col("root").alias("company_id")
-    )
-    joined = _join_companies_without_inn(keys, assigned, master).select(
-        F.col("claimant").alias("company_id"), F.col("company_id").alias("joined_id")
-    )
-    return assigned.join(joined, "company_id", "left").select(
-        "ingest_seq", F.coalesce("joined_id", "company_id").alias("company_id")
-    )
+    records = cut(key_record(listings))
+    wanted = explode_keys(records)
+    known = cut(known_offers(wanted, master))
+    members = cut(known_members(known, master))
+    assigned = records.select("ingest_seq", F.col("ingest_seq").alias("company_id"))
+    pointers = None
+    for _ in range(MAX_ROUNDS):
+        rows = records.join(assigned, "ingest_seq").withColumnRenamed("ingest_seq", "seq").unionByName(members)
+        marks = company_marks(rows)
+        following = cut(parent_pointers(wanted, held_keys(rows, marks), known, marks))
+        if pointers is not None and _same_pointers(pointers, following):
+            return assigned.withColumn("company_id", company_of(F.col("company_id")))
+        pointers = following
+        assigned = chase_pointers(pointers).select(
+            F.col("node").alias("ingest_seq"), F.col("root").alias("company_id")
+        )
+    raise RuntimeError("company assignment did not settle")
+
+
+def _same_pointers(a: DataFrame, b: DataFrame) -> bool:
+    other = b.select("node", F.col("root").alias("other_root"), F.col("parent").alias("other_parent"))
+    same = F.col("root").eqNullSafe(F.col("other_root")) & F.col("parent").eqNullSafe(F.col("other_parent"))
+    return a.join(other, "node").filter(~same).isEmpty()
 
 
 def fold_companies(existing: DataFrame, assigned: DataFrame) -> DataFrame:
