@@ -13,10 +13,10 @@ MAX_ROUNDS = 60  # each round at least halves the longest remaining path
 def chase_pointers(pointers: DataFrame) -> DataFrame:
     """Follow ``parent`` links until every node knows its root.
 
-    ``pointers(node, root, parent)``: exactly one of root and parent is set, and the
-    links hold no cycle.  Returns ``(node, root)``.
+    ``pointers(node, root, parent)``: exactly one of root and parent is set, the links
+    hold no cycle and the table is materialised.  Returns ``(node, root)``.
     """
-    state = cut(pointers)
+    state = pointers
     for _ in range(MAX_ROUNDS):
         waiting = state.filter(F.col("root").isNull())
         if waiting.isEmpty():

@@ -50,7 +50,7 @@ KNOWN_SEQ = -1
 OFFSET = 2**62
 
 # Arrival numbers per slice; a slice of one key can hold no more records than that.
-SLICE = 100_000
+SLICE = 1_000_000
 
 
 def known_code(company_id: Column) -> Column:
@@ -113,18 +113,17 @@ def known_members(offers: DataFrame, master: Master) -> DataFrame:
 
 
 def company_marks(rows: DataFrame) -> DataFrame:
-    """First inn, website and name of every company and when each came."""
+    """When a company got its inn and website, and its first name."""
 
-    def first(c):
-        return F.min(F.when(F.col(c).isNotNull(), F.struct("seq", c)))
+    def since(c):
+        return F.min(F.when(F.col(c).isNotNull(), F.col("seq")))
 
+    named = F.min(F.when(F.col("name_norm").isNotNull(), F.struct("seq", "name_norm")))
     return (
         rows.groupBy("company_id")
-        .agg(first("inn").alias("i"), first("website").alias("w"), first("name_norm").alias("n"))
+        .agg(since("inn").alias("inn_since"), since("website").alias("website_since"), named.alias("n"))
         .select(
-            "company_id",
-            F.col("i.inn").alias("own_inn"), F.coalesce("i.seq", F.lit(NEVER)).alias("inn_since"),
-            F.col("w.website").alias("own_website"),
+            "company_id", F.coalesce("inn_since", F.lit(NEVER)).alias("inn_since"), "website_since",
             F.col("n.name_norm").alias("own_name"), F.col("n.seq").alias("name_since"),
         )
     )
@@ -138,8 +137,8 @@ def held_keys(rows: DataFrame, marks: DataFrame) -> DataFrame:
 
     seq = F.col("seq")
     single = F.array(
-        entry(INN, F.when(F.col("inn") == F.col("own_inn"), F.col("inn")), seq),
-        entry(WEBSITE, F.when(F.col("website") == F.col("own_website"), F.col("website")), seq),
+        entry(INN, F.when(seq == F.col("inn_since"), F.col("inn")), seq),
+        entry(WEBSITE, F.when(seq == F.col("website_since"), F.col("website")), seq),
         entry(SOURCE, F.col("source_url"), seq),
     )
     own = F.transform(
@@ -155,7 +154,22 @@ def held_keys(rows: DataFrame, marks: DataFrame) -> DataFrame:
     )
 
 
-def oldest_holders(wanted: DataFrame, offers: DataFrame) -> DataFrame:
+def key_offers(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Held keys of batch and known companies, one row per key and company."""
+    marks = company_marks(rows)
+    fixed = known.join(marks.select("company_id", "inn_since"), "company_id", "left").select(
+        "level", "key", F.lit(KNOWN_SEQ).cast("bigint").alias("since"), "company_id",
+        F.when(F.col("open"), F.coalesce("inn_since", F.lit(NEVER))).otherwise(F.lit(KNOWN_SEQ)).alias("inn_since"),
+    )
+    return (
+        held_keys(rows, marks)
+        .unionByName(fixed)
+        .groupBy("level", "key", "company_id")
+        .agg(F.min("since").alias("since"), F.max("inn_since").alias("inn_since"))
+    )
+
+
+def oldest_holders(wanted: DataFrame, offers: DataFrame, slices: tuple[int, int]) -> DataFrame:
     """Oldest company that held a wanted key before the record arrived.
 
     A running minimum over the arrivals of a key, taken in slices: inside a slice
@@ -163,6 +177,7 @@ def oldest_holders(wanted: DataFrame, offers: DataFrame) -> DataFrame:
     all records share is still worked on in bounded groups.
     """
     none = F.lit(None).cast("bigint")
+    first_slice, last_slice = slices
     events = offers.select(
         "level", "key", F.col("since").alias("at"), F.lit(1).alias("side"), F.col("company_id").alias("holder"),
         none.alias("ingest_seq"),
@@ -170,20 +185,25 @@ def oldest_holders(wanted: DataFrame, offers: DataFrame) -> DataFrame:
         wanted.select(
             "level", "key", F.col("ingest_seq").alias("at"), F.lit(0).alias("side"), none.alias("holder"), "ingest_seq"
         )
-    ).withColumn("slice", F.floor(F.col("at") / F.lit(SLICE)))
-    inside = Window.partitionBy("level", "key", "slice").orderBy("at", "side").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    group = ["level", "key"]
+    if last_slice > first_slice:
+        slice_ = F.greatest(F.floor(F.col("at") / F.lit(SLICE)), F.lit(first_slice))
+        events = cut(events.withColumn("slice", slice_))
+        group = [*group, "slice"]
+    inside = Window.partitionBy(*group).orderBy("at", "side").rowsBetween(Window.unboundedPreceding, -1)
+    near = events.withColumn("near", F.min("holder").over(inside)).filter(F.col("side") == 0)
+    if last_slice == first_slice:
+        return near.select("ingest_seq", "level", F.col("near").alias("holder"))
     before = Window.partitionBy("level", "key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = (
-        events.groupBy("level", "key", "slice")
+    earlier = (
+        events.groupBy(*group)
         .agg(F.min("holder").alias("low"))
-        .select("level", "key", "slice", F.min("low").over(before).alias("earlier"))
+        .select(*group, F.min("low").over(before).alias("earlier"))
         .filter(F.col("earlier").isNotNull())
     )
-    return (
-        events.withColumn("near", F.min("holder").over(inside))
-        .filter(F.col("side") == 0)
-        .join(slices, ["level", "key", "slice"], "left")
-        .select("ingest_seq", "level", F.least("near", "earlier").alias("holder"))
+    return near.join(earlier, group, "left").select(
+        "ingest_seq", "level", F.least("near", "earlier").alias("holder")
     )
 
 
@@ -207,15 +227,10 @@ def open_holders(wanted: DataFrame, offers: DataFrame) -> DataFrame:
     return wanted.join(spots, ["level", "key"]).select("ingest_seq", "level", choice.alias("holder"))
 
 
-def parent_pointers(wanted: DataFrame, held: DataFrame, known: DataFrame, marks: DataFrame) -> DataFrame:
+def parent_pointers(wanted: DataFrame, offers: DataFrame, slices: tuple[int, int]) -> DataFrame:
     """``(node, root, parent)``: the known company or the founding record a record follows."""
-    fixed = known.join(marks.select("company_id", "inn_since"), "company_id", "left").select(
-        "level", "key", F.lit(KNOWN_SEQ).cast("bigint").alias("since"), "company_id",
-        F.when(F.col("open"), F.coalesce("inn_since", F.lit(NEVER))).otherwise(F.lit(KNOWN_SEQ)).alias("inn_since"),
-    )
-    offers = held.select("level", "key", "since", "company_id", "inn_since").unionByName(fixed)
     guarded = (F.col("level") == NAME_PHONE) & F.col("has_inn")
-    found = oldest_holders(wanted.filter(~guarded), offers).unionByName(
+    found = oldest_holders(wanted.filter(~guarded), offers, slices).unionByName(
         open_holders(wanted.filter(guarded), offers)
     )
     levels = list(LEVELS.values())
@@ -238,25 +253,24 @@ def assign_companies(listings: DataFrame, master: Master) -> DataFrame:
     wanted = explode_keys(records)
     known = cut(known_offers(wanted, master))
     members = cut(known_members(known, master))
+    span = records.agg(F.min("ingest_seq"), F.max("ingest_seq")).head()
+    slices = tuple((n or 0) // SLICE for n in span)
     assigned = records.select("ingest_seq", F.col("ingest_seq").alias("company_id"))
-    pointers = None
     for _ in range(MAX_ROUNDS):
         rows = records.join(assigned, "ingest_seq").withColumnRenamed("ingest_seq", "seq").unionByName(members)
-        marks = company_marks(rows)
-        following = cut(parent_pointers(wanted, held_keys(rows, marks), known, marks))
-        if pointers is not None and _same_pointers(pointers, following):
-            return assigned.withColumn("company_id", company_of(F.col("company_id")))
-        pointers = following
-        assigned = chase_pointers(pointers).select(
+        offers = cut(key_offers(rows, known))
+        following = chase_pointers(cut(parent_pointers(wanted, offers, slices))).select(
             F.col("node").alias("ingest_seq"), F.col("root").alias("company_id")
         )
+        if _same_companies(assigned, following):
+            return following.withColumn("company_id", company_of(F.col("company_id")))
+        assigned = following
     raise RuntimeError("company assignment did not settle")
 
 
-def _same_pointers(a: DataFrame, b: DataFrame) -> bool:
-    other = b.select("node", F.col("root").alias("other_root"), F.col("parent").alias("other_parent"))
-    same = F.col("root").eqNullSafe(F.col("other_root")) & F.col("parent").eqNullSafe(F.col("other_parent"))
-    return a.join(other, "node").filter(~same).isEmpty()
+def _same_companies(a: DataFrame, b: DataFrame) -> bool:
+    other = b.withColumnRenamed("company_id", "other_id")
+    return a.join(other, "ingest_seq").filter(F.col("company_id") != F.col("other_id")).isEmpty()
 
 
 def fold_companies(existing: DataFrame, assigned: DataFrame) -> DataFrame:

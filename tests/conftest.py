@@ -7,7 +7,7 @@ def build_session() -> SparkSession:
         SparkSession.builder.master("local[8]")
         .appName("firmament-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

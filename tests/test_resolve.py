@@ -44,8 +44,10 @@ def entities(seed, n_entities, n_records):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_upsert_equals_one_by_one(spark, seed):
+@pytest.mark.parametrize("seed,slice_size", [(1, 1_000_000), (2, 30)])
+def test_upsert_equals_one_by_one(spark, monkeypatch, seed, slice_size):
+    """Also with slices so small that the keys of hot companies span many of them."""
+    monkeypatch.setattr(upsert, "SLICE", slice_size)
     rows = entities(seed, 40, 400)
     listings = frame(spark, rows)
     plain = [r.asDict() for r in listings.collect()]
