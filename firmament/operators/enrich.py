@@ -14,6 +14,7 @@ from firmament.operators.children import new_contacts
 from firmament.operators.filters import filter_companies, recheck_due, take
 from firmament.operators.skew import top_k_per_group
 from firmament.schemas import OFFICIAL, RESULTS, Master
+from firmament.session import cut
 
 NESTED_PAYLOAD = (
     "suggestions array<struct<data struct<inn string,"
@@ -73,13 +74,15 @@ def assign_quota(requests: DataFrame, providers: list[Provider] = PROVIDERS) ->
     rows a provider takes, the rest flows to the next one; without room the provider
     is null.
     """
-    remaining, parts = requests, []
+    remaining, parts = cut(requests), []
     for p in sorted((p for p in providers if p.enabled), key=lambda p: p.priority):
         if p.daily_limit is None:
             parts.append(remaining.select("inn", "day", F.lit(p.key).alias("provider")))
             remaining = None
             break
-        taken = top_k_per_group(remaining, ["day"], priority_order(), p.daily_limit, spread_by="inn").select("inn", "day")
+        taken = cut(
+            top_k_per_group(remaining, ["day"], priority_order(), p.daily_limit, spread_by="inn").select("inn", "day")
+        )
         parts.append(taken.withColumn("provider", F.lit(p.key)))
         remaining = remaining.join(taken, ["inn", "day"], "left_anti")
     if remaining is not None:

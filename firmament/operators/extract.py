@@ -47,7 +47,11 @@ def page_card_links(pages: DataFrame, rules: DataFrame) -> DataFrame:
 
 def extract_links(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """Card links as rows ``(site_key, page_no, url)``, distinct per page."""
-    return page_card_links(pages, rules).select("site_key", "page_no", F.explode("links").alias("url"))
+    return link_rows(page_card_links(pages, rules))
+
+
+def link_rows(page_links: DataFrame) -> DataFrame:
+    return page_links.select("site_key", "page_no", F.explode("links").alias("url"))
 
 
 def page_emails(html: Column | str) -> Column:

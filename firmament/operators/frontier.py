@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from firmament import fixed_values as fv
 from firmament.operators.skew import top_k_per_group
+from firmament.session import cut
 
 DISCOVERED, COMPLETED, FAILED = "discovered", "completed", "failed"
 
@@ -126,12 +127,15 @@ def catalog_stop(page_links: DataFrame) -> DataFrame:
     """Listing pages before the first empty page or the first repeat of a link set.
 
     ``page_links(site_key, page_no, links)``.  A page repeats when a lower page of the
-    site has the same set, so only the lowest page of a set is not a repeat.
+    site has the same set, so only the lowest page of a set is not a repeat.  The
+    narrow set table is kept, so that pages are parsed once.
     """
-    sets = page_links.select(
-        "site_key", "page_no",
-        F.size("links").alias("n"),
-        F.sha2(F.array_join(F.array_sort(F.array_distinct("links")), "\n"), 256).alias("set_key"),
+    sets = cut(
+        page_links.select(
+            "site_key", "page_no",
+            F.size("links").alias("n"),
+            F.sha2(F.array_join(F.array_sort(F.array_distinct("links")), "\n"), 256).alias("set_key"),
+        )
     )
     lowest = sets.groupBy("site_key", "set_key").agg(F.min("page_no").alias("lowest"))
     stops = (

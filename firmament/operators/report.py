@@ -10,6 +10,7 @@ from firmament.functions import registry as R
 from firmament.operators.filters import filter_companies, sort_columns, take
 from firmament.operators.skew import hash_part
 from firmament.schemas import Master
+from firmament.session import cut
 
 SORT_FIELDS = [
     "name",
@@ -119,7 +120,7 @@ def _with_children(master: Master, companies: DataFrame, limit: int, cell_values
                    separators: dict[str, str] | None = None) -> DataFrame:
     values = _child_values(master)
     if limit > 0:
-        values = values.join(companies.select("company_id"), "company_id", "left_semi")
+        values = cut(values.join(companies.select("company_id"), "company_id", "left_semi"))
     cells = joined_children(values, cell_values, separators)
     return companies.join(cells, "company_id", "left").select(
         companies["*"],
@@ -138,15 +139,15 @@ def registry_report(
 ) -> DataFrame:
     """Eighteen report columns per company, plus company_id and part.
 
-    A limited report picks its companies first, so only their children are read
-    into the aggregation.
+    A limited report picks and keeps its companies first, so only their children
+    enter the aggregation.
     """
     chosen = filter_companies(master, **filters)
     if any(field == "source_count" for field, _ in sort_by):
         chosen = chosen.join(source_counts(master), "company_id")
     order = sort_columns(sort_by, SORT_FIELDS, "name")
     if limit > 0:
-        chosen = take(chosen.orderBy(*order, "company_id"), limit)
+        chosen = cut(take(chosen.orderBy(*order, "company_id"), limit))
     rows = _with_children(master, chosen, limit, cell_values).withColumn(
         "registry_status", R.report_status("status_official", "liquidation_date", "inn")
     )

@@ -7,18 +7,20 @@ from pyspark.sql import Column, DataFrame
 from firmament.operators.cards import extract_cards
 from firmament.operators.dedup import dedup_pass
 from firmament.operators.enrich import add_site_contacts, enrich_master, scan_candidates
-from firmament.operators.extract import extract_links, page_card_links, scan_sites, usable_pages
+from firmament.operators.extract import link_rows, page_card_links, scan_sites, usable_pages
 from firmament.operators.frontier import catalog_stop, insert_links
 from firmament.operators.records import normalize_listings
 from firmament.operators.report import registry_report
 from firmament.operators.upsert import upsert_batch
 from firmament.schemas import Master
+from firmament.session import cut
 
 
 def discover(listing_pages: DataFrame, rules: DataFrame, frontier: DataFrame) -> DataFrame:
     """Listing pages to new frontier rows, catalogue loops cut off."""
-    usable = catalog_stop(page_card_links(listing_pages, rules)).select("site_key", "page_no")
-    links = extract_links(listing_pages, rules).join(usable, ["site_key", "page_no"], "left_semi")
+    linked = cut(page_card_links(listing_pages, rules))
+    usable = catalog_stop(linked).select("site_key", "page_no")
+    links = link_rows(linked.join(usable, ["site_key", "page_no"], "left_semi"))
     return insert_links(frontier, links.withColumnRenamed("page_no", "arrival"))
 
 

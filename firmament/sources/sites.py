@@ -51,7 +51,7 @@ def site_table(spark: SparkSession, sites: list[tuple] = SITES) -> DataFrame:
 def link_rules(spark: SparkSession, sites: list[tuple] = SITES, rules: list[tuple] = LINK_RULES) -> DataFrame:
     """One rule row per site key."""
     return site_table(spark, sites).select("site_key", "rule_key").join(
-        spark.createDataFrame(rules, RULE_SCHEMA), "rule_key"
+        F.broadcast(spark.createDataFrame(rules, RULE_SCHEMA)), "rule_key"
     )
 
 
