@@ -15,6 +15,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from firmament.session import BUILD_SETTINGS  # noqa: E402
+
 HEADLINE = [
     "normalize_listings",
     "website_groups",
@@ -47,6 +49,7 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("firmament-bench")
         .config("spark.ui.enabled", "false")
+        .config(map=BUILD_SETTINGS)
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))

@@ -24,6 +24,14 @@ def insert_links(frontier: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
+def reopen(frontier: DataFrame, as_of, recrawl_after_days: int) -> DataFrame:
+    """Frontier whose completed URLs become pending again once they are old enough."""
+    stale = (F.col("status") == COMPLETED) & (
+        F.col("updated_at") < F.timestamp_add("DAY", F.lit(-recrawl_after_days), as_of)
+    )
+    return frontier.withColumn("status", F.when(stale, F.lit("pending")).otherwise(F.col("status")))
+
+
 def added_by_site(inserted: DataFrame) -> DataFrame:
     """Number of URLs really inserted per site."""
     return inserted.groupBy("site_key").agg(F.count("*").alias("added"))

@@ -208,7 +208,8 @@ def corpus_cards(spark):
             "url", F.lit("corpus").alias("site_key"),
             F.when(F.col("page_id") % 2 == 0, "site_a").otherwise("site_b").alias("rule_key"),
             F.lit("2024-01-01").alias("scrape_date"), F.col("page_id").alias("ingest_seq"), "html",
-        )
+        ),
+        {key: cards.CARD_RULES[key] for key in ("site_a", "site_b")},
     )
 
 

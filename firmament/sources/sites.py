@@ -20,12 +20,12 @@ QUERY_PAGE_PATTERN = "{base_url}?page={page}"
 
 # Known sites and where their catalogues start.
 SITES = [
-    ("chop_moscow", "https://chop.moscow/catalog/", "site_a", DEFAULT_PAGE_PATTERN),
-    ("prochop_ru", "https://prochop.ru/chops/", "site_b", DEFAULT_PAGE_PATTERN),
-    ("vsechopy_mo", "https://xn--b1ag1aeh1b4a.xn--p1ai/region/moskovskaya-oblast/", "site_d", QUERY_PAGE_PATTERN),
-    ("vsechopy_urfo", "https://xn--b1ag1aeh1b4a.xn--p1ai/region/sverdlovskaya-oblast/", "site_d", QUERY_PAGE_PATTERN),
+    ("chop.moscow", "https://chop.moscow/catalog/", "site_a", DEFAULT_PAGE_PATTERN),
+    ("prochop.ru", "https://prochop.ru/chops/", "site_b", DEFAULT_PAGE_PATTERN),
+    ("vsechopy-mo", "https://xn--b1ag1aeh1b4a.xn--p1ai/region/moskovskaya-oblast/", "site_d", QUERY_PAGE_PATTERN),
+    ("vsechopy-urfo", "https://xn--b1ag1aeh1b4a.xn--p1ai/region/sverdlovskaya-oblast/", "site_d", QUERY_PAGE_PATTERN),
     (
-        "russkii_souz",
+        "russkiisoyuz",
         "https://xn--g1abdcwihado2k.xn--p1ai/russia/services/okhrannye_predpriiatiia__detektivy/",
         "site_c",
         QUERY_PAGE_PATTERN,

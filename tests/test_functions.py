@@ -21,9 +21,9 @@ def check(spark, fn, table):
 
 def test_website(spark):
     check(spark, N.normalize_website, [
-        ("http://www.akbnovikov.com/", "akbnovikov.com"),
-        ("https://AKBNovikov.COM", "akbnovikov.com"),
-        ("akbnovikov.com/", "akbnovikov.com"),
+        ("http://www.akbsokolov.com/", "akbsokolov.com"),
+        ("https://AKBSokolov.COM", "akbsokolov.com"),
+        ("akbsokolov.com/", "akbsokolov.com"),
         (" https://http://www.a.ru/p?q=1// ", "a.ru/p?q=1"),
         ("www.www.a.ru", "www.a.ru"),
         ("https://", None),

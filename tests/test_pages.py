@@ -9,19 +9,19 @@ from firmament.sources import sites
 
 def test_listing_links(spark):
     pages = spark.createDataFrame([
-        ("chop_moscow", 1, "<a href='/catalog/alfa/'>A</a><a href='/catalog/alfa'>A</a><a href=/catalog/page/>x</a><a href='/catalog/a/b/'>x</a><a class=k href='https://chop.moscow/catalog/beta/?x=1'>B</a>"),
-        ("prochop_ru", 1, "<a class='title-arhive-chops' href='/chops/gamma/'>G</a><a href='/chops/tag/'>t</a>"),
-        ("russkii_souz", 1, "<a class='big title' href='/msk/services/delta/?p=2'>D</a><a href='/msk/services/eps/'>no class</a><a class='title' href='/other/'>o</a>"),
-        ("vsechopy_mo", 1, "<!-- <a href='/chop/zeta/'>z</a> --><a href='/chop/eta/'>E</a><a href='/chop/city/'>c</a>"),
+        ("chop.moscow", 1, "<a href='/catalog/alfa/'>A</a><a href='/catalog/alfa'>A</a><a href=/catalog/page/>x</a><a href='/catalog/a/b/'>x</a><a class=k href='https://chop.moscow/catalog/beta/?x=1'>B</a>"),
+        ("prochop.ru", 1, "<a class='title-arhive-chops' href='/chops/gamma/'>G</a><a href='/chops/tag/'>t</a>"),
+        ("russkiisoyuz", 1, "<a class='big title' href='/msk/services/delta/?p=2'>D</a><a href='/msk/services/eps/'>no class</a><a class='title' href='/other/'>o</a>"),
+        ("vsechopy-mo", 1, "<!-- <a href='/chop/zeta/'>z</a> --><a href='/chop/eta/'>E</a><a href='/chop/city/'>c</a>"),
         ("nowhere", 1, "<a href='/chop/eta/'>E</a>"),
     ], "site_key string, page_no int, html string")
     got = {(r.site_key, r.url) for r in extract.extract_links(pages, sites.link_rules(spark)).collect()}
     assert got == {
-        ("chop_moscow", "https://chop.moscow/catalog/alfa/"),
-        ("chop_moscow", "https://chop.moscow/catalog/beta/"),
-        ("prochop_ru", "https://prochop.ru/chops/gamma/"),
-        ("russkii_souz", "https://xn--g1abdcwihado2k.xn--p1ai/msk/services/delta/"),
-        ("vsechopy_mo", "https://xn--b1ag1aeh1b4a.xn--p1ai/chop/eta/"),
+        ("chop.moscow", "https://chop.moscow/catalog/alfa/"),
+        ("chop.moscow", "https://chop.moscow/catalog/beta/"),
+        ("prochop.ru", "https://prochop.ru/chops/gamma/"),
+        ("russkiisoyuz", "https://xn--g1abdcwihado2k.xn--p1ai/msk/services/delta/"),
+        ("vsechopy-mo", "https://xn--b1ag1aeh1b4a.xn--p1ai/chop/eta/"),
     }
     assert [tuple(r) for r in sites.unknown_sites(pages, sites.site_table(spark)).collect()] == [("nowhere", 1)]
 

@@ -49,6 +49,12 @@ def test_frontier_insert(spark):
     assert [tuple(r) for r in frontier.added_by_site(new).collect()] == [("s1", 2)]
 
 
+def test_reopen(spark):
+    state = frontier.fold_outcomes(outcomes(spark, LOG))
+    again = frontier.reopen(state, F.lit(T0 + dt.timedelta(days=7, seconds=30)), 7)
+    assert {r.url: r.status for r in again.collect()} == {"a": "error", "b": "completed", "c": "pending", "d": "pending"}
+
+
 def test_crawl_stats(spark):
     got = {r.site_key: r for r in frontier.crawl_stats(outcomes(spark, LOG)).collect()}
     s1 = got["s1"]
