@@ -20,6 +20,8 @@ and new values.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,10 +51,28 @@ KNOWN_SEQ = -1
 # older than any company the batch founds.
 OFFSET = 2**62
 
-# Arrival numbers per slice; a slice of one key can hold no more records than that.
+# Records per slice of arrival numbers: the size a key's running minimum is worked in.
 SLICE = 1_000_000
 
 
+@dataclass(frozen=True)
+class Slices:
+    """Arrival numbers cut into stretches of equal width."""
+
+    width: int
+    first: int
+    last: int
+
+    @classmethod
+    def of(cls, low: int, high: int, records: int) -> "Slices":
+        """About ``SLICE`` records each, also when arrival numbers have gaps."""
+        width = max(SLICE, -(-(high - low + 1) // max(1, -(-records // SLICE))))
+        return cls(width, low // width, high // width)
+
+    def number(self, arrival: Column) -> Column:
+        return F.greatest(F.floor(arrival / F.lit(self.width)), F.lit(self.first))
+
+
 def known_code(company_id: Column) -> Column:
     return company_id - F.lit(OFFSET)
 
@@ -169,7 +189,7 @@ def key_offers(rows: DataFrame, known: DataFrame) -> DataFrame:
     )
 
 
-def oldest_holders(wanted: DataFrame, offers: DataFrame, slices: tuple[int, int]) -> DataFrame:
+def oldest_holders(wanted: DataFrame, offers: DataFrame, slices: Slices) -> DataFrame:
     """Oldest company that held a wanted key before the record arrived.
 
     A running minimum over the arrivals of a key, taken in slices: inside a slice
@@ -177,7 +197,6 @@ def oldest_holders(wanted: DataFrame, offers: DataFrame, slices: tuple[int, int]
     all records share is still worked on in bounded groups.
     """
     none = F.lit(None).cast("bigint")
-    first_slice, last_slice = slices
     events = offers.select(
         "level", "key", F.col("since").alias("at"), F.lit(1).alias("side"), F.col("company_id").alias("holder"),
         none.alias("ingest_seq"),
@@ -187,13 +206,12 @@ def oldest_holders(wanted: DataFrame, offers: DataFrame, slices: tuple[int, int]
         )
     )
     group = ["level", "key"]
-    if last_slice > first_slice:
-        slice_ = F.greatest(F.floor(F.col("at") / F.lit(SLICE)), F.lit(first_slice))
-        events = cut(events.withColumn("slice", slice_))
+    if slices.last > slices.first:
+        events = cut(events.withColumn("slice", slices.number(F.col("at"))))
         group = [*group, "slice"]
     inside = Window.partitionBy(*group).orderBy("at", "side").rowsBetween(Window.unboundedPreceding, -1)
     near = events.withColumn("near", F.min("holder").over(inside)).filter(F.col("side") == 0)
-    if last_slice == first_slice:
+    if slices.last == slices.first:
         return near.select("ingest_seq", "level", F.col("near").alias("holder"))
     before = Window.partitionBy("level", "key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     earlier = (
@@ -227,7 +245,7 @@ def open_holders(wanted: DataFrame, offers: DataFrame) -> DataFrame:
     return wanted.join(spots, ["level", "key"]).select("ingest_seq", "level", choice.alias("holder"))
 
 
-def parent_pointers(wanted: DataFrame, offers: DataFrame, slices: tuple[int, int]) -> DataFrame:
+def parent_pointers(wanted: DataFrame, offers: DataFrame, slices: Slices) -> DataFrame:
     """``(node, root, parent)``: the known company or the founding record a record follows."""
     guarded = (F.col("level") == NAME_PHONE) & F.col("has_inn")
     found = oldest_holders(wanted.filter(~guarded), offers, slices).unionByName(
@@ -253,8 +271,8 @@ def assign_companies(listings: DataFrame, master: Master) -> DataFrame:
     wanted = explode_keys(records)
     known = cut(known_offers(wanted, master))
     members = cut(known_members(known, master))
-    span = records.agg(F.min("ingest_seq"), F.max("ingest_seq")).head()
-    slices = tuple((n or 0) // SLICE for n in span)
+    low, high, count = records.agg(F.min("ingest_seq"), F.max("ingest_seq"), F.count("*")).head()
+    slices = Slices.of(low or 0, high or 0, count)
     assigned = records.select("ingest_seq", F.col("ingest_seq").alias("company_id"))
     for _ in range(MAX_ROUNDS):
         rows = records.join(assigned, "ingest_seq").withColumnRenamed("ingest_seq", "seq").unionByName(members)

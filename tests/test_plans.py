@@ -29,7 +29,7 @@ def test_no_cross_joins(spark, tables):
         offers = upsert.key_offers(rows, upsert.known_offers(wanted, master))
         for df in [
             match.match_batch(listings, master), dedup.website_id_map(master.companies), dedup.name_phone_edges(master),
-            report.registry_report(master, has_phone=True, site_key="s"), offers, upsert.parent_pointers(wanted, offers, (0, 0)),
+            report.registry_report(master, has_phone=True, site_key="s"), offers, upsert.parent_pointers(wanted, offers, upsert.Slices(10**6, 0, 0)),
         ]:
             text = plan(df)
             assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text

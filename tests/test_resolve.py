@@ -64,6 +64,23 @@ def test_upsert_equals_one_by_one(spark, monkeypatch, seed, slice_size):
     assert quality.orphans(master).isEmpty()
 
 
+def test_slices_follow_the_record_count():
+    dense = upsert.Slices.of(0, 10 * upsert.SLICE - 1, 10 * upsert.SLICE)
+    assert (dense.width, dense.first, dense.last) == (upsert.SLICE, 0, 9)
+    sparse = upsert.Slices.of(10**15, 10**15 + 10**12, 3 * upsert.SLICE)
+    assert sparse.last - sparse.first <= 3
+    assert upsert.Slices.of(0, 0, 0) == upsert.Slices(upsert.SLICE, 0, 0)
+
+
+def test_arrival_numbers_with_gaps(spark, monkeypatch):
+    monkeypatch.setattr(upsert, "SLICE", 20)
+    rows = entities(11, 10, 90)
+    for r in rows:
+        r["ingest_seq"] = r["ingest_seq"] ** 2 * 1000 + 7
+    where, _ = arrive([r.asDict() for r in frame(spark, rows).collect()])
+    assert assignment(spark, rows) == where
+
+
 def test_two_batches_equal_one(spark):
     rows = entities(3, 30, 300)
     where, _ = arrive([r.asDict() for r in frame(spark, rows).collect()])
