@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmament.llm import quality
+from firmament.llm import langid, quality
 from firmament.llm.common import id_crc32, read_table
 
 
@@ -20,7 +20,19 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; rows with crc32(doc_id) mod 4 = 2 are never learnt from."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(id_crc32() % 4 != 2))
+    found, (lang, score) = langid.label(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id", F.coalesce(id_crc32() % 4 == 2, F.lit(False)).alias("held_out"), F.col(lang).alias("lang_pred"),
+        F.col(score).alias("score"),
+    )
+
+
 QUERIES = {
+    "op2_language_id": language_id,
     "op4_quality_classifier": quality_classifier,
 }
 ORACLE: dict[str, str] = {}
