@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmament.llm import langid, quality
+from firmament.llm import jaccard, langid, quality
 from firmament.llm.common import id_crc32, read_table
 
 
@@ -31,8 +31,14 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class, copy class and links of every document: five words, similarity 0.8."""
+    return jaccard.join(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_language_id": language_id,
     "op4_quality_classifier": quality_classifier,
+    "op10_ngram_jaccard": ngram_jaccard,
 }
 ORACLE: dict[str, str] = {}
