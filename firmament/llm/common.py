@@ -115,18 +115,22 @@ def append(df: DataFrame, text: str, fields: list[tuple[str, T.DataType]],
     return df.mapInArrow(run, schema), names
 
 
+def packed_schema(dtype: np.dtype) -> str:
+    """Columns of packed rows: a bucket and, for every field, the values of all its records."""
+    return ", ".join(["bucket int", *(f"{name} binary" for name in dtype.names)])
+
+
 def packed(entries: np.ndarray, bucket: np.ndarray, buckets: int) -> pa.RecordBatch:
     """One row per bucket with the records of a structured array that belong to it."""
     order = np.argsort(bucket, kind="stable")
-    sizes = np.bincount(bucket, minlength=buckets)
+    sizes = np.bincount(bucket.astype(np.int64), minlength=buckets)
     used = np.flatnonzero(sizes)
-    offsets = np.concatenate([[0], np.cumsum(sizes[used])]) * entries.dtype.itemsize
-    return pa.RecordBatch.from_arrays(
-        [pa.array(used.astype(np.int32)), binary_rows(entries[order].view(np.uint8), offsets)], names=["bucket", "blob"]
-    )
-
-
-PACKED = "bucket int, blob binary"
+    bounds = np.concatenate([[0], np.cumsum(sizes[used])])
+    columns = [pa.array(used.astype(np.int32))]
+    for name in entries.dtype.names:
+        field = np.ascontiguousarray(entries[name][order])
+        columns.append(binary_rows(field.view(np.uint8).reshape(-1), bounds * field.dtype.itemsize))
+    return pa.RecordBatch.from_arrays(columns, names=["bucket", *entries.dtype.names])
 
 
 def exchange(df: DataFrame, count: int) -> DataFrame:
@@ -134,12 +138,18 @@ def exchange(df: DataFrame, count: int) -> DataFrame:
     return df.repartition(count, "bucket")
 
 
-def records(batches: Iterator[pa.RecordBatch], dtype: np.dtype, column: str = "blob") -> np.ndarray:
-    """All records of the packed rows of a partition."""
+def records(batches, dtype: np.dtype) -> np.ndarray:
+    """All records of the packed rows of some batches or tables."""
     parts = []
     for batch in batches:
-        data, _ = unpack(batch.column(batch.schema.get_field_index(column)))
-        parts.append(np.frombuffer(data.tobytes(), dtype))
+        part = None
+        for name in dtype.names:
+            data, _ = unpack(batch.column(batch.schema.get_field_index(name)))
+            field = np.frombuffer(data.tobytes(), dtype[name])
+            if part is None:
+                part = np.empty(len(field), dtype)
+            part[name] = field
+        parts.append(part)
     return np.concatenate(parts) if parts else np.empty(0, dtype)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmament.llm import jaccard, langid, quality
+from firmament.llm import jaccard, langid, quality, repeats
 from firmament.llm.common import id_crc32, read_table
 
 
@@ -36,9 +36,20 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(read_table(spark, sf_dir, "documents"))
 
 
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 100-byte strings that start earlier."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
+    return repeats.repeats(docs).select(
+        "doc_id", n_bytes.alias("n_bytes"), (n_bytes - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op2_language_id": language_id,
     "op4_quality_classifier": quality_classifier,
+    "op6_suffix_dedup": suffix_dedup,
     "op10_ngram_jaccard": ngram_jaccard,
 }
 ORACLE: dict[str, str] = {}
