@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmament.llm import jaccard, langid, quality, repeats
+from firmament.llm import jaccard, langid, packing, quality, repeats
 from firmament.llm.common import id_crc32, read_table
 
 
@@ -46,7 +46,13 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of 2048 tokens: where every piece of every document lies."""
+    return packing.pack(read_table(spark, sf_dir, "documents"), ids=False)
+
+
 QUERIES = {
+    "op1_pack_sequences": pack_sequences,
     "op2_language_id": language_id,
     "op4_quality_classifier": quality_classifier,
     "op6_suffix_dedup": suffix_dedup,
