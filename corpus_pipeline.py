@@ -2,16 +2,21 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and is written
 as Parquet in the shared folder, which the next one reads.  All stages but the last return the
-columns of documents.
+columns of documents.  The models of the first two stages learn from the documents of the same
+run; rows held out by the queries are held out here too.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from firmament.llm import quality
-from firmament.llm.common import id_crc32, keep, read_table
+from firmament.llm import jaccard, langid, packing, quality, repeats
+from firmament.llm.common import append, fresh, id_crc32, keep, read_table, unpack
+
+MIXED = 0.4  # a document without a language of at least this probability is rejected
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,8 +27,54 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return scored.filter(F.col(predicted) == 1).select(*docs.columns)
 
 
+def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, and those in no language to speak of, go."""
+    model = langid.fit(docs.filter(id_crc32() % 4 != 2))
+    found, (lang, score) = langid.label(docs, model)
+    return found.filter((F.col(lang) != langid.UNKNOWN) & (F.col(score) >= MIXED)).select(*docs.columns)
+
+
+def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near copies the document with the smallest doc_id stays.
+
+    Of rows that repeat a doc_id one stays; rows without a doc_id all stay.
+    """
+    first = jaccard.join(docs).filter(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
+    nth = fresh("nth", docs.columns)
+    met = docs.join(first.hint("merge"), "doc_id", "left_semi")
+    one = met.withColumn(nth, F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))).filter(F.col(nth) == 1)
+    return one.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+
+
+def _readable(kept: pa.Array) -> list[pa.Array]:
+    data, offsets = unpack(kept)
+    body = data.tobytes()
+    return [pa.array([body[a:b].decode("utf-8", "ignore") for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.string())]
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document has are cut out; a character cut in two goes as a whole."""
+    cut = repeats.repeats(docs)
+    kept = cut.columns[-1]
+    found, (left,) = append(cut, kept, [("left", T.StringType())], lambda: _readable)
+    body = F.when(F.col("text").isNotNull(), F.col(left))
+    new = found.withColumn("text", body)
+    if "n_chars" in docs.columns:
+        new = new.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return new.select(*docs.columns)
+
+
+def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every document in its place in a sequence of 2048 tokens."""
+    return packing.pack(docs, ids=False)
+
+
 STAGES = [
     ("quality_classifier", keep_quality),
+    ("language_id", keep_language),
+    ("ngram_jaccard_join", keep_distinct),
+    ("suffix_array_dedup", cut_repeats),
+    ("packing", pack_documents),
 ]
 
 ORACLE_SQL = None  # trained models and byte matching are beyond SQL; tests compare with brute force
