@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmament.llm import jaccard, langid, packing, quality, repeats
+from firmament.llm import bytebpe, jaccard, langid, packing, quality, repeats
 from firmament.llm.common import id_crc32, read_table
 
 
@@ -51,10 +51,21 @@ def pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), ids=False)
 
 
+def bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every document and the text that they decode to, as digests."""
+    encoded, ids = bytebpe.encode(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    decoded, text = bytebpe.decode(encoded.drop("text"), ids)
+    return decoded.select(
+        "doc_id", (F.octet_length(ids) / 4).cast("bigint").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2(F.col(text).cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_pack_sequences": pack_sequences,
     "op2_language_id": language_id,
     "op4_quality_classifier": quality_classifier,
+    "op5_bpe_roundtrip": bpe_roundtrip,
     "op6_suffix_dedup": suffix_dedup,
     "op10_ngram_jaccard": ngram_jaccard,
 }
