@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmament.llm import bytebpe, jaccard, langid, packing, quality, repeats
+from firmament.llm import ann, bytebpe, jaccard, langid, packing, quality, repeats, topk
 from firmament.llm.common import id_crc32, read_table
 
 
@@ -61,12 +61,24 @@ def bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five highest integer inner products of every fiftieth vector, over all others."""
+    return topk.search(read_table(spark, sf_dir, "embeddings"))
+
+
+def adaptive_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest by cosine that every fiftieth vector finds among all others."""
+    return ann.search(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_pack_sequences": pack_sequences,
     "op2_language_id": language_id,
     "op4_quality_classifier": quality_classifier,
     "op5_bpe_roundtrip": bpe_roundtrip,
     "op6_suffix_dedup": suffix_dedup,
+    "op7_exact_topk": exact_topk,
+    "op8_adaptive_ann": adaptive_ann,
     "op10_ngram_jaccard": ngram_jaccard,
 }
 ORACLE: dict[str, str] = {}
