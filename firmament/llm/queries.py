@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmament.llm import ann, bytebpe, jaccard, langid, packing, quality, repeats, topk
+from firmament.llm import ann, bytebpe, jaccard, langid, lm, packing, quality, repeats, topk
 from firmament.llm.common import id_crc32, read_table
 
 
@@ -71,9 +71,15 @@ def adaptive_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(read_table(spark, sf_dir, "embeddings"))
 
 
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff score of every document under the corpus it is part of."""
+    return lm.score(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pack_sequences": pack_sequences,
     "op2_language_id": language_id,
+    "op3_lm_scoring": lm_scores,
     "op4_quality_classifier": quality_classifier,
     "op5_bpe_roundtrip": bpe_roundtrip,
     "op6_suffix_dedup": suffix_dedup,
