@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmament.llm import ann, bytebpe, jaccard, langid, lm, packing, quality, repeats, topk
+from firmament.llm import ann, bytebpe, jaccard, langid, licenses, lm, packing, quality, repeats, topk
 from firmament.llm.common import id_crc32, read_table
 
 
@@ -76,6 +76,14 @@ def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(read_table(spark, sf_dir, "documents"))
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License of every document as a file of its source: in folders of a hundred, every tenth one at the top."""
+    docs = read_table(spark, sf_dir, "documents")
+    folder = F.concat(F.lit("d"), F.pmod(F.floor(F.col("doc_id") / 10), F.lit(100)), F.lit("/"))
+    path = F.concat("source", F.lit("/"), F.when(F.col("doc_id") % 10 == 0, F.lit("")).otherwise(folder), "doc_id", F.lit(".txt"))
+    return licenses.scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
 QUERIES = {
     "op1_pack_sequences": pack_sequences,
     "op2_language_id": language_id,
@@ -85,6 +93,7 @@ QUERIES = {
     "op6_suffix_dedup": suffix_dedup,
     "op7_exact_topk": exact_topk,
     "op8_adaptive_ann": adaptive_ann,
+    "op9_license_scan": license_scan,
     "op10_ngram_jaccard": ngram_jaccard,
 }
 ORACLE: dict[str, str] = {}
