@@ -310,16 +310,16 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = S
         "jaccard-classes",
     )
     slot = F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    spread = classes.withColumn("j", slot)
-    spread = spread.withColumn("key", F.xxhash64(F.expr("substring(band, j * 8 + 1, 8)"), "j"))
+    key = F.xxhash64(F.expr("substring(band, j * 8 + 1, 8)"), "j")
+    spread = classes.withColumn("j", slot).select("rep", "set_a", "size", "j", key.alias("key"))
     buckets = (
         spread.groupBy("key", "j").agg(F.count("*").alias("n"), F.sum("size").alias("total")).filter("n > 1")
         .select("key", "j", F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     )
     blk = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     met = (
-        spread.join(buckets, ["key", "j"])
-        .select("rep", "set_a", "copies", "band", "j", "key", blk.alias("blk"), "blocks")
+        spread.join(buckets, ["key", "j"]).select("rep", "set_a", "j", "key", blk.alias("blk"), "blocks")
+        .join(classes.select("rep", "set_a", "copies", "band"), ["rep", "set_a"])  # bands travel only with members of a bucket
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("rep", "set_a", "copies", "band", "j", "key", "blk", F.least("blk", "other").alias("x"), F.greatest("blk", "other").alias("y"))
     )
@@ -337,7 +337,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = S
             names.append(_set_hash(value, cuts)[0])
         return [pa.array(out, pa.binary()), pa.array(np.concatenate(names).view(np.int64))]
 
-    texts = lower.join(requests.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
+    texts = lower.join(requests.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id")  # one plan at any size
     full, _ = append(texts, "text", [("shingles", T.BinaryType()), ("set_a", T.LongType())], lambda: sets)
     loaded = requests.join(full.select(F.col("doc_id").alias("rep"), "set_a", "shingles"), ["rep", "set_a"])
     links = keep(
