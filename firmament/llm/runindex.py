@@ -49,23 +49,31 @@ class RunIndex:
 
     @staticmethod
     def _sort(text: np.ndarray, left: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows in suffix order and, for every place, the class of its first ``length`` bytes."""
+        """Rows in suffix order and, for every place, the class of its first ``length`` bytes.
+
+        Ranks by a few symbols are doubled in width until they reach past every terminator;
+        equal suffixes then stand in the order of their segments.
+        """
         total = len(text)
+        used = np.zeros(258, np.int64)
+        used[np.unique(text)] = 1
+        dense = np.cumsum(used) - used[0]  # the terminator is 0
+        bits = int(dense[-1]).bit_length() or 1
+        width, classes = max(1, min(length, (63 - total.bit_length()) // bits)), None
         key = np.zeros(total, np.int64)
-        width, classes = min(7, length), None  # seven symbols of nine bits
+        symbols = dense[text]
         for j in range(width):
-            key <<= 9
+            key <<= bits
             reach = max(0, total - j)
-            key[:reach] |= np.where(left[:reach] >= j, text[j:], 0)
+            key[:reach] |= np.where(left[:reach] >= j, symbols[j:], 0)
         rank, rows = _ranks(key)
         while True:
             if classes is None and 2 * width >= length:
                 classes = _pair(rank, left, length - width)
-            rows = np.argsort(wide := _pair(rank, left, width), kind="stable")
-            rank = _numbered(wide, rows)
+            if width > int(left.max()):
+                return rows, rank if classes is None else classes
+            rank, rows = _ranks(_pair(rank, left, width))
             width *= 2
-            if classes is not None and (width > int(left.max()) or int(rank.max()) == total - 1):
-                return rows, classes
 
     def step(self, row: np.ndarray) -> np.ndarray:
         """Rows of the suffixes that are one byte longer."""
@@ -100,12 +108,15 @@ def _pair(rank: np.ndarray, left: np.ndarray, ahead: int) -> np.ndarray:
 
 
 def _ranks(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    rows = np.argsort(key, kind="stable")
-    return _numbered(key, rows), rows
-
-
-def _numbered(key: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    ordered = key[rows]
+    """Dense ranks of the keys and the places in their order, equal keys by place."""
+    bits = len(key).bit_length()
     rank = np.empty(len(key), np.int64)
+    if int(key.max(initial=0)).bit_length() + bits <= 63:  # values sort faster than places
+        ordered = np.sort((key << bits) | np.arange(len(key)))
+        rows = ordered & ((1 << bits) - 1)
+        ordered >>= bits
+    else:
+        rows = np.argsort(key, kind="stable")
+        ordered = key[rows]
     rank[rows] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
-    return rank
+    return rank, rows
