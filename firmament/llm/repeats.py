@@ -35,16 +35,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from firmament.llm.common import (
-    SYMBOLS, binary_rows, exchange, fresh, keep, mix, packed, packed_schema, partitions, records, text_slices, unpack,
+    SYMBOLS, binary_rows, exchange, fresh, keep, mix, packed, packed_schema, partitions, records, slices, text_slices, unpack,
 )
 from firmament.llm.runindex import RunIndex
 
 LENGTH = 100
-ANCHOR = 32
+ANCHOR = 48
 SAMPLE = 20_000  # documents that name frequent anchors
 FREQUENT = 8  # documents of the sample that make an anchor frequent
 BLOCK = 1 << 20  # bytes that one index holds
-GROUPS = 8  # groups of documents per partition
+GROUPS = 2  # groups of documents per partition
 SPAN, HOT = 2, 1
 
 ENTRY = np.dtype([("a", "<u8"), ("c", "<u8"), ("doc", "<i8"), ("tag", "<u4"), ("g", "<u4"), ("start", "<u4"), ("size", "u1"), ("flag", "u1")])
@@ -62,13 +62,14 @@ def _slide(value: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
 
 
 def _run_hash(data: np.ndarray, width: int) -> np.ndarray:
-    """Hashes of all runs of ``width`` bytes, a power of two."""
+    """Hashes of all runs of ``width`` bytes."""
     out = SYMBOLS[data]
     reach, level = 1, 0
     with np.errstate(over="ignore"):
         while reach < width:
-            out = out[:-reach] * FACTORS[level] + out[reach:]
-            reach, level = 2 * reach, level + 1
+            more = min(reach, width - reach)
+            out = out[: len(out) - more] * FACTORS[level] + out[more:]
+            reach, level = reach + more, level + 1
     return out
 
 
@@ -214,8 +215,8 @@ def _frequent(docs: DataFrame, total: int, sample: int) -> np.ndarray:
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, sample: int = SAMPLE) -> DataFrame:
     """All rows and columns with ``spans`` (removed byte ranges) and ``kept`` (the other bytes)."""
-    if length < 2 * ANCHOR or length > 150:
-        raise ValueError("length must be between 64 and 150 bytes")
+    if not 2 * ANCHOR <= length <= 150:
+        raise ValueError("length must be between 96 and 150 bytes")
     spark = docs.sparkSession
     parts = partitions(spark)
     groups, wide = GROUPS * parts, 2 * length - ANCHOR
@@ -385,15 +386,19 @@ def _removed(left: pa.Table, spans: np.ndarray, doc_id: str, text: str, columns:
     by_doc: dict[tuple[int, int], list[int]] = {}
     for i, (d, t) in enumerate(zip(spans["doc"][kept].tolist(), spans["tag"][kept].tolist(), strict=True)):
         by_doc.setdefault((d, t), []).append(i)
-    removed, listed = np.zeros(len(data) + 1, np.int32), []
-    for i, own in enumerate(zip(doc_ids.tolist(), tags.tolist(), strict=True)):
-        mine = by_doc.get(own, [])
-        listed.append([{"start": int(start[k]), "end": int(end[k])} for k in mine])
-        for k in mine:
-            removed[offsets[i] + start[k]] += 1
-            removed[offsets[i] + end[k]] -= 1
-    stays = np.cumsum(removed[:-1]) == 0
-    before = np.concatenate([[0], np.cumsum(stays)])
+    listed, parts = [], []
+    for first, last in slices(offsets):
+        base, size = offsets[first], int(offsets[last] - offsets[first])
+        removed = np.zeros(size + 1, np.int32)
+        for i in range(first, last):
+            mine = by_doc.get((int(doc_ids[i]), int(tags[i])), [])
+            listed.append([{"start": int(start[k]), "end": int(end[k])} for k in mine])
+            for k in mine:
+                removed[offsets[i] - base + start[k]] += 1
+                removed[offsets[i] - base + end[k]] -= 1
+        stays = np.cumsum(removed[:-1]) == 0
+        before = np.concatenate([[0], np.cumsum(stays)])
+        parts.append(binary_rows(data[base : base + size][stays], before[offsets[first : last + 1] - base]))
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    arrays = [left.column(c) for c in columns] + [pa.array(listed, kind), binary_rows(data[stays], before[offsets])]
+    arrays = [left.column(c) for c in columns] + [pa.array(listed, kind), pa.chunked_array(parts, pa.binary())]
     return pa.table(arrays, names=[*columns, *names])
