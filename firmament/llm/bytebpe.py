@@ -27,7 +27,7 @@ from firmament.llm.common import append, unpack
 from firmament.llm.wordbpe import PLAIN, byte_letters, default_path
 
 VOCABULARY = "byte_bpe_50k.json"
-MEMO = 200_000  # entries of the memo at most; a full one is emptied
+MEMO = 120_000  # entries of the memo at most; a full one is emptied
 
 # Fixed value: the tokenizer's pattern, once for ``re`` on plain texts and once for all texts.
 PLAIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+")
@@ -109,15 +109,22 @@ def codec(path: str) -> ByteCodec:
     return ByteCodec(path)
 
 
-def encode(docs: DataFrame, text: str = "text", vocabulary: str | None = None) -> tuple[DataFrame, str]:
-    """All rows and columns with ``ids``, 32-bit little-endian words; and the name of that column."""
+def encode(docs: DataFrame, text: str = "text", vocabulary: str | None = None, check: bool = False) -> tuple[DataFrame, list[str]]:
+    """All rows and columns with ``ids``, 32-bit little-endian words; the names of the new columns.
+
+    With ``check`` also ``decoded``, the text that these ids decode to, made in the same pass.
+    """
 
     def start():
         own = codec(vocabulary or default_path(VOCABULARY))
-        return lambda texts: [pa.array([own.encode(t or "") for t in texts.to_pylist()], pa.binary())]
 
-    found, (name,) = append(docs, text, [("ids", T.BinaryType())], start)
-    return found, name
+        def work(texts: pa.Array) -> list[pa.Array]:
+            ids = [own.encode(t or "") for t in texts.to_pylist()]
+            return [pa.array(ids, pa.binary())] + [pa.array([own.decode(i) for i in ids], pa.string())] * check
+
+        return work
+
+    return append(docs, text, [("ids", T.BinaryType())] + [("decoded", T.StringType())] * check, start)
 
 
 def decode(docs: DataFrame, ids: str = "ids", vocabulary: str | None = None) -> tuple[DataFrame, str]:

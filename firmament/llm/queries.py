@@ -53,9 +53,8 @@ def pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document and the text that they decode to, as digests."""
-    encoded, ids = bytebpe.encode(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    decoded, text = bytebpe.decode(encoded.drop("text"), ids)
-    return decoded.select(
+    encoded, (ids, text) = bytebpe.encode(read_table(spark, sf_dir, "documents").select("doc_id", "text"), check=True)
+    return encoded.select(
         "doc_id", (F.octet_length(ids) / 4).cast("bigint").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
         F.sha2(F.col(text).cast("binary"), 256).alias("decoded_sha256"),
     )

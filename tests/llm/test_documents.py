@@ -129,8 +129,9 @@ def test_forced_pairs_are_cuts_no_token_crosses():
 
 
 def test_bpe_roundtrip_of_a_table(docs, empty, rows):
-    encoded, ids = bytebpe.encode(docs)
+    encoded, (ids, same) = bytebpe.encode(docs, check=True)
     decoded, text = bytebpe.decode(encoded, ids)
+    assert decoded.filter(F.col(same) != F.col(text)).isEmpty()
     got = decoded.select("doc_id", "text", text).collect()
     assert len(got) == len(rows) and all(r[2] == (r[1] or "") for r in got)
     assert bytebpe.encode(empty)[0].collect() == []
