@@ -33,6 +33,7 @@ def chase_pointers(pointers: DataFrame) -> DataFrame:
         )
         state = cut(state.filter(F.col("root").isNotNull()).unionByName(moved))
     raise RuntimeError("pointer chain did not resolve; the links hold a cycle")
+    raise RuntimeError("pointer chain did not resolve; the links hold a cycle")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -49,7 +50,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         .filter(F.col("a") != F.col("b"))
         .distinct()
     )
-    for _ in range(MAX_ROUNDS):
+    while True:
         if _are_stars(current):
             members = current.select(F.col("a").alias("node"), F.col("b").alias("component"))
             roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
@@ -69,7 +70,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
             .select(F.when(is_low, F.col("a")).otherwise(F.col("b")).alias("a"), F.col("low").alias("b"))
             .distinct()
         )
-    raise RuntimeError("components did not converge")
 
 
 def _are_stars(edges: DataFrame) -> bool:

@@ -27,9 +27,9 @@ def name_phone_key(name, fingerprint):
 
 
 def key_record(listings: DataFrame) -> DataFrame:
-    """What identifies a record: ``(ingest_seq, inn, website, source_url, name_norm, fps)``."""
+    """What identifies a record: ``(ingest_seq, inn, website, source_url, name_norm, fps)``, and its date."""
     return listings.select(
-        "ingest_seq", "inn", "website", "source_url",
+        "ingest_seq", "inn", "website", "source_url", "scrape_date",
         F.when(F.col("name") != "", N.normalize_name("name")).alias("name_norm"),
         N.fingerprints("phones").alias("fps"),
     )
@@ -45,7 +45,7 @@ def soft_entries(name, fps):
     return F.transform(fps, lambda fp: _entry(NAME_PHONE, F.when(name.isNotNull(), name_phone_key(name, fp))))
 
 
-def explode_keys(records: DataFrame) -> DataFrame:
+def explode_keys(records: DataFrame, number: str = "ingest_seq") -> DataFrame:
     """``(ingest_seq, has_inn, level, key)`` rows of key records."""
     single = F.array(
         _entry(INN, F.col("inn")),
@@ -53,7 +53,7 @@ def explode_keys(records: DataFrame) -> DataFrame:
         _entry(SOURCE, F.col("source_url")),
     )
     keys = filled(F.concat(single, soft_entries(F.col("name_norm"), F.col("fps"))))
-    return records.select("ingest_seq", F.col("inn").isNotNull().alias("has_inn"), F.inline(keys))
+    return records.select(number, F.col("inn").isNotNull().alias("has_inn"), F.inline(keys))
 
 
 def record_keys(listings: DataFrame) -> DataFrame:

@@ -3,19 +3,23 @@
 A batch means "these cards, one after another in ``ingest_seq`` order", although all
 of them are resolved at once:
 
-* A record follows the first cascade level on which some company held its key before
-  it arrived, and there the oldest such company.  That gives every record at most one
+* A record follows the first cascade level on which some company held its key when it
+  arrived, and there the oldest such company.  That gives every record at most one
   parent, and pointer chasing turns parents into companies.
 * A record without a parent founds a company and its ``ingest_seq`` becomes the
   ``company_id``: unique, stable over re-runs and ordered by arrival.
-* Which keys a company holds, and from when, depends on its earlier records: the first
-  inn and the first website count, a name also counts with phones from other records,
-  and a company is open for a foreign inn only until it has one.  So the step is
-  repeated with the keys of the companies found, until no parent changes.  A decision
-  depends on earlier records only, hence there is one fixpoint and the rounds reach it.
-
-Only narrow key rows take part; afterwards one aggregation per table folds existing
-and new values.
+* A company holds its first inn, its first website and its source addresses for good, a
+  name with each of its phones while that is its current name, and it is open for a
+  foreign inn until it has one.  All this follows from the company's earlier records, so
+  the step is repeated with the companies found until none changes.
+
+A decision depends on earlier records only.  Hence every round settles at least the
+earliest record that is not settled yet, there is one fixpoint, and the rounds end there;
+a company that merges into another over a chain of keys takes a round per link.
+
+Arrivals are numbered without gaps first, over ranges of a sample's quantiles, so slices of
+them hold equal numbers of records whatever ``ingest_seq`` looks like.  Only narrow key rows
+take part; afterwards one aggregation per table folds existing and new values.
 """
 
 from __future__ import annotations
@@ -38,12 +42,11 @@ from firmament.operators.match import (
     explode_keys,
     filled,
     key_record,
-    soft_entries,
+    name_phone_key,
 )
 from firmament.schemas import COMPANIES, FRESH, IMMUTABLE, OFFICIAL, Master
 from firmament.session import cut
 
-MAX_ROUNDS = 50
 NEVER = 2**62
 KNOWN_SEQ = -1
 
@@ -51,26 +54,36 @@ KNOWN_SEQ = -1
 # older than any company the batch founds.
 OFFSET = 2**62
 
-# Records per slice of arrival numbers: the size a key's running minimum is worked in.
+# Records per slice of arrivals: the size a key's running minimum is worked in.
 SLICE = 1_000_000
 
 
 @dataclass(frozen=True)
 class Slices:
-    """Arrival numbers cut into stretches of equal width."""
+    """Arrivals 0 to ``records`` - 1 in stretches of ``SLICE``."""
 
-    width: int
-    first: int
-    last: int
-
-    @classmethod
-    def of(cls, low: int, high: int, records: int) -> "Slices":
-        """About ``SLICE`` records each, also when arrival numbers have gaps."""
-        width = max(SLICE, -(-(high - low + 1) // max(1, -(-records // SLICE))))
-        return cls(width, low // width, high // width)
+    records: int
 
     def number(self, arrival: Column) -> Column:
-        return F.greatest(F.floor(arrival / F.lit(self.width)), F.lit(self.first))
+        return F.greatest(F.floor(arrival / F.lit(SLICE)), F.lit(0))
+
+    @property
+    def levels(self) -> int:
+        """Halvings that cut all arrivals down to one."""
+        return max(1, self.records).bit_length()
+
+
+def number_arrivals(records: DataFrame) -> tuple[DataFrame, int]:
+    """Records with ``seq``, their place in the order of arrival from 0 on, and how many there are."""
+    spark = records.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut(records.repartitionByRange(parts, "ingest_seq").withColumn("part", F.spark_partition_id()))
+    sizes = ranged.groupBy("part").count()  # a row per partition
+    before = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
+    nth = F.row_number().over(Window.partitionBy("part").orderBy("ingest_seq"))
+    numbered = ranged.withColumn("nth", nth).join(bases, "part").withColumn("seq", F.col("base") + F.col("nth") - 1)
+    return cut(numbered.drop("part", "nth", "base")), sum(r["count"] for r in sizes.collect())
 
 
 def known_code(company_id: Column) -> Column:
@@ -82,115 +95,123 @@ def company_of(code: Column) -> Column:
 
 
 def known_offers(wanted: DataFrame, master: Master) -> DataFrame:
-    """``(level, key, company_id, open)``: per wanted key the lowest known company, and the
-    lowest one without inn."""
+    """``(level, key, company_id)``: known holders of wanted keys, on the name-and-phone level all of
+    them, elsewhere the oldest, as nothing takes those keys away."""
     asked = wanted.select("level", "key").distinct()
-    index = (
-        company_keys(master)
-        .join(asked, ["level", "key"], "left_semi")
-        .groupBy("level", "key")
-        .agg(
-            F.min("company_id").alias("any_id"),
-            F.min(F.when(~F.col("has_inn"), F.col("company_id"))).alias("open_id"),
-        )
-    )
-    offers = F.array(
-        F.struct(F.col("any_id").alias("company_id"), F.lit(False).alias("open")),
-        F.struct(
-            F.when(F.col("level") == NAME_PHONE, F.col("open_id")).alias("company_id"), F.lit(True).alias("open")
-        ),
-    )
-    return (
-        index.select("level", "key", F.inline(offers))
-        .filter(F.col("company_id").isNotNull())
-        .withColumn("company_id", known_code(F.col("company_id")))
+    held = company_keys(master).join(asked, ["level", "key"], "left_semi")
+    soft = F.col("level") == NAME_PHONE
+    oldest = held.filter(~soft).groupBy("level", "key").agg(F.min("company_id").alias("company_id"))
+    return oldest.unionByName(held.filter(soft).select("level", "key", "company_id").distinct()).withColumn(
+        "company_id", known_code(F.col("company_id"))
     )
 
 
 def known_members(offers: DataFrame, master: Master) -> DataFrame:
     """Known companies the batch may touch, in the shape of key records that came before it.
 
-    A company that has no name yet also brings its phones, one per row.
+    One row has the company's own fields, further rows one phone each.
     """
     touched = offers.select(company_of(F.col("company_id")).alias("company_id")).distinct()
     companies = master.companies.join(touched, "company_id", "left_semi").select(
-        "company_id", "inn", "website", F.when(F.col("name") != "", N.normalize_name("name")).alias("name_norm")
+        "company_id", "inn", "website", F.when(F.col("name") != "", N.normalize_name("name")).alias("name_norm"),
+        "scrape_date", F.array().cast("array<string>").alias("fps"),
     )
+    nothing = F.lit(None).cast("string")
     phones = (
         master.contacts.filter(F.col("contact_type") == "phone")
         .select("company_id", N.digits("value").alias("fp"))
         .filter(N.usable_fingerprint(F.col("fp")))
+        .join(touched, "company_id", "left_semi")
+        .select("company_id", nothing.alias("inn"), nothing.alias("website"), nothing.alias("name_norm"),
+                nothing.alias("scrape_date"), F.array("fp").alias("fps"))
     )
-    no_phone = F.array().cast("array<string>")
-    nameless = companies.filter(F.col("name_norm").isNull()).join(phones, "company_id")
-    members = companies.withColumn("fps", no_phone).unionByName(
-        nameless.withColumn("fps", F.array("fp")).drop("fp")
-    )
-    return members.select(
+    return companies.unionByName(phones).select(
         known_code(F.col("company_id")).alias("company_id"), F.lit(KNOWN_SEQ).cast("bigint").alias("seq"), "inn", "website",
-        F.lit(None).cast("string").alias("source_url"), "name_norm", "fps",
+        F.lit(None).cast("string").alias("source_url"), "name_norm", "scrape_date", "fps",
     )
 
 
 def company_marks(rows: DataFrame) -> DataFrame:
-    """When a company got its inn and website, and its first name."""
+    """First inn and first website of a company, and when it got them."""
 
-    def since(c):
-        return F.min(F.when(F.col(c).isNotNull(), F.col("seq")))
+    def first(c):
+        return F.min(F.when(F.col(c).isNotNull(), F.struct("seq", c))).alias(f"first_{c}")
 
-    named = F.min(F.when(F.col("name_norm").isNotNull(), F.struct("seq", "name_norm")))
+    return rows.groupBy("company_id").agg(first("inn"), first("website"))
+
+
+def running(rows: DataFrame, group: list[str], value: Column, later: bool, slices: Slices) -> DataFrame:
+    """Rows with ``run``: the greatest value of a group's earlier rows, or the least of its later ones.
+
+    Worked in slices of arrivals: inside a slice over its rows, across slices over one
+    value each, so a group that holds a third of all records is no single task.
+    """
+    best = F.min if later else F.max
+    edge = (1, Window.unboundedFollowing) if later else (Window.unboundedPreceding, -1)
+    sliced = rows.withColumn("slice", slices.number(F.col("seq"))).withColumn("value", value)
+    inside = Window.partitionBy(*group, "slice").orderBy("seq").rowsBetween(*edge)
+    across = Window.partitionBy(*group).orderBy("slice").rowsBetween(*edge)
+    outer = sliced.groupBy(*group, "slice").agg(best("value").alias("own")).select(
+        *group, "slice", best("own").over(across).alias("outer")
+    )
+    pick = F.least if later else F.greatest
     return (
-        rows.groupBy("company_id")
-        .agg(since("inn").alias("inn_since"), since("website").alias("website_since"), named.alias("n"))
-        .select(
-            "company_id", F.coalesce("inn_since", F.lit(NEVER)).alias("inn_since"), "website_since",
-            F.col("n.name_norm").alias("own_name"), F.col("n.seq").alias("name_since"),
-        )
+        sliced.withColumn("near", best("value").over(inside)).join(outer, [*group, "slice"])
+        .withColumn("run", pick("near", "outer")).drop("slice", "value", "near", "outer")
     )
 
 
-def held_keys(rows: DataFrame, marks: DataFrame) -> DataFrame:
-    """``(level, key, since, company_id, inn_since)``: keys a company holds and from which arrival on."""
+def held_names(rows: DataFrame, slices: Slices) -> DataFrame:
+    """``(company_id, name_norm, since, until)``: from which arrival to which a name is a company's current one.
 
-    def entry(level, key, since):
-        return F.struct(F.lit(level).alias("level"), key.alias("key"), since.alias("since"))
-
-    seq = F.col("seq")
-    single = F.array(
-        entry(INN, F.when(seq == F.col("inn_since"), F.col("inn")), seq),
-        entry(WEBSITE, F.when(seq == F.col("website_since"), F.col("website")), seq),
-        entry(SOURCE, F.col("source_url"), seq),
-    )
-    own = F.transform(
-        soft_entries(F.col("name_norm"), F.col("fps")), lambda e: F.struct(e["level"], e["key"], seq.alias("since"))
+    A record's name replaces another one unless that came with a newer scrape date.
+    """
+    named = rows.filter(F.col("name_norm").isNotNull())
+    spans = named.groupBy("company_id").agg(
+        F.min("name_norm").alias("low"), F.max("name_norm").alias("high"), F.min("seq").alias("since")
     )
-    # The company's name also goes with phones that came without it.
-    borrowed = F.transform(
-        soft_entries(F.when(~F.col("own_name").eqNullSafe(F.col("name_norm")), F.col("own_name")), F.col("fps")),
-        lambda e: F.struct(e["level"], e["key"], F.greatest(seq, F.col("name_since")).alias("since")),
+    lasting = spans.filter("low = high").select("company_id", F.col("low").alias("name_norm"), "since", F.lit(NEVER).alias("until"))
+    renamed = named.join(spans.filter("low <> high").select("company_id"), "company_id").select(
+        "company_id", "seq", "name_norm", F.coalesce("scrape_date", F.lit("")).alias("dated")
     )
-    return rows.join(marks, "company_id").select(
-        "company_id", "inn_since", F.inline(filled(F.concat(single, own, borrowed)))
+    setting = running(renamed, ["company_id"], F.col("dated"), False, slices).filter(
+        F.col("run").isNull() | (F.col("dated") >= F.col("run"))
     )
+    following = running(setting.drop("run"), ["company_id"], F.col("seq"), True, slices)
+    return lasting.unionByName(following.select(
+        "company_id", "name_norm", F.col("seq").alias("since"), F.coalesce("run", F.lit(NEVER)).alias("until")
+    ))
+
 
+def key_offers(rows: DataFrame, known: DataFrame, slices: Slices) -> DataFrame:
+    """``(level, key, company_id, since, until, inn_since)``: held keys of batch and known companies.
 
-def key_offers(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """Held keys of batch and known companies, one row per key and company."""
+    A company holds a key for arrivals after ``since`` and up to ``until``.
+    """
     marks = company_marks(rows)
-    fixed = known.join(marks.select("company_id", "inn_since"), "company_id", "left").select(
-        "level", "key", F.lit(KNOWN_SEQ).cast("bigint").alias("since"), "company_id",
-        F.when(F.col("open"), F.coalesce("inn_since", F.lit(NEVER))).otherwise(F.lit(KNOWN_SEQ)).alias("inn_since"),
-    )
-    return (
-        held_keys(rows, marks)
-        .unionByName(fixed)
-        .groupBy("level", "key", "company_id")
-        .agg(F.min("since").alias("since"), F.max("inn_since").alias("inn_since"))
+
+    def entry(level, field):
+        return F.struct(F.lit(level).alias("level"), F.col(f"first_{field}")[field].alias("key"), F.col(f"first_{field}.seq").alias("since"))
+
+    before = F.lit(KNOWN_SEQ).cast("bigint").alias("since")
+    hard = (
+        marks.select("company_id", F.inline(filled(F.array(entry(INN, "inn"), entry(WEBSITE, "website")))))
+        .unionByName(rows.filter(F.col("source_url").isNotNull()).groupBy("company_id", F.col("source_url").alias("key")).agg(
+            F.min("seq").alias("since")).withColumn("level", F.lit(SOURCE)))
+        .unionByName(known.filter(F.col("level") != NAME_PHONE).select("company_id", "level", "key", before))
     )
+    never = F.lit(NEVER)
+    phones = rows.select("company_id", "seq", F.explode("fps").alias("fp")).groupBy("company_id", "fp").agg(F.min("seq").alias("heard"))
+    inns = marks.select("company_id", F.coalesce("first_inn.seq", never).alias("inn_since"))
+    soft = held_names(rows, slices).join(phones, "company_id").join(inns, "company_id").select(
+        "company_id", F.lit(NAME_PHONE).alias("level"), name_phone_key(F.col("name_norm"), F.col("fp")).alias("key"),
+        F.greatest("since", "heard").alias("since"), "until", "inn_since",
+    ).filter("since < until")
+    return hard.withColumns({"until": never, "inn_since": never}).unionByName(soft)
 
 
 def oldest_holders(wanted: DataFrame, offers: DataFrame, slices: Slices) -> DataFrame:
-    """Oldest company that held a wanted key before the record arrived.
+    """Oldest company that held a wanted key before the record arrived, of those that never lose it.
 
     A running minimum over the arrivals of a key, taken in slices: inside a slice
     over its rows, across slices over one minimum each.  So a key that a third of
@@ -198,97 +219,105 @@ def oldest_holders(wanted: DataFrame, offers: DataFrame, slices: Slices) -> Data
     """
     none = F.lit(None).cast("bigint")
     events = offers.select(
-        "level", "key", F.col("since").alias("at"), F.lit(1).alias("side"), F.col("company_id").alias("holder"),
-        none.alias("ingest_seq"),
+        "guarded", "level", "key", F.col("since").alias("at"), F.lit(1).alias("side"), F.col("company_id").alias("holder"),
+        none.alias("seq"),
     ).unionByName(
-        wanted.select(
-            "level", "key", F.col("ingest_seq").alias("at"), F.lit(0).alias("side"), none.alias("holder"), "ingest_seq"
-        )
+        wanted.select("guarded", "level", "key", F.col("seq").alias("at"), F.lit(0).alias("side"), none.alias("holder"), "seq")
     )
-    group = ["level", "key"]
-    if slices.last > slices.first:
-        events = cut(events.withColumn("slice", slices.number(F.col("at"))))
-        group = [*group, "slice"]
+    group = ["guarded", "level", "key", "slice"]
+    events = events.withColumn("slice", slices.number(F.col("at")))
     inside = Window.partitionBy(*group).orderBy("at", "side").rowsBetween(Window.unboundedPreceding, -1)
     near = events.withColumn("near", F.min("holder").over(inside)).filter(F.col("side") == 0)
-    if slices.last == slices.first:
-        return near.select("ingest_seq", "level", F.col("near").alias("holder"))
-    before = Window.partitionBy("level", "key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*group[:3]).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     earlier = (
         events.groupBy(*group)
         .agg(F.min("holder").alias("low"))
         .select(*group, F.min("low").over(before).alias("earlier"))
         .filter(F.col("earlier").isNotNull())
     )
-    return near.join(earlier, group, "left").select(
-        "ingest_seq", "level", F.least("near", "earlier").alias("holder")
-    )
+    return near.join(earlier, group, "left").select("seq", "level", F.least("near", "earlier").alias("holder"))
 
 
-def open_holders(wanted: DataFrame, offers: DataFrame) -> DataFrame:
-    """Company without inn that held a wanted name-and-phone key when the record arrived."""
-    spot = F.struct("company_id", "since", "inn_since")
-    spots = (
-        offers.filter((F.col("level") == NAME_PHONE) & (F.col("inn_since") > F.col("since")))
-        .groupBy("level", "key")
-        .agg(
-            F.min(spot).alias("oldest"),
-            F.min(F.struct("since", spot.alias("spot")))["spot"].alias("first"),
-            F.max(F.struct("inn_since", (-F.col("company_id")).alias("age"), spot.alias("spot")))["spot"].alias("longest"),
-        )
-    )
-
-    def fits(c):
-        return (F.col(f"{c}.since") < F.col("ingest_seq")) & (F.col(f"{c}.inn_since") >= F.col("ingest_seq"))
+def passing_holders(wanted: DataFrame, offers: DataFrame, slices: Slices) -> DataFrame:
+    """Oldest company that held a wanted key when the record arrived, of those that lose it again.
 
-    choice = F.coalesce(*[F.when(fits(c), F.col(f"{c}.company_id")) for c in ("oldest", "first", "longest")])
-    return wanted.join(spots, ["level", "key"]).select("ingest_seq", "level", choice.alias("holder"))
+    The arrivals for which a key is held are a range, and a range falls into a few halves,
+    quarters, eighths ... of all arrivals, two of a size at most.  A record lies in one
+    piece of each size, so this is an equal join on pieces with one minimum each.
+    """
+    size = F.explode(F.sequence(F.lit(0), F.lit(slices.levels))).alias("size")
+    group = ["guarded", "level", "key", "size", "piece"]
+    last = F.least(F.col("until") + 1, F.lit(slices.records))
+    ranges = offers.select("guarded", "level", "key", "company_id", (F.col("since") + 1).alias("first"), last.alias("last"), size).select(
+        "guarded", "level", "key", "company_id", "size",
+        F.expr("shiftright(first + shiftleft(1L, size) - 1, size)").alias("low"), F.expr("shiftright(last, size)").alias("high"),
+    ).filter("low < high")
+    left = F.when(F.col("low") % 2 == 1, F.col("low"))
+    right = F.when(F.col("high") % 2 == 1, F.col("high") - 1)
+    pieces = ranges.withColumn("piece", F.explode(F.array_compact(F.array(left, right)))).groupBy(*group).agg(
+        F.min("company_id").alias("holder")
+    )
+    concerned = wanted.join(offers.select("guarded", "level", "key").distinct(), ["guarded", "level", "key"], "left_semi")
+    places = concerned.select("guarded", "level", "key", "seq", size).withColumn("piece", F.expr("shiftright(seq, size)"))
+    return places.join(pieces, group).groupBy("seq", "level").agg(F.min("holder").alias("holder"))
 
 
 def parent_pointers(wanted: DataFrame, offers: DataFrame, slices: Slices) -> DataFrame:
-    """``(node, root, parent)``: the known company or the founding record a record follows."""
-    guarded = (F.col("level") == NAME_PHONE) & F.col("has_inn")
-    found = oldest_holders(wanted.filter(~guarded), offers, slices).unionByName(
-        open_holders(wanted.filter(guarded), offers)
+    """``(node, root, parent)``: the known company or the founding record a record follows.
+
+    A record with an inn is guarded on the name-and-phone level: it may only follow a
+    company that has none yet.
+    """
+    soft = F.col("level") == NAME_PHONE
+    asked = wanted.withColumn("guarded", soft & F.col("has_inn"))
+    given = offers.withColumn("guarded", F.lit(False)).unionByName(
+        offers.filter(soft).withColumn("guarded", F.lit(True)).withColumn("until", F.least("until", "inn_since")).filter("since < until")
+    )
+    found = oldest_holders(asked, given.filter(F.col("until") == NEVER), slices).unionByName(
+        passing_holders(asked, given.filter(F.col("until") < NEVER), slices)
     )
     levels = list(LEVELS.values())
     # Every record has a source key, so this names all records.  Plain minima per
     # level aggregate by hash and combine before the shuffle.
-    hits = found.groupBy("ingest_seq").agg(
+    hits = found.groupBy("seq").agg(
         *[F.min(F.when(F.col("level") == n, F.col("holder"))).alias(f"holder_{n}") for n in levels]
     )
     holder = F.coalesce(*[F.col(f"holder_{n}") for n in levels])
     return hits.select(
-        F.col("ingest_seq").alias("node"),
-        F.when(holder.isNull(), F.col("ingest_seq")).when(holder < 0, holder).alias("root"),
+        F.col("seq").alias("node"),
+        F.when(holder.isNull(), F.col("seq")).when(holder < 0, holder).alias("root"),
         F.when(holder >= 0, holder).alias("parent"),
     )
 
 
 def assign_companies(listings: DataFrame, master: Master) -> DataFrame:
     """``(ingest_seq, company_id)`` for every record of a normalised batch."""
-    records = cut(key_record(listings))
-    wanted = explode_keys(records)
+    records, count = number_arrivals(key_record(listings))
+    slices = Slices(count)
+    wanted = cut(explode_keys(records, "seq"))
     known = cut(known_offers(wanted, master))
     members = cut(known_members(known, master))
-    low, high, count = records.agg(F.min("ingest_seq"), F.max("ingest_seq"), F.count("*")).head()
-    slices = Slices.of(low or 0, high or 0, count)
-    assigned = records.select("ingest_seq", F.col("ingest_seq").alias("company_id"))
-    for _ in range(MAX_ROUNDS):
-        rows = records.join(assigned, "ingest_seq").withColumnRenamed("ingest_seq", "seq").unionByName(members)
-        offers = cut(key_offers(rows, known))
+    fields = records.select("seq", "inn", "website", "source_url", "name_norm", "scrape_date", "fps")
+    assigned = records.select("seq", F.col("seq").alias("company_id"))
+    while True:
+        rows = cut(fields.join(assigned, "seq").unionByName(members))
+        offers = cut(key_offers(rows, known, slices))
         following = chase_pointers(cut(parent_pointers(wanted, offers, slices))).select(
-            F.col("node").alias("ingest_seq"), F.col("root").alias("company_id")
+            F.col("node").alias("seq"), F.col("root").alias("company_id")
         )
         if _same_companies(assigned, following):
-            return following.withColumn("company_id", company_of(F.col("company_id")))
+            break
         assigned = following
-    raise RuntimeError("company assignment did not settle")
+    numbers = records.select("seq", "ingest_seq")
+    founders = numbers.select(F.col("seq").alias("company_id"), F.col("ingest_seq").alias("founder"))
+    return following.join(numbers, "seq").join(founders, "company_id", "left").select(
+        "ingest_seq", F.coalesce("founder", company_of(F.col("company_id"))).alias("company_id")
+    )
 
 
 def _same_companies(a: DataFrame, b: DataFrame) -> bool:
     other = b.withColumnRenamed("company_id", "other_id")
-    return a.join(other, "ingest_seq").filter(F.col("company_id") != F.col("other_id")).isEmpty()
+    return a.join(other, "seq").filter(F.col("company_id") != F.col("other_id")).isEmpty()
 
 
 def fold_companies(existing: DataFrame, assigned: DataFrame) -> DataFrame:

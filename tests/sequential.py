@@ -24,13 +24,13 @@ def arrive(records):
         ))
         if not c:
             c = {"id": r["ingest_seq"], "inn": None, "website": None, "name": None, "urls": set(), "fps": set(),
-                 "address": None, "date": "", "first": r["scrape_date"]}
+                 "address": None, "date": "", "named": "", "first": r["scrape_date"]}
             companies.append(c)
         fresh = r["scrape_date"] >= c["date"]
         c["inn"] = c["inn"] or r["inn"]
         c["website"] = c["website"] or r["website"]
-        if r["name"] and fresh:
-            c["name"] = r["name"].lower()
+        if r["name"] and r["scrape_date"] >= c["named"]:
+            c["name"], c["named"] = r["name"].lower(), r["scrape_date"]
         if r["address"] and fresh:
             c["address"] = r["address"]
         c["date"] = r["scrape_date"]

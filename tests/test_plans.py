@@ -24,12 +24,13 @@ def test_no_cross_joins(spark, tables):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         records = match.key_record(listings)
-        wanted = match.explode_keys(records)
-        rows = records.withColumnRenamed("ingest_seq", "seq").withColumn("company_id", F.col("seq"))
-        offers = upsert.key_offers(rows, upsert.known_offers(wanted, master))
+        records = records.withColumnRenamed("ingest_seq", "seq")
+        wanted, slices = match.explode_keys(records, "seq"), upsert.Slices(20)
+        rows = records.withColumn("company_id", F.col("seq"))
+        offers = upsert.key_offers(rows, upsert.known_offers(wanted, master), slices)
         for df in [
             match.match_batch(listings, master), dedup.website_id_map(master.companies), dedup.name_phone_edges(master),
-            report.registry_report(master, has_phone=True, site_key="s"), offers, upsert.parent_pointers(wanted, offers, upsert.Slices(10**6, 0, 0)),
+            report.registry_report(master, has_phone=True, site_key="s"), offers, upsert.parent_pointers(wanted, offers, slices),
         ]:
             text = plan(df)
             assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text

@@ -64,12 +64,13 @@ def test_upsert_equals_one_by_one(spark, monkeypatch, seed, slice_size):
     assert quality.orphans(master).isEmpty()
 
 
-def test_slices_follow_the_record_count():
-    dense = upsert.Slices.of(0, 10 * upsert.SLICE - 1, 10 * upsert.SLICE)
-    assert (dense.width, dense.first, dense.last) == (upsert.SLICE, 0, 9)
-    sparse = upsert.Slices.of(10**15, 10**15 + 10**12, 3 * upsert.SLICE)
-    assert sparse.last - sparse.first <= 3
-    assert upsert.Slices.of(0, 0, 0) == upsert.Slices(upsert.SLICE, 0, 0)
+def test_arrivals_are_numbered_without_gaps(spark):
+    rows = entities(12, 5, 50)
+    for k, r in enumerate(rows):
+        r["ingest_seq"] = 10**15 if k == 49 else k * k
+    numbered, count = upsert.number_arrivals(match.key_record(frame(spark, rows)))
+    got = {r.ingest_seq: r.seq for r in numbered.collect()}
+    assert count == 50 and [got[r["ingest_seq"]] for r in rows] == list(range(50))
 
 
 def test_arrival_numbers_with_gaps(spark, monkeypatch):
@@ -81,18 +82,46 @@ def test_arrival_numbers_with_gaps(spark, monkeypatch):
     assert assignment(spark, rows) == where
 
 
+def in_batches(spark, rows, cuts):
+    """Companies of all records when they come in several batches."""
+    master, got = empty_master(spark), {}
+    for a, b in zip([0, *cuts], [*cuts, len(rows)], strict=True):
+        got |= assignment(spark, rows[a:b], master)
+        if b < len(rows):
+            master = upsert.upsert_batch(frame(spark, rows[a:b]), master)
+            master = Master(**{n: cut(d) for n, d in master.tables().items()})
+    return got
+
+
+def one_by_one(spark, rows):
+    return arrive([r.asDict() for r in frame(spark, rows).collect()])[0]
+
+
 def test_two_batches_equal_one(spark):
     rows = entities(3, 30, 300)
-    where, _ = arrive([r.asDict() for r in frame(spark, rows).collect()])
-    first = upsert.upsert_batch(frame(spark, rows[:150]), empty_master(spark))
-    first = Master(**{n: cut(d) for n, d in first.tables().items()})
-    assert assignment(spark, rows[150:], first) == {k: v for k, v in where.items() if k >= 150}
+    assert in_batches(spark, rows, [150]) == one_by_one(spark, rows)
+
+
+def collisions(seed, n):
+    """Records that share phones, rename companies, cross sites and bring inns late."""
+    rnd = random.Random(seed)
+    return [
+        listing(
+            seq, url=f"http://c/{rnd.randrange(n) if rnd.random() < 0.3 else 1000 + seq}",
+            inn=f"77{rnd.randrange(5):08d}" if rnd.random() < 0.3 else None,
+            website=f"http://w{rnd.randrange(6)}.ru" if rnd.random() < 0.35 else None,
+            name="АБВГ"[rnd.randrange(4)] if rnd.random() < 0.8 else None,
+            phones=[f"+7 (495) 000-00-0{rnd.randrange(4)}" for _ in range(rnd.randrange(3))],
+            scrape_date=f"2024-01-{1 + seq:02d}",
+        )
+        for seq in range(n)
+    ]
 
 
 PHONE = ["+7 (495) 111-22-33"]
 
 
-@pytest.mark.parametrize("rows", [
+CASES = [
     # a company without inn takes its first claimant only
     [dict(name="А", phones=PHONE), dict(name="А", phones=PHONE, inn="7700000001"), dict(name="А", phones=PHONE, inn="7700000002")],
     # a record without inn joins the oldest company
@@ -103,13 +132,50 @@ PHONE = ["+7 (495) 111-22-33"]
     [dict(name="Тигр", phones=PHONE, website="a.ru"), dict(name="Тигр", phones=["+7 (812) 333-22-11"], website="b.ru")],
     # short numbers identify nobody
     [dict(name="А", phones=["02"]), dict(name="А", phones=["02"])],
+    # of several holders of a key, one loses it to an inn that comes over its site
+    [dict(name="Н", phones=PHONE), dict(name="Х", phones=["+7 (495) 222-22-33"], website="w2.ru"),
+     dict(name="У", phones=["+7 (495) 333-22-33"], website="w3.ru"), dict(name="Н", phones=PHONE, website="w2.ru"),
+     dict(name="Н", phones=PHONE, website="w3.ru"), dict(url="http://c/0", inn="7700000001"), dict(name="Н", phones=PHONE, inn="7700000002")],
+    # a renamed company is found under its new name only
+    [dict(name="Х", phones=PHONE, website="a.ru"), dict(name="У", website="a.ru"), dict(name="Х", phones=PHONE)],
+    [dict(name="Х", phones=PHONE, website="a.ru"), dict(name="У", website="a.ru"), dict(name="У", phones=PHONE)],
+    # a name that comes back
+    [dict(name="Х", phones=PHONE, website="a.ru"), dict(name="У", website="a.ru"), dict(name="Х", website="a.ru"), dict(name="Х", phones=PHONE)],
     # a chain over three different keys
     [dict(website="a.ru", name="А"), dict(website="a.ru", inn="7700000001"), dict(inn="7700000001", name="Б", phones=PHONE), dict(name="Б", phones=PHONE)],
-])
-def test_cascade_cases(spark, rows):
-    rows = [listing(i, **r) for i, r in enumerate(rows)]
-    where, _ = arrive([r.asDict() for r in frame(spark, rows).collect()])
-    assert assignment(spark, rows) == where
+]
+CHAIN = [dict(website="s0.ru")] + [
+    fields for k in range(1, 4) for fields in (dict(website=f"s{k - 1}.ru", inn=f"77{k:08d}"), dict(inn=f"77{k:08d}", website=f"s{k}.ru"))
+]
+
+
+def worlds():
+    """Cases, a chain of links and 50 random collections, each with keys of its own, arriving in turns."""
+    own = [[listing(i, **r) for i, r in enumerate(rows)] for rows in [*CASES, CHAIN]] + [collisions(seed, 12) for seed in range(50)]
+    rows = []
+    for k in range(max(map(len, own))):
+        for world, records in enumerate(own):
+            if k < len(records):
+                r = records[k]
+                r["source_url"] += f"/{world}"
+                r["inn"] = r["inn"] and r["inn"][:2] + f"{world:02d}" + r["inn"][4:]
+                r["website"] = r["website"] and f"http://x{world}." + r["website"].removeprefix("http://")
+                r["phones"] = [p.replace("(495)", f"({400 + world})").replace("(812)", f"({500 + world})") for p in r["phones"]]
+                r["ingest_seq"] = len(rows)
+                r["scrape_date"] = f"2024-01-{1 + k:02d}"
+                rows.append(r)
+    return rows
+
+
+def test_collisions_in_one_batch(spark, monkeypatch):
+    monkeypatch.setattr(upsert, "SLICE", 100)
+    rows = worlds()
+    assert assignment(spark, rows) == one_by_one(spark, rows)
+
+
+def test_collisions_in_two_batches(spark):
+    rows = worlds()
+    assert in_batches(spark, rows, [300]) == one_by_one(spark, rows)
 
 
 def small_master(spark):
