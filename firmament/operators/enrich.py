@@ -15,6 +15,7 @@ from firmament.operators.filters import filter_companies, recheck_due, take
 from firmament.operators.skew import top_k_per_group
 from firmament.schemas import OFFICIAL, RESULTS, Master
 from firmament.session import cut
+from firmament.sources.snapshots import fresh_responses
 
 NESTED_PAYLOAD = (
     "suggestions array<struct<data struct<inn string,"
@@ -167,11 +168,12 @@ def provider_results(responses: DataFrame, providers: list[Provider] = PROVIDERS
 
 
 def provider_chain(results: DataFrame) -> DataFrame:
-    """Answer of the first provider that has one for an inn."""
+    """Answer of the first provider that has one for an inn, its newest if there are several."""
     rest = [c for c in RESULTS.names if c != "inn"]
+    first = F.struct((-F.col("priority")).alias("early"), F.col("verified_at").alias("newest"), *rest)
     return (
         results.groupBy("inn")
-        .agg(F.min(F.struct("priority", *rest)).alias("r"))
+        .agg(F.max(first).alias("r"))
         .select("inn", *[F.col(f"r.{c}") for c in rest])
     )
 
@@ -211,10 +213,14 @@ def enrichment_totals(requested: DataFrame, results: DataFrame, as_of: Column) -
 
 
 def enrich_master(master: Master, responses: DataFrame, as_of: Column, limit: int = 0,
-                  providers: list[Provider] = PROVIDERS, **options) -> Master:
-    """Candidates, provider chain and update in one job."""
+                  providers: list[Provider] = PROVIDERS, ttl_days: int = fv.RESPONSE_TTL_DAYS, **options) -> Master:
+    """Candidates, newest fresh answers, provider chain and update in one job.
+
+    Of a provider's answers for an inn the newest counts, and only while it is no older
+    than ``ttl_days`` (0: any age).
+    """
     wanted = enrich_candidates(master, as_of, limit, **options)
-    answers = provider_chain(provider_results(responses, providers))
+    answers = provider_chain(provider_results(fresh_responses(responses, as_of, ttl_days), providers))
     return master.with_tables(companies=update_official(master.companies, results_by_company(wanted, answers)))
 
 

@@ -215,6 +215,9 @@ SELECT inn, CASE WHEN {jstr(ROW + '.e')} <> '' THEN 'LIQUIDATED' WHEN contains(u
        CASE WHEN contains({G}, ':') THEN trim(split_part({G}, ':', 2)) ELSE trim({G}) END, NULL,
        {seconds('fetched_at')}, 'ФНС ЕГРЮЛ (egrul.nalog.ru)', 2
   FROM {RESPONSES} r WHERE provider = 'B'"""
+NEWEST_RESPONSES = f"""(SELECT provider, inn, fetched_at, payload FROM ({views.FX_MANY_RESPONSES}) m
+  WHERE fetched_at >= TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY
+  QUALIFY row_number() OVER (PARTITION BY provider, inn ORDER BY fetched_at DESC) = 1)"""
 CHAIN = f"SELECT * EXCLUDE (priority) FROM ({RESULTS}) q QUALIFY row_number() OVER (PARTITION BY inn ORDER BY priority) = 1"
 DUE = (
     "inn IS NOT NULL AND (official_verified_at IS NULL OR "
@@ -227,7 +230,7 @@ OFFICIAL = [
 ]
 
 
-def updated(columns, companies, due, has_official=True):
+def updated(columns, companies, due, has_official=True, chain=CHAIN):
     def pick(c):
         if c not in OFFICIAL:
             return f"c.{c}"
@@ -236,7 +239,7 @@ def updated(columns, companies, due, has_official=True):
         return f"CASE WHEN r.inn IS NOT NULL THEN {new} ELSE {old} END AS {c}"
 
     return f"""SELECT {', '.join(pick(c) for c in columns)} FROM {companies} c
-  LEFT JOIN ({CHAIN}) r ON r.inn = c.inn AND {due}"""
+  LEFT JOIN ({chain}) r ON r.inn = c.inn AND {due}"""
 
 
 # --- Frontier -------------------------------------------------------------------
@@ -412,6 +415,10 @@ ORACLE = {
         FROM (SELECT inn, substr(scrape_date, 1, 4) AS day, row_number() OVER (PARTITION BY substr(scrape_date, 1, 4) ORDER BY {PRIORITY}) AS rn
                 FROM {COMPANIES} c WHERE inn IS NOT NULL) q""",
     "official_update": updated(["company_id", "inn", *OFFICIAL], COMPANIES, DUE.replace("inn IS", "c.inn IS").replace("official_verified_at", "c.official_verified_at")),
+    "official_newest": updated(
+        ["company_id", "inn", "status_official", "official_verified_at", "provider_name", "director_official"], COMPANIES,
+        DUE.replace("inn IS", "c.inn IS").replace("official_verified_at", "c.official_verified_at"),
+        chain=CHAIN.replace(RESPONSES, NEWEST_RESPONSES)),
     "enrichment_totals": f"""WITH w AS (SELECT inn FROM {COMPANIES} c WHERE {DUE}),
         j AS (SELECT w.inn, r.verified_at, epoch(TIMESTAMP '2024-06-01 12:01:10' - CAST(r.verified_at AS TIMESTAMP)) > 60 AS stale
                 FROM w LEFT JOIN ({CHAIN}) r ON r.inn = w.inn)

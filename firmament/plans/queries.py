@@ -491,6 +491,13 @@ def official_update(spark):
     )
 
 
+@query
+def official_newest(spark):
+    """Several answers per provider and inn: older ones that say otherwise, and stale ones alone."""
+    updated = enrich.enrich_master(views.master(spark), views.many_responses(spark), as_of(), ttl_days=30, recheck_days=60)
+    return updated.companies.select("company_id", "inn", "status_official", "official_verified_at", "provider_name", "director_official")
+
+
 @query
 def enrichment_totals(spark):
     wanted = enrich.enrich_candidates(views.master(spark), as_of(), recheck_days=60)
@@ -596,8 +603,7 @@ def _event_stream(spark, sf_dir):
 @query
 def stream_frontier(spark, sf_dir):
     folder, checkpoint = new_folder(spark, "frontier"), new_folder(spark, "progress")
-    log = stream_frontier_job.drop_repeats(_event_stream(spark, sf_dir))
-    stream_frontier_job.start_frontier(log, folder, checkpoint).awaitTermination()
+    stream_frontier_job.start_frontier(_event_stream(spark, sf_dir), folder, checkpoint).awaitTermination()
     state = stream_frontier_job.read_frontier(spark, folder)
     return state.withColumn("updated_at", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss"))
 

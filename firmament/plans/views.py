@@ -83,6 +83,18 @@ SELECT 'B' AS provider, CAST(7700000000 + c_custkey AS VARCHAR(20)) AS inn, CAST
   FROM customer WHERE c_custkey % 3 <> 1
 """
 
+# Several answers per provider and inn: an older one that says otherwise (some come as late as
+# the newest but five days), and of every fifth customer nothing but stale ones.
+FX_MANY_RESPONSES = f"""
+SELECT provider, inn, fetched_at - INTERVAL 40 DAY AS fetched_at, payload FROM ({FX_RESPONSES}) a
+UNION ALL
+SELECT provider, inn, fetched_at - INTERVAL 5 DAY AS fetched_at,
+       replace(replace(payload, 'ACTIVE', 'LIQUIDATED'), 'Director', 'Former') AS payload
+  FROM ({FX_RESPONSES}) b WHERE CAST(inn AS BIGINT) % 5 <> 0
+UNION ALL
+SELECT provider, inn, fetched_at, payload FROM ({FX_RESPONSES}) c WHERE CAST(inn AS BIGINT) % 5 > 1
+"""
+
 # A settled master: one company per customer with listings.
 FX_COMPANIES = f"""
 SELECT min(ingest_seq) AS company_id, max(inn) AS inn,
@@ -207,6 +219,10 @@ def responses(spark: SparkSession) -> DataFrame:
     return spark.sql(FX_RESPONSES)
 
 
+def many_responses(spark: SparkSession) -> DataFrame:
+    return spark.sql(FX_MANY_RESPONSES)
+
+
 def master(spark: SparkSession) -> Master:
     return Master(*[spark.sql(q) for q in (FX_COMPANIES, FX_SOURCES, FX_CONTACTS, FX_KPP)])
 

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from firmament.schemas import MASTER_TABLES, Master, check_master, empty_master
 
-_COMMIT_SCHEMA = "version bigint, batch_id bigint, folder string"
+_COMMIT_SCHEMA = "version bigint, writer string, batch_id bigint, folder string"
+BATCH_JOB = "batch"  # writer of commits that no stream made
 
 
 class RegistryStore:
@@ -34,8 +35,9 @@ class RegistryStore:
         newest = self.commits().orderBy(F.col("version").desc()).head(1)
         return newest[0] if newest else None
 
-    def has_batch(self, batch_id: int) -> bool:
-        return not self.commits().filter(F.col("batch_id") == batch_id).isEmpty()
+    def has_batch(self, batch_id: int, writer: str = BATCH_JOB) -> bool:
+        own = F.coalesce("writer", F.lit(BATCH_JOB)) == writer
+        return not self.commits().filter(own & (F.col("batch_id") == batch_id)).isEmpty()
 
     def read(self) -> Master:
         """Newest committed version, or an empty master."""
@@ -46,16 +48,16 @@ class RegistryStore:
             **{n: self.spark.read.schema(s).parquet(f"{last['folder']}/{n}") for n, s in MASTER_TABLES.items()}
         )
 
-    def write(self, master: Master, batch_id: int) -> None:
-        """Write the next version; a batch that is already committed is left alone."""
-        if self.has_batch(batch_id):
+    def write(self, master: Master, batch_id: int, writer: str = BATCH_JOB) -> None:
+        """Write the next version; a batch that this writer has already committed is left alone."""
+        if self.has_batch(batch_id, writer):
             return
         last = self.last_commit()
         version = last["version"] + 1 if last else 1
         folder = f"{self.folder}/v{version:08d}-b{batch_id}"
         for name, df in check_master(master).tables().items():
             df.write.mode("overwrite").parquet(f"{folder}/{name}")
-        row = self.spark.createDataFrame([(version, batch_id, folder)], _COMMIT_SCHEMA)
+        row = self.spark.createDataFrame([(version, writer, batch_id, folder)], _COMMIT_SCHEMA)
         row.coalesce(1).write.mode("append").json(f"{self.folder}/commits")
 
 

@@ -15,24 +15,30 @@ _ENTRY_SCHEMA = (
 )
 
 
-def drop_repeats(outcomes: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Absorb repeated deliveries of one log entry; state older than the delay is released."""
-    return (
-        outcomes.withColumn("ts", F.col("ts").cast("timestamp"))
-        .withWatermark("ts", delay)
-        .dropDuplicatesWithinWatermark(["event_id"])
-    )
+def batch_entries(outcomes: DataFrame) -> DataFrame:
+    """Stored form of log rows: one combined entry per URL, and every failure on its own.
+
+    Only failures are counted, so they keep their event ids; everything else is a
+    minimum or maximum, which a repeated delivery does not change.
+    """
+    return _merged(as_entries(outcomes))
+
+
+def _merged(entries: DataFrame) -> DataFrame:
+    failed = entries.filter(F.col("failures") > 0).dropDuplicates(["url", "event_id"])
+    return combine_entries(entries.filter(F.col("failures") == 0)).unionByName(failed)
 
 
 def frontier_sink(folder: str):
-    """``foreachBatch`` function that appends one combined entry per URL and batch.
+    """``foreachBatch`` function that appends the entries of a batch.
 
     A batch writes only its own partition, so its cost follows the batch and not the
-    frontier, and replaying it overwrites the same partition.
+    frontier, and replaying it overwrites the same partition.  There is no watermark: a
+    row counts however late it comes, and a failure counts once however often it comes.
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        combine_entries(as_entries(batch)).write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+        batch_entries(batch).write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
 
     return append
 
@@ -43,13 +49,13 @@ def read_frontier(spark: SparkSession, folder: str, max_attempts: int = fv.MAX_A
         entries = spark.read.schema(_ENTRY_SCHEMA).parquet(folder)
     except AnalysisException:
         entries = spark.createDataFrame([], _ENTRY_SCHEMA)
-    return entry_state(combine_entries(entries.drop("batch_id")), max_attempts)
+    return entry_state(combine_entries(_merged(entries.drop("batch_id"))), max_attempts)
 
 
 def compact_frontier(spark: SparkSession, folder: str, target: str) -> None:
     """Write all batches of ``folder`` as one batch of a new folder."""
     entries = spark.read.schema(_ENTRY_SCHEMA).parquet(folder).drop("batch_id")
-    combine_entries(entries).write.mode("errorifexists").parquet(f"{target}/batch_id=0")
+    _merged(entries).write.mode("errorifexists").parquet(f"{target}/batch_id=0")
 
 
 def start_frontier(outcomes: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
@@ -63,5 +69,5 @@ def start_frontier(outcomes: DataFrame, folder: str, checkpoint: str) -> Streami
 
 
 def live_state(outcomes: DataFrame, max_attempts: int = fv.MAX_ATTEMPTS) -> DataFrame:
-    """The same fold as a streaming aggregate, for update or complete output."""
+    """The same fold as a streaming aggregate, for update or complete output, of a log without repeats."""
     return entry_state(combine_entries(as_entries(outcomes)), max_attempts)

@@ -10,25 +10,28 @@ from firmament.operators.upsert import upsert_batch
 from firmament.sources.registry import RegistryStore
 
 
-def upsert_sink(store: RegistryStore):
-    """``foreachBatch`` function; a batch id that is already committed changes nothing.
+def upsert_sink(store: RegistryStore, writer: str):
+    """``foreachBatch`` function; a batch that ``writer`` has already committed changes nothing.
+
+    Batch ids count from 0 in every stream, so the writer's name belongs to the commit: no
+    other stream and no batch job can make a batch look committed.
 
     Late records need no watermark: their own scrape date decides which fields they
     may overwrite.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        if store.has_batch(batch_id):
+        if store.has_batch(batch_id, writer):
             return
-        store.write(upsert_batch(normalize_listings(batch), store.read()), batch_id)
+        store.write(upsert_batch(normalize_listings(batch), store.read()), batch_id, writer)
 
     return apply
 
 
 def start_upsert(listings: DataFrame, store: RegistryStore, checkpoint: str) -> StreamingQuery:
-    """Merge what has arrived into the store and stop."""
+    """Merge what has arrived into the store and stop; the checkpoint names the writer."""
     return (
-        listings.writeStream.foreachBatch(upsert_sink(store))
+        listings.writeStream.foreachBatch(upsert_sink(store, checkpoint))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

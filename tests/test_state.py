@@ -164,9 +164,16 @@ def test_candidates_and_update(spark):
     assert [r.company_id for r in enrich.enrich_candidates(master, as_of, limit=1, city="тула").collect()] == [2]
     assert [r.company_id for r in master.companies.filter(contains_text("address", "а_1")).collect()] == [2]
     assert [r.company_id for r in enrich.scan_candidates(master).collect()] == [1, 3, 5]
-    done = enrich.enrich_master(master, responses(spark, [("A", "1", answer("1", "BANKRUPT")), ("A", "4", answer("4", "BANKRUPT"))]), as_of)
+    stored = responses(spark, [("A", "1", answer("1", "BANKRUPT")), ("A", "4", answer("4", "BANKRUPT"))])
+    done = enrich.enrich_master(master, stored, as_of, ttl_days=0)
     got = {r.company_id: (r.status_official, r.official_verified_at) for r in done.companies.collect()}
     assert got[1] == ("BANKRUPT", "2024-01-01 00:00:00") and got[4][0] == "ACTIVE" and got[2] == (None, None)
+    stale = enrich.enrich_master(master, stored, as_of)  # answers of January are no answers in June
+    assert {r.company_id: r.status_official for r in stale.companies.collect()}[1] == "ACTIVE"
+    two = stored.withColumn("fetched_at", F.lit(dt.datetime(2024, 5, 9))).unionByName(
+        responses(spark, [("A", "1", answer("1", "LIQUIDATED"))]).withColumn("fetched_at", F.lit(dt.datetime(2024, 5, 20))))
+    newest = enrich.enrich_master(master, two, as_of)
+    assert {r.company_id: r.status_official for r in newest.companies.collect()}[1] == "LIQUIDATED"
 
 
 # --- Reports and sinks ---------------------------------------------------------------
@@ -227,7 +234,7 @@ def test_stream_frontier(spark):
     log = outcomes(spark, LOG)
     for part in ("event_id < 5", "event_id >= 4"):
         log.filter(part).coalesce(1).write.mode("append").parquet(inbox)
-        stream = sf.drop_repeats(spark.readStream.schema(log.schema).parquet(inbox))
+        stream = spark.readStream.schema(log.schema).parquet(inbox)
         sf.start_frontier(stream, folder, progress).awaitTermination()
     want = {tuple(r) for r in frontier.fold_outcomes(log).collect()}
     assert {tuple(r) for r in sf.read_frontier(spark, folder).collect()} == want
@@ -239,6 +246,18 @@ def test_stream_frontier(spark):
     assert sf.read_frontier(spark, new_folder(spark, "none")).isEmpty()
 
 
+def test_late_and_repeated_outcomes_count_once(spark):
+    """A row 30 days late is folded in, and a failure that is delivered three times counts once."""
+    folder = new_folder(spark, "frontier")
+    rows = [("u1", "s", 10, "2024-03-01 00:00:00", "failed", 0.1), ("u2", "s", 11, "2024-03-01 00:00:00", "discovered", 0.1),
+            ("u2", "s", 3, "2024-01-30 00:00:00", "completed", 0.1)]
+    log = spark.createDataFrame(rows, "url string, site_key string, event_id long, ts string, outcome string, response_sec double")
+    for batch, keep in enumerate(("event_id = 10", "event_id > 9", "event_id < 4", "event_id = 10")):
+        sf.frontier_sink(folder)(log.filter(keep), batch)
+    got = {r.url: (r.status, r.attempts) for r in sf.read_frontier(spark, folder).collect()}
+    assert got == {"u1": ("pending", 1), "u2": ("completed", 0)}
+
+
 def test_stream_upsert_replay(spark):
     store = registry.RegistryStore(spark, new_folder(spark, "registry"))
     inbox, progress = new_folder(spark, "inbox"), new_folder(spark, "progress")
@@ -249,5 +268,20 @@ def test_stream_upsert_replay(spark):
         su.start_upsert(stream, store, progress).awaitTermination()
     r = store.read().companies.collect()
     assert [(c.company_id, c.inn, c.website, c.scrape_date) for c in r] == [(1, "7700000001", "a.ru", "2024-07-07")]
-    su.upsert_sink(store)(frame(spark, rows[:1]), 0)
+    su.upsert_sink(store, progress)(frame(spark, rows[:1]), 0)
     assert store.last_commit()["version"] == 2
+    # a stream with a new checkpoint counts its batches from 0 again
+    other, again = new_folder(spark, "other"), new_folder(spark, "again")
+    third = listing(3, website="b.ru")
+    spark.createDataFrame([tuple(third[f.name] for f in LISTINGS)], LISTINGS).write.parquet(other)
+    su.start_upsert(spark.readStream.schema(LISTINGS).parquet(other), store, again).awaitTermination()
+    assert {c.website for c in store.read().companies.collect()} == {"a.ru", "b.ru"}
+
+
+def test_batch_write_before_a_stream(spark):
+    store = registry.RegistryStore(spark, new_folder(spark, "registry"))
+    rows = [listing(1, website="a.ru"), listing(2, website="b.ru")]
+    store.write(upsert.upsert_batch(frame(spark, rows[:1]), store.read()), batch_id=0)
+    store.write(upsert.upsert_batch(frame(spark, rows[1:]), store.read()), batch_id=0)  # a replay: nothing changes
+    su.upsert_sink(store, "stream")(frame(spark, rows[1:]), 0)
+    assert {c.website for c in store.read().companies.collect()} == {"a.ru", "b.ru"}
