@@ -94,9 +94,6 @@ FALLBACK_PATHS = [
 
 SKIPPED_HREF_PREFIXES = ["mailto:", "tel:", "javascript:", "#"]
 
-MAX_CONTACT_LINKS = 5
-MAX_SITE_PAGES = 4
-
 JUNK_LOCAL_PARTS = [
     "noreply",
     "no-reply",

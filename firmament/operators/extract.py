@@ -10,6 +10,7 @@ from firmament.functions import html as H
 from firmament.functions import urls as U
 from firmament.functions.contacts import is_valid_email
 from firmament.functions.normalize import let
+from firmament.operators.skew import top_k_per_group
 from firmament.session import cut
 
 
@@ -88,8 +89,8 @@ def text_contacts(texts: DataFrame, text: str, **lists) -> DataFrame:
     ).drop(text)
 
 
-def contact_links(base_url: Column, html: Column | str) -> Column:
-    """Up to five same-host links that look like contact pages, else the usual paths."""
+def contact_links(base_url: Column, html: Column | str, limit: int = 0) -> Column:
+    """Same-host links that look like contact pages, else the usual paths; with a limit the first ones."""
     pattern = "(?iuU)" + fv.CONTACT_LINK_PATTERN
     skipped = "^(?:" + "|".join(fv.SKIPPED_HREF_PREFIXES) + ")"
 
@@ -106,10 +107,12 @@ def contact_links(base_url: Column, html: Column | str) -> Column:
     real = F.filter(H.links(html), lambda a: ~a["href"].rlike(skipped))
     found = F.filter(F.transform(real, entry), lambda e: e["wanted"] & same_host(e["url"]))
     usual = F.array(*[F.concat(U.origin(base_url), F.lit(p)) for p in fv.FALLBACK_PATHS])
-    return let(
-        F.array_distinct(F.transform(found, lambda e: e["url"])),
-        lambda urls: F.slice(F.when(F.size(urls) > 0, urls).otherwise(usual), 1, fv.MAX_CONTACT_LINKS),
-    )
+
+    def chosen(urls):
+        links = F.when(F.size(urls) > 0, urls).otherwise(usual)
+        return F.slice(links, 1, limit) if limit > 0 else links
+
+    return let(F.array_distinct(F.transform(found, lambda e: e["url"])), chosen)
 
 
 def usable_pages(pages: DataFrame) -> DataFrame:
@@ -117,8 +120,11 @@ def usable_pages(pages: DataFrame) -> DataFrame:
     return pages.filter(U.same_site("url", "final_url") & U.is_text_content("content_type"))
 
 
-def scan_sites(companies: DataFrame, pages: DataFrame, max_pages: int = fv.MAX_SITE_PAGES, **lists) -> DataFrame:
-    """Contacts from the main and contact pages of company sites.
+def scan_sites(companies: DataFrame, pages: DataFrame, max_pages: int = 0, **lists) -> DataFrame:
+    """Contacts from the main page and all contact pages of company sites.
+
+    Nothing is fetched here, so every page that lies in storage counts; ``max_pages``
+    keeps a company to its first ones.
 
     ``companies(company_id, website)``, ``pages(url, html)`` with one row per URL.
     Returns ``(company_id, contact_type, value)``.  The HTML of a page is turned into
@@ -144,14 +150,10 @@ def scan_sites(companies: DataFrame, pages: DataFrame, max_pages: int = fv.MAX_S
         main.select("company_id", F.posexplode("links").alias("pos", "url"))
         .join(digest.select("url", "emails", "phones"), "url")
     )
-    # At most five links per company by construction, so the collected group is bounded.
-    extra = (
-        linked.groupBy("company_id")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "emails", "phones"))).alias("found"))
-        .select("company_id", F.explode(F.slice("found", 1, max_pages - 1)).alias("p"))
-        .select("company_id", "p.emails", "p.phones")
-    )
-    per_page = main.select("company_id", "emails", "phones").unionByName(extra)
+    extra = linked
+    if max_pages > 0:
+        extra = top_k_per_group(linked, ["company_id"], [F.col("pos")], max_pages - 1, "url")
+    per_page = main.select("company_id", "emails", "phones").unionByName(extra.select("company_id", "emails", "phones"))
 
     def tagged(kind, c):
         return F.transform(F.col(c), lambda v: F.struct(F.lit(kind).alias("contact_type"), v.alias("value")))

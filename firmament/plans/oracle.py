@@ -277,7 +277,7 @@ usual AS (SELECT sp.url, {ORIGIN} || f.path AS link, f.i FROM sp,
                  (VALUES {', '.join(f"('{p}', {i})" for i, p in enumerate(fv.FALLBACK_PATHS))}) f(path, i)
            WHERE sp.url NOT IN (SELECT url FROM wanted)),
 clinks AS (SELECT url, link, CAST(row_number() OVER (PARTITION BY url ORDER BY i) - 1 AS INTEGER) AS pos
-             FROM (SELECT * FROM wanted UNION ALL SELECT * FROM usual) u QUALIFY pos < 5)"""
+             FROM (SELECT * FROM wanted UNION ALL SELECT * FROM usual) u)"""
 
 SNAPSHOTS = f"({views.FX_SNAPSHOTS})"
 
@@ -326,8 +326,7 @@ ORACLE = {
         main AS (SELECT page_id AS company_id, coalesce(s.url, h.url) AS url FROM pages
                    LEFT JOIN sp s ON s.url = 'https://site' || page_id || '.example.net'
                    LEFT JOIN sp h ON h.url = 'http://site' || page_id || '.example.net'),
-        extra AS (SELECT company_id, link AS url FROM main JOIN clinks ON clinks.url = main.url JOIN sp ON sp.url = clinks.link
-                   QUALIFY row_number() OVER (PARTITION BY company_id ORDER BY pos) <= 3),
+        extra AS (SELECT company_id, link AS url FROM main JOIN clinks ON clinks.url = main.url JOIN sp ON sp.url = clinks.link),
         hits AS (SELECT company_id, html FROM (SELECT * FROM main UNION ALL SELECT * FROM extra) a JOIN sp ON sp.url = a.url)
         SELECT DISTINCT company_id, 'email' AS contact_type, value FROM (SELECT company_id, unnest({found_emails(page_text('html'))}) AS value FROM hits) e
          WHERE {valid_email('value', CORPUS_LOCALS, CORPUS_DOMAINS)} = 1

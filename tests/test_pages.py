@@ -139,7 +139,9 @@ def test_contact_links(spark):
     pages = spark.createDataFrame([("https://firm.ru", html), ("https://bare.ru", "<p>x</p>")], "url string, html string")
     got = {r.url: r.l for r in pages.select("url", extract.contact_links(F.col("url"), "html").alias("l")).collect()}
     assert got["https://firm.ru"] == ["https://firm.ru/o-nas", "https://firm.ru/kontakty.html", "https://firm.ru/about"]
-    assert got["https://bare.ru"] == [f"https://bare.ru{p}" for p in ["/contacts", "/kontakty", "/contact", "/about", "/about-us"]]
+    assert got["https://bare.ru"] == [f"https://bare.ru{p}" for p in ["/contacts", "/kontakty", "/contact", "/about", "/about-us", "/o-kompanii", "/o-nas"]]
+    two = pages.select(F.size(extract.contact_links(F.col("url"), "html", 2)).alias("n"))
+    assert {r.n for r in two.collect()} == {2}
 
 
 def test_site_scan(spark):
@@ -153,7 +155,9 @@ def test_site_scan(spark):
         ("http://plain.ru", "8 495 1234567"), ("http://plain.ru/about", "p@plain.ru"),
     ], "url string, html string")
     got = {tuple(r) for r in extract.scan_sites(companies, pages).collect()}
-    firm = [("email", f"{n}@firm.ru") for n in ["main", "two", "three", "four"]]
+    firm = [("email", f"{n}@firm.ru") for n in ["main", "two", "three", "four", "five"]]
+    first = {tuple(r) for r in extract.scan_sites(companies, pages, max_pages=3).collect()}
+    assert {x for c, *x in ((r[0], r[2]) for r in first if r[0] == 1) for x in x} == {"main@firm.ru", "two@firm.ru", "three@firm.ru"}
     assert got == {(c, *x) for c in (1, 5) for x in firm} | {(2, "phone", "+7 (495) 123-45-67"), (2, "email", "p@plain.ru")}
 
 
