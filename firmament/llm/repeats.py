@@ -43,7 +43,7 @@ LENGTH = 100
 ANCHOR = 48
 SAMPLE = 20_000  # documents that name frequent anchors
 FREQUENT = 8  # documents of the sample that make an anchor frequent
-BLOCK = 1 << 20  # bytes that one index holds
+BLOCK = 1 << 19  # bytes that one index holds
 GROUPS = 2  # groups of documents per partition
 SPAN, HOT = 2, 1
 
@@ -201,7 +201,7 @@ def _frequent(docs: DataFrame, total: int, sample: int) -> np.ndarray:
 
     def seen(batches):
         for batch in batches:
-            for _, _, data, offsets in text_slices(batch.column(0), 1 << 20):
+            for _, _, data, offsets in text_slices(batch.column(0)):
                 doc, name, *_ = anchors(data, offsets)
                 if len(doc):
                     pair = np.unique(np.stack([name, doc.astype(np.uint64)]), axis=1)
@@ -230,7 +230,7 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
         common = frequent.value
         for batch in batches:
             doc_ids, group_ids = _ids(batch.column(1)), np.asarray(batch.column(0))
-            for first, _, data, offsets in text_slices(batch.column(2), 2 << 20):
+            for first, _, data, offsets in text_slices(batch.column(2)):
                 doc, a, c, start, size = anchors(data, offsets, length)
                 if not len(doc):
                     continue

@@ -15,7 +15,7 @@ import os
 import re
 import struct
 
-MEMO = 200_000  # entries of the memo at most; a full one is emptied
+MEMO = 120_000  # entries of the memo at most; a full one is emptied
 WORD_END = "</w>"
 
 # Characters on which the library's classes of letters, numerals and space and those of ``re``
@@ -41,15 +41,23 @@ class WordEncoder:
     """Ids of texts as little-endian 32-bit words."""
 
     def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            saved = json.load(file)
+        self.path = path
+        self.added = [t["content"] for t in saved["added_tokens"]]
+        self.memo: dict[str, bytes] = {}
+        self.merge = _merger(saved["model"]["vocab"])
+
+    @functools.cached_property
+    def library(self):
+        """The tokenizers library's own encoder, loaded for the first text that needs it."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.memo: dict[str, bytes] = {}
-        self.merge = _merger(path)
+        library = Tokenizer.from_file(self.path)
+        library.no_truncation()
+        library.no_padding()
+        return library
 
     def encode(self, text: str) -> bytes:
         if not PLAIN.fullmatch(text) or any(a in text for a in self.added):
@@ -79,12 +87,10 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-def _merger(path: str):
+def _merger(vocabulary: dict[str, int]):
     """Ids of one piece of bytes, closed by the byte 255."""
     import tiktoken
 
-    with open(path, encoding="utf-8") as file:
-        vocabulary = json.load(file)["model"]["vocab"]
     letters, ranks = byte_letters(), {}
     for token, number in vocabulary.items():
         end = token.endswith(WORD_END) and len(token) > len(WORD_END)
