@@ -47,13 +47,13 @@ def website_id_map(companies: DataFrame) -> DataFrame:
     )
 
 
-def name_phone_edges(master: Master) -> DataFrame:
+def name_phone_edges(master: Master, unify_prefix: bool = False) -> DataFrame:
     """Links between companies of equal name that share a phone fingerprint.
 
     Every member of a ``(name, fingerprint)`` group is linked to the lowest id of the
     group: as many edges as members and the same components as all pairs.
     """
-    keys = phone_keys(master).select("company_id", "name_norm", "key").distinct()
+    keys = phone_keys(master, unify_prefix).select("company_id", "name_norm", "key").distinct()
     hubs = (
         keys.groupBy("key")
         .agg(F.min("company_id").alias("a"), F.count("*").alias("n"))
@@ -67,16 +67,25 @@ def name_phone_edges(master: Master) -> DataFrame:
     )
 
 
-def name_phone_id_map(master: Master) -> DataFrame:
-    """Losers of every component of the name-and-phone graph."""
-    edges = cut(name_phone_edges(master))
+def name_phone_id_map(master: Master, require_compatible_inn: bool = False, unify_prefix: bool = False) -> DataFrame:
+    """Losers of every component of the name-and-phone graph.
+
+    With ``require_compatible_inn`` companies of different inn are never merged: a component
+    falls into one cluster per inn, and its companies without inn join the winner's cluster.
+    """
+    edges = cut(name_phone_edges(master, unify_prefix))
     members = connected_components(edges.select("a", "b")).withColumnRenamed("node", "company_id")
     named = master.companies.select("company_id", "inn", N.normalize_name("name").alias("key")).join(
         members, "company_id"
     )
-    winners = named.groupBy("component").agg(winner_id())
+    cluster = ["component"]
+    if require_compatible_inn:
+        first = named.groupBy("component").agg(F.min(F.when(F.col("inn").isNotNull(), F.struct("company_id", "inn")))["inn"].alias("first_inn"))
+        named = named.join(first, "component").withColumn("cluster", F.coalesce("inn", "first_inn", F.lit(""))).drop("first_inn")
+        cluster = ["component", "cluster"]
+    winners = named.groupBy(*cluster).agg(winner_id())
     return (
-        named.join(winners, "component")
+        named.join(winners, cluster)
         .filter(F.col("company_id") != F.col("winner_id"))
         .select(
             F.col("company_id").alias("loser_id"), "winner_id",

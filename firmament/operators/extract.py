@@ -43,7 +43,7 @@ def page_card_links(pages: DataFrame, rules: DataFrame) -> DataFrame:
         ).otherwise(U.resolve(F.concat("origin", F.lit("/")), path))
 
     urls = F.array_distinct(F.transform(F.filter(H.links("html"), accept), card_url))
-    return pages.join(F.broadcast(rules), "site_key").select("site_key", "page_no", urls.alias("links"))
+    return pages.join(rules, "site_key").select("site_key", "page_no", urls.alias("links"))
 
 
 def extract_links(pages: DataFrame, rules: DataFrame) -> DataFrame:
@@ -79,14 +79,16 @@ def page_contacts(
 
 
 def text_contacts(texts: DataFrame, text: str, **lists) -> DataFrame:
-    """Valid e-mails and phones of plain texts."""
+    """Valid e-mails and phones of plain texts.
+
+    The generated row keeps later filters above it, so that each text is read once.
+    """
     prefixes = lists.pop("phone_prefixes", fv.PHONE_PREFIXES)
-    return texts.withColumns(
-        {
-            "emails": F.filter(H.text_emails(F.col(text)), lambda e: is_valid_email(e, **lists)),
-            "phones": H.text_phones(F.col(text), prefixes),
-        }
-    ).drop(text)
+    found = F.struct(
+        F.filter(H.text_emails(F.col(text)), lambda e: is_valid_email(e, **lists)).alias("emails"),
+        H.text_phones(F.col(text), prefixes).alias("phones"),
+    )
+    return texts.select(*[c for c in texts.columns if c != text], F.inline(F.array(found)))
 
 
 def contact_links(base_url: Column, html: Column | str, limit: int = 0) -> Column:

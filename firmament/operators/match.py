@@ -26,12 +26,12 @@ def name_phone_key(name, fingerprint):
     return F.concat_ws("\u001f", name, fingerprint)
 
 
-def key_record(listings: DataFrame) -> DataFrame:
+def key_record(listings: DataFrame, unify_prefix: bool = False) -> DataFrame:
     """What identifies a record: ``(ingest_seq, inn, website, source_url, name_norm, fps)``, and its date."""
     return listings.select(
         "ingest_seq", "inn", "website", "source_url", "scrape_date",
         F.when(F.col("name") != "", N.normalize_name("name")).alias("name_norm"),
-        N.fingerprints("phones").alias("fps"),
+        N.fingerprints("phones", unify_prefix).alias("fps"),
     )
 
 
@@ -56,18 +56,18 @@ def explode_keys(records: DataFrame, number: str = "ingest_seq") -> DataFrame:
     return records.select(number, F.col("inn").isNotNull().alias("has_inn"), F.inline(keys))
 
 
-def record_keys(listings: DataFrame) -> DataFrame:
-    return explode_keys(key_record(listings))
+def record_keys(listings: DataFrame, unify_prefix: bool = False) -> DataFrame:
+    return explode_keys(key_record(listings, unify_prefix))
 
 
-def phone_keys(master: Master) -> DataFrame:
-    """Name-and-phone keys of the companies that have both."""
+def phone_keys(master: Master, unify_prefix: bool = False) -> DataFrame:
+    """Name-and-phone keys of the companies that have both (J6); optionally 8 and 7 are one prefix."""
     named = master.companies.filter(F.col("name").isNotNull()).select(
         "company_id", F.col("inn").isNotNull().alias("has_inn"), N.normalize_name("name").alias("name_norm")
     )
     phones = (
         master.contacts.filter(F.col("contact_type") == "phone")
-        .select("company_id", N.digits("value").alias("fp"))
+        .select("company_id", N.phone_fingerprint("value", unify_prefix).alias("fp"))
         .filter(N.usable_fingerprint(F.col("fp")))
     )
     return phones.join(named, "company_id").select(
@@ -76,7 +76,7 @@ def phone_keys(master: Master) -> DataFrame:
     )
 
 
-def company_keys(master: Master) -> DataFrame:
+def company_keys(master: Master, unify_prefix: bool = False) -> DataFrame:
     """``(company_id, has_inn, level, key)`` rows of the known companies."""
     own = F.array(_entry(INN, F.col("inn")), _entry(WEBSITE, F.col("website")))
     by_field = master.companies.select(
@@ -88,7 +88,7 @@ def company_keys(master: Master) -> DataFrame:
         "company_id", F.lit(None).cast("boolean").alias("has_inn"),
         F.lit(SOURCE).alias("level"), F.col("source_url").alias("key"),
     )
-    by_phone = phone_keys(master).select(
+    by_phone = phone_keys(master, unify_prefix).select(
         "company_id", "has_inn", F.lit(NAME_PHONE).alias("level"), "key"
     )
     return by_field.unionByName(by_source).unionByName(by_phone)
@@ -102,14 +102,14 @@ def key_index(keys: DataFrame) -> DataFrame:
     )
 
 
-def candidates(listings: DataFrame, master: Master, levels: list[int] | None = None) -> DataFrame:
+def candidates(listings: DataFrame, master: Master, levels: list[int] | None = None, unify_prefix: bool = False) -> DataFrame:
     """Company each level proposes: ``(ingest_seq, level, company_id)``.
 
     A record that carries an inn may only take a company without one on the
     name-and-phone level.
     """
-    wanted = record_keys(listings)
-    known = company_keys(master)
+    wanted = record_keys(listings, unify_prefix)
+    known = company_keys(master, unify_prefix)
     if levels:
         wanted = wanted.filter(F.col("level").isin(levels))
         known = known.filter(F.col("level").isin(levels))
@@ -125,10 +125,10 @@ def candidates(listings: DataFrame, master: Master, levels: list[int] | None = N
     )
 
 
-def match_batch(listings: DataFrame, master: Master) -> DataFrame:
+def match_batch(listings: DataFrame, master: Master, unify_prefix: bool = False) -> DataFrame:
     """First level that hits for every record; nulls when the company is new."""
     numbers = list(LEVELS.values())
-    per_level = candidates(listings, master).groupBy("ingest_seq").agg(
+    per_level = candidates(listings, master, unify_prefix=unify_prefix).groupBy("ingest_seq").agg(
         *[F.min(F.when(F.col("level") == n, F.col("company_id"))).alias(f"id_{n}") for n in numbers]
     )
     ids = [F.col(f"id_{n}") for n in numbers]

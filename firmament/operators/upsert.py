@@ -94,11 +94,11 @@ def company_of(code: Column) -> Column:
     return F.when(code < 0, code + F.lit(OFFSET)).otherwise(code)
 
 
-def known_offers(wanted: DataFrame, master: Master) -> DataFrame:
+def known_offers(wanted: DataFrame, master: Master, unify_prefix: bool = False) -> DataFrame:
     """``(level, key, company_id)``: known holders of wanted keys, on the name-and-phone level all of
     them, elsewhere the oldest, as nothing takes those keys away."""
     asked = wanted.select("level", "key").distinct()
-    held = company_keys(master).join(asked, ["level", "key"], "left_semi")
+    held = company_keys(master, unify_prefix).join(asked, ["level", "key"], "left_semi")
     soft = F.col("level") == NAME_PHONE
     oldest = held.filter(~soft).groupBy("level", "key").agg(F.min("company_id").alias("company_id"))
     return oldest.unionByName(held.filter(soft).select("level", "key", "company_id").distinct()).withColumn(
@@ -106,7 +106,7 @@ def known_offers(wanted: DataFrame, master: Master) -> DataFrame:
     )
 
 
-def known_members(offers: DataFrame, master: Master) -> DataFrame:
+def known_members(offers: DataFrame, master: Master, unify_prefix: bool = False) -> DataFrame:
     """Known companies the batch may touch, in the shape of key records that came before it.
 
     One row has the company's own fields, further rows one phone each.
@@ -119,7 +119,7 @@ def known_members(offers: DataFrame, master: Master) -> DataFrame:
     nothing = F.lit(None).cast("string")
     phones = (
         master.contacts.filter(F.col("contact_type") == "phone")
-        .select("company_id", N.digits("value").alias("fp"))
+        .select("company_id", N.phone_fingerprint("value", unify_prefix).alias("fp"))
         .filter(N.usable_fingerprint(F.col("fp")))
         .join(touched, "company_id", "left_semi")
         .select("company_id", nothing.alias("inn"), nothing.alias("website"), nothing.alias("name_norm"),
@@ -290,13 +290,16 @@ def parent_pointers(wanted: DataFrame, offers: DataFrame, slices: Slices) -> Dat
     )
 
 
-def assign_companies(listings: DataFrame, master: Master) -> DataFrame:
-    """``(ingest_seq, company_id)`` for every record of a normalised batch."""
-    records, count = number_arrivals(key_record(listings))
+def assign_companies(listings: DataFrame, master: Master, unify_prefix: bool = False) -> DataFrame:
+    """``(ingest_seq, company_id)`` for every record of a normalised batch.
+
+    ``unify_prefix`` matches phones that differ in a leading 8 or 7 only.
+    """
+    records, count = number_arrivals(key_record(listings, unify_prefix))
     slices = Slices(count)
     wanted = cut(explode_keys(records, "seq"))
-    known = cut(known_offers(wanted, master))
-    members = cut(known_members(known, master))
+    known = cut(known_offers(wanted, master, unify_prefix))
+    members = cut(known_members(known, master, unify_prefix))
     fields = records.select("seq", "inn", "website", "source_url", "name_norm", "scrape_date", "fps")
     assigned = records.select("seq", F.col("seq").alias("company_id"))
     while True:
@@ -366,12 +369,12 @@ def apply_assigned(assigned: DataFrame, master: Master) -> Master:
     )
 
 
-def upsert_batch(listings: DataFrame, master: Master) -> Master:
+def upsert_batch(listings: DataFrame, master: Master, unify_prefix: bool = False) -> Master:
     """Resolve a normalised batch against the master and merge it in (M2).
 
     The batch is materialised first: it is read for its keys and again for every
     table, and behind it may lie the parsing of pages.
     """
     listings = cut(listings)
-    assigned = listings.join(assign_companies(listings, master), "ingest_seq")
+    assigned = listings.join(assign_companies(listings, master, unify_prefix), "ingest_seq")
     return apply_assigned(cut(assigned), master)

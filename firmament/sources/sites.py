@@ -51,7 +51,7 @@ def site_table(spark: SparkSession, sites: list[tuple] = SITES) -> DataFrame:
 def link_rules(spark: SparkSession, sites: list[tuple] = SITES, rules: list[tuple] = LINK_RULES) -> DataFrame:
     """One rule row per site key."""
     return site_table(spark, sites).select("site_key", "rule_key").join(
-        F.broadcast(spark.createDataFrame(rules, RULE_SCHEMA)), "rule_key"
+        spark.createDataFrame(rules, RULE_SCHEMA), "rule_key"
     )
 
 
@@ -65,7 +65,7 @@ def catalog_page_url(base_url, page_pattern, page):
 def unknown_sites(df: DataFrame, sites: DataFrame) -> DataFrame:
     """Site keys without a rule and how many rows they skip."""
     return (
-        df.join(F.broadcast(sites.select("site_key")), "site_key", "left_anti")
+        df.join(sites.select("site_key"), "site_key", "left_anti")
         .groupBy("site_key")
         .agg(F.count("*").alias("skipped"))
     )

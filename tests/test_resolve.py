@@ -328,3 +328,24 @@ def test_contract(spark):
     with pytest.raises(ValueError):
         check_master(empty_master(spark).with_tables(companies=df))
     assert quality.duplicate_keys(df.union(df), ["inn"], "t").first().rows == 2
+
+
+# --- Options ---------------------------------------------------------------------
+
+
+def test_unified_prefix(spark):
+    rows = [listing(1, name="А", phones=["8 (495) 111-22-33"]), listing(2, name="А", phones=["+7 (495) 111-22-33"])]
+    listings = frame(spark, rows)
+    assert {r.company_id for r in upsert.assign_companies(listings, empty_master(spark), unify_prefix=True).collect()} == {1}
+    master = upsert.upsert_batch(frame(spark, rows[:1]), empty_master(spark))
+    for unify, want in ((False, None), (True, 1)):
+        assert [r.company_id for r in match.match_batch(frame(spark, rows[1:]), master, unify_prefix=unify).collect()] == [want]
+
+
+def test_compatible_inn_keeps_clusters_apart(spark):
+    phones = [(i, "+7 495 1112233") for i in (1, 2, 3, 4)]
+    master = master_of(spark, [(1, None, "А", None, "Работает", "2024-01-01"), (2, "7700000002", "А", None, "Работает", "2024-01-01"),
+                               (3, "7700000003", "А", None, "Работает", "2024-01-01"), (4, "7700000003", "А", None, "Работает", "2024-01-01")], phones=phones)
+    whole = {(r.loser_id, r.winner_id) for r in dedup.name_phone_id_map(master).collect()}
+    apart = {(r.loser_id, r.winner_id) for r in dedup.name_phone_id_map(master, require_compatible_inn=True).collect()}
+    assert whole == {(1, 2), (3, 2), (4, 2)} and apart == {(1, 2), (4, 3)}
