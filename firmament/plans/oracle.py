@@ -440,6 +440,16 @@ ORACLE = {
           round(coalesce(s * 100.0 / nullif(s + f, 0), 0.0), 1) AS success_rate_percent,
           round(coalesce((s + f) * 60.0 / nullif(elapsed, 0), 0.0), 1) AS cards_per_minute,
           round(coalesce(mean_response, 0.0), 3) AS avg_response_time_sec, round(coalesce(elapsed, 0.0), 1) AS elapsed_time_sec FROM t""",
+    "page_store": """SELECT page_id, url, concat('site', CAST(page_id % 4 AS VARCHAR)) AS site_key, 'card' AS kind,
+        CAST(page_id % 7 AS INTEGER) AS page_no, md5(html) AS html_md5 FROM pages""",
+    "response_store": f"""SELECT provider, inn, {seconds('fetched_at')} AS fetched_at, payload FROM {RESPONSES} r
+        WHERE CAST(inn AS BIGINT) % 7 <> 0 AND payload IS NOT NULL""",
+    "usable_pages": f"""SELECT page_id, final_url, content_type FROM ({views.FX_REDIRECTS}) r
+        WHERE page_id % 5 IN (0, 1, 3) AND page_id % 4 IN (0, 2)""",
+    "outgoing_links": f"""SELECT custkey,
+          CASE custkey % 5 WHEN 0 THEN 'http://' || label || '/' WHEN 1 THEN href WHEN 3 THEN label END AS unwrapped,
+          CASE custkey % 5 WHEN 0 THEN label WHEN 1 THEN 'https://' || label || '/' WHEN 3 THEN label END AS without_query
+        FROM ({views.FX_OUTGOING}) o""",
     "latest_snapshot": f"""SELECT url, page_id, {seconds('fetched_at')} AS fetched_at, md5(html) AS html_md5
         FROM (SELECT * FROM {SNAPSHOTS} s QUALIFY row_number() OVER (PARTITION BY url ORDER BY fetched_at DESC, page_id DESC) = 1) q
         WHERE fetched_at >= TIMESTAMP '2024-03-15 00:00:00' - INTERVAL 14 DAY""",
@@ -465,3 +475,4 @@ ORACLE = {
         ks AS (SELECT company_id, source_url, scrape_date AS first_seen_at FROM {FOUNDED} f)
         {report('up', cells('kc', 'kk', 'ks'))}""",
 }
+ORACLE["stats_file"] = ORACLE["crawl_stats"]

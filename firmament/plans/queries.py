@@ -16,7 +16,7 @@ from firmament.plans import phases, views
 from firmament.schemas import empty_master
 from firmament.session import cut, new_folder
 from firmament.sources import sites, snapshots
-from firmament.sources.registry import RegistryStore
+from firmament.sources.registry import RegistryStore, write_stats
 from firmament.streaming import frontier as stream_frontier_job
 from firmament.streaming import upsert as stream_upsert_job
 
@@ -584,6 +584,58 @@ def unknown_sites(spark):
     return sites.unknown_sites(views.outcomes(spark), known)
 
 
+# --- Stored tables and files -----------------------------------------------------
+
+
+@query
+def page_store(spark):
+    """Pages appended in two deliveries and read back."""
+    folder = new_folder(spark, "page-store")
+    pages = spark.table("pages").select(
+        "page_id", "url", F.col("url").alias("final_url"), F.concat(F.lit("site"), F.col("page_id") % 4).alias("site_key"),
+        F.lit("card").alias("kind"), (F.col("page_id") % 7).cast("int").alias("page_no"), F.lit("text/html").alias("content_type"),
+        as_of().alias("fetched_at"), "html",
+    )
+    for part in (F.col("page_id") % 2 == 0, F.col("page_id") % 2 == 1):
+        snapshots.append_pages(pages.filter(part), folder)
+    return snapshots.read_pages(spark, folder).select("page_id", "url", "site_key", "kind", "page_no", F.md5("html").alias("html_md5"))
+
+
+@query
+def response_store(spark):
+    """Answers stored by provider and read back; those without a payload are not kept."""
+    folder = new_folder(spark, "response-store")
+    answers = views.responses(spark)
+    without = F.when(F.col("inn").cast("bigint") % 7 != 0, F.col("payload"))
+    snapshots.append_responses(answers.withColumn("payload", without), folder)
+    return snapshots.read_responses(spark, folder).select(
+        "provider", "inn", F.date_format("fetched_at", "yyyy-MM-dd HH:mm:ss").alias("fetched_at"), "payload"
+    )
+
+
+@query
+def stats_file(spark):
+    """Crawl statistics written as JSON and read back."""
+    folder = new_folder(spark, "stats")
+    stats = frontier.crawl_stats(views.outcomes(spark))
+    write_stats(stats, folder)
+    return spark.read.schema(stats.schema).json(folder)
+
+
+@query
+def usable_pages(spark):
+    """Pages that stayed on their site and hold text, out of redirects of five kinds."""
+    return extract.usable_pages(spark.sql(views.FX_REDIRECTS)).select("page_id", "final_url", "content_type")
+
+
+@query
+def outgoing_links(spark):
+    links = spark.sql(views.FX_OUTGOING)
+    return links.select(
+        "custkey", U.unwrap_website("href", "label").alias("unwrapped"), U.drop_query("href", "label").alias("without_query")
+    )
+
+
 # --- Streams ---------------------------------------------------------------------
 
 

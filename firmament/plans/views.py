@@ -95,6 +95,23 @@ UNION ALL
 SELECT provider, inn, fetched_at, payload FROM ({FX_RESPONSES}) c WHERE CAST(inn AS BIGINT) % 5 > 1
 """
 
+# Where requests for sites ended up: the same host, with www, on a parking host, on a subdomain, elsewhere.
+FX_REDIRECTS = """
+SELECT page_id, concat('https://site', CAST(page_id AS VARCHAR(20)), '.example.net/') AS url,
+       concat('https://', CASE page_id % 5 WHEN 0 THEN '' WHEN 1 THEN 'www.' WHEN 2 THEN 'parked.reg.ru/' WHEN 3 THEN 'shop.' ELSE 'other.example.org/' END,
+              'site', CAST(page_id AS VARCHAR(20)), '.example.net/') AS final_url,
+       CASE page_id % 4 WHEN 0 THEN 'text/html; charset=utf-8' WHEN 1 THEN 'application/pdf' WHEN 2 THEN 'text/plain' END AS content_type
+  FROM pages
+"""
+
+# Outgoing links of cards: wrapped, plain with a query, without a target, relative.
+FX_OUTGOING = """
+SELECT c_custkey AS custkey, concat('cust', CAST(c_custkey AS VARCHAR(20)), '.ru') AS label,
+       CASE c_custkey % 5 WHEN 0 THEN concat('/go?url=http://cust', CAST(c_custkey AS VARCHAR(20)), '.ru/&id=1')
+                          WHEN 1 THEN concat('https://cust', CAST(c_custkey AS VARCHAR(20)), '.ru/?utm=x') WHEN 2 THEN '' WHEN 3 THEN '/out/7' END AS href
+  FROM customer
+"""
+
 # A settled master: one company per customer with listings.
 FX_COMPANIES = f"""
 SELECT min(ingest_seq) AS company_id, max(inn) AS inn,
