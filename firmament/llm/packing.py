@@ -33,6 +33,7 @@ CAPACITY = 2048
 GRAIN = 8
 END = 1
 GAP = 2e-3
+STALL = 4  # pivots without progress, per class, after which column generation ends
 
 
 @dataclass
@@ -75,8 +76,9 @@ def _generate(sizes: np.ndarray, need: np.ndarray, room: int, gap: float) -> tup
 
     The duals swing widely, so the knapsack is priced between them and the best duals so far,
     which start as size / room, the duals of sequences without padding; ``bound`` is the number
-    of sequences that the best duals prove necessary.  Every round either pivots a pattern in or
-    moves the best duals; slight shifts of the demand keep pivots from standing still.
+    of sequences that the best duals prove necessary.  Slight shifts of the demand keep pivots from
+    standing still; should they do so for ``STALL`` times the number of classes, the patterns so
+    far are taken, which any rounding makes a whole plan of.
     """
     m = len(sizes)
     shifted = need * (1 + 1e-7 * np.random.default_rng(5).random(m))
@@ -87,8 +89,11 @@ def _generate(sizes: np.ndarray, need: np.ndarray, room: int, gap: float) -> tup
     centre = sizes / room
     bound = float(centre @ shifted)
     pool, vectors = [], np.empty((0, m))
-    pivots = 0
-    while level.sum() > bound * (1 + gap):
+    pivots, least, idle = 0, np.inf, 0
+    while level.sum() > bound * (1 + gap) and idle <= STALL * m:
+        if level.sum() < least * (1 - 1e-6):
+            least, idle = float(level.sum()), 0
+        idle += 1
         duals = inverse.sum(axis=0)
         column = None
         if len(pool):
@@ -111,12 +116,14 @@ def _generate(sizes: np.ndarray, need: np.ndarray, room: int, gap: float) -> tup
                 pool.append(found)
                 vectors = np.vstack([vectors, entering])
             elif weight == 0:
-                return columns, np.linalg.solve(basis, need)
+                return columns, _copies(basis, need, level)
             else:
                 weight = max(0.0, weight - 0.3)
         change = inverse @ entering
         ratio = np.where(change > 1e-9, level / np.where(change > 1e-9, change, 1), np.inf)
         leave = int(ratio.argmin())
+        if not np.isfinite(ratio[leave]):
+            break
         columns[leave], basis[:, leave] = column, entering
         pivots += 1
         if pivots % 100:
@@ -127,9 +134,20 @@ def _generate(sizes: np.ndarray, need: np.ndarray, room: int, gap: float) -> tup
             inverse[moved] -= change[moved, None] * pivot
             inverse[leave] = pivot
         else:
-            inverse = np.linalg.inv(basis)
+            try:
+                inverse = np.linalg.inv(basis)
+            except np.linalg.LinAlgError:  # rounding has run the basis down
+                break
             level = inverse @ shifted
-    return columns, np.linalg.solve(basis, need)
+    return columns, _copies(basis, need, level)
+
+
+def _copies(basis: np.ndarray, need: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """Copies of the patterns in a basis for the demand itself."""
+    try:
+        return np.linalg.solve(basis, need)
+    except np.linalg.LinAlgError:
+        return level
 
 
 def cutting_stock(counts: dict[int, int], room: int, gap: float = GAP) -> Plan:

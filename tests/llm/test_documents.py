@@ -61,6 +61,21 @@ def test_cutting_stock_uses_every_piece_once():
         assert sum(plan.copies) <= least * 1.05 + 2
 
 
+def test_cutting_stock_ends_on_many_demands():
+    """Small demands make the linear program degenerate; it must end and stay near the bound."""
+    rng = random.Random(6)
+    for trial in range(25):
+        n = rng.choice([20, 60, 150, 400])
+        counts = collections.Counter(min(256, max(1, int(rng.lognormvariate(4, 0.9)))) for _ in range(n))
+        plan = packing.cutting_stock(dict(counts), 256)
+        used = collections.Counter()
+        for items, copies in zip(plan.items, plan.copies, strict=True):
+            for s, k in items.items():
+                used[s] += k * copies
+        assert used == counts
+        assert sum(plan.copies) <= sum(s * k for s, k in counts.items()) / 256 * 1.06 + 2
+
+
 def test_cutting_stock_edges():
     assert packing.cutting_stock({}, 8).copies == []
     assert packing.cutting_stock({8: 5}, 8).copies == [5]
