@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from firmament.llm.common import append, mix, run_hashes, text_slices, words
+from firmament.llm.common import append, mix, run_hashes, text_slices, unpack, words
 
 SAMPLE = 8_000  # labelled rows at most that a fit sees
 BITS = 18
@@ -122,20 +122,21 @@ def train(rows: list[tuple[np.ndarray, int]]) -> Model:
     for i in np.flatnonzero(fit):
         counts[labels[i]][rows[i][0]] += 1
     ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
-    scaled, sign = [], np.where(labels == 1, 1.0, -1.0)
-    for f, _ in rows:
-        x = ratio[f]
-        length = np.sqrt((x * x).sum())
-        scaled.append(x / length if length > 0 else x)
+    sign = np.where(labels == 1, 1.0, -1.0)
+    length = np.array([np.sqrt((ratio[f] ** 2).sum()) or 1.0 for f, _ in rows])
     plane, bias = np.zeros(size), 0.0
+
+    def scaled(i):
+        return ratio[rows[i][0]] / length[i]
+
     members = np.flatnonzero(fit)
     share = {c: len(members) / (2 * max(1, (labels[members] == c).sum())) for c in (0, 1)}
     cost = np.array([COST * share[y] for y in labels])
     dual, rng = np.zeros(len(rows)), np.random.default_rng(7)
-    norm = np.array([(x * x).sum() + 1 for x in scaled])
+    norm = np.array([(scaled(i) ** 2).sum() + 1 for i in range(len(rows))])
     for _ in range(EPOCHS):
         for i in rng.permutation(members):
-            f, x, y = rows[i][0], scaled[i], sign[i]
+            f, x, y = rows[i][0], scaled(i), sign[i]
             slope = y * (plane[f] @ x + bias) - 1
             new = min(max(dual[i] - slope / norm[i], 0.0), cost[i])
             if new != dual[i]:
@@ -145,7 +146,7 @@ def train(rows: list[tuple[np.ndarray, int]]) -> Model:
                 dual[i] = new
     model = Model(ratio, plane, bias, (1.0, 0.0))
     held = np.flatnonzero(~fit) if not fit.all() else members
-    margin = np.array([plane[rows[i][0]] @ scaled[i] + bias for i in held])
+    margin = np.array([plane[rows[i][0]] @ scaled(i) + bias for i in held])
     model.curve = logistic(margin, labels[held].astype(float))
     return model
 
@@ -178,8 +179,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_id").limit(sample)
     found, names = append(rows.select("_id", "_label", "_text"), "_text", [("_features", T.BinaryType())], lambda: _feature_bytes)
     got = found.select("_id", "_label", names[0]).toArrow().sort_by("_id")
-    return train([(np.frombuffer(f, np.int32).astype(np.int64), y)
-                  for f, y in zip(got.column(2).to_pylist(), got.column(1).to_pylist(), strict=True)])
+    flat, offsets = unpack(got.column(2))
+    pairs = zip(offsets[:-1], offsets[1:], got.column(1).to_pylist(), strict=True)
+    return train([(flat[a:b].view(np.int32), y) for a, b, y in pairs])
 
 
 def _feature_bytes(texts: pa.Array) -> list[pa.Array]:
