@@ -116,7 +116,7 @@ def _generate(sizes: np.ndarray, need: np.ndarray, room: int, gap: float) -> tup
                 pool.append(found)
                 vectors = np.vstack([vectors, entering])
             elif weight == 0:
-                return columns, _copies(basis, need, level)
+                return columns, inverse @ need
             else:
                 weight = max(0.0, weight - 0.3)
         change = inverse @ entering
@@ -134,20 +134,9 @@ def _generate(sizes: np.ndarray, need: np.ndarray, room: int, gap: float) -> tup
             inverse[moved] -= change[moved, None] * pivot
             inverse[leave] = pivot
         else:
-            try:
-                inverse = np.linalg.inv(basis)
-            except np.linalg.LinAlgError:  # rounding has run the basis down
-                break
+            inverse = inverse @ (2 * np.eye(m) - basis @ inverse)  # a Newton step takes out the rounding of the pivots
             level = inverse @ shifted
-    return columns, _copies(basis, need, level)
-
-
-def _copies(basis: np.ndarray, need: np.ndarray, level: np.ndarray) -> np.ndarray:
-    """Copies of the patterns in a basis for the demand itself."""
-    try:
-        return np.linalg.solve(basis, need)
-    except np.linalg.LinAlgError:
-        return level
+    return columns, inverse @ need
 
 
 def cutting_stock(counts: dict[int, int], room: int, gap: float = GAP) -> Plan:
