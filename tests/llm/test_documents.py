@@ -398,6 +398,32 @@ def test_license_headers_files_and_inheritance(spark):
     assert licenses.scan(spark.createDataFrame([], "doc_id bigint, path string, text string")).collect() == []
 
 
+def test_license_texts_wrapped_headers_and_tags(spark):
+    whole = {k: (licenses.TEXTS / f"{k}.txt").read_text() for k in ("MIT", "GPL-3.0", "GPL-2.0", "AGPL-3.0", "BSD-3-Clause", "Apache-2.0", "MPL-2.0")}
+    gnu = licenses.HEADERS["GPL-3.0"][0].split()
+    wrapped = "/*\n" + "\n".join(" * " + " ".join(gnu[i : i + 9]) for i in range(0, len(gnu), 9)) + "\n */\n\n" + "int x;\n" * 200
+    files = [
+        *((f"{k}/any.txt", t.replace("<owner>", "Ann Other").replace("<year>", "2024")) for k, t in whole.items()),
+        ("h/wrapped.c", wrapped.replace("This program", "Frobnicator")),
+        ("h/title.txt", "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n\n" + "stone river " * 60),
+        ("h/tag.py", "# SPDX-License-Identifier: MIT\n" + "x = 1\n" * 90), ("h/tags.py", "// SPDX-License-Identifier: (GPL-2.0-or-later WITH Classpath-exception-2.0 OR Zlib)\n"),
+        ("h/apache.html", "<!-- SPDX-License-Identifier: Apache-2.0 -->\n"), ("h/prose.md", "This program is licensed under the MIT license.\n" + "stone river " * 60),
+        ("h/two.md", "Released under the MIT License.\nLicensed under the Apache License, Version 2.0.\n" + "stone river " * 60),
+        ("h/none.md", "A driving license is needed here, and a warranty on the car."),
+    ]
+    got = {r.path: (r.license, r.source, {x.license for x in r.licenses or []})
+           for r in licenses.scan(spark.createDataFrame([(i, *f) for i, f in enumerate(files)], "doc_id bigint, path string, text string")).collect()}
+    for k in whole:
+        assert got[f"{k}/any.txt"] == (k, "file", {k}), k
+    assert got["h/wrapped.c"] == ("GPL-3.0", "header", {"GPL-3.0"})
+    assert got["h/title.txt"][0] == "GPL-3.0"
+    assert got["h/tag.py"] == ("MIT", "header", {"MIT"}) and got["h/apache.html"][2] == {"Apache-2.0"}
+    assert got["h/tags.py"][2] == {"GPL-2.0", "Zlib"}
+    assert got["h/prose.md"] == ("MIT", "header", {"MIT"})
+    assert got["h/two.md"][2] == {"MIT", "Apache-2.0"}
+    assert got["h/none.md"][2] == set()
+
+
 # ---- shared pieces
 
 
