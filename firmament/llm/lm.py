@@ -1,13 +1,20 @@
-"""Language-model scores by stupid backoff over runs of bytes, computed as joins.
+"""Language-model scores by stupid backoff over runs of words or bytes, computed as joins.
 
-A document is exploded into the ``ORDER`` bytes that end at each of its bytes (zero bytes stand
-before its start); shorter n-grams are their ends, and the context of an n-gram is all but its
-last byte.  Documents are dealt into groups.  Every group sends its distinct n-grams and contexts
-with their counts to the count tables, which are partitioned by hash; these add the counts of all
-groups up, join them to the n-grams asked for and send the totals back.  A byte then scores
-count(n-gram) / count(context) of the longest n-gram that the corpus has at least ``LEAST`` times,
-times ``ALPHA`` for every byte of context given up; a single byte scores its share of the corpus.
-Logarithms are summed per document.
+``score_words`` explodes a document into the runs of one to ``WORDS`` words that end at each of its
+words; a word is a run of non-blank bytes and n-grams are 64-bit names.  A word scores
+count(n-gram) / count(n-gram without its last word) of the longest n-gram that occurs outside the
+row itself, times ``ALPHA`` for every word of context given up; both counts leave out what the row
+itself holds, as every n-gram of a row would else be known from that row, and shuffled words would
+score as well as prose.  An n-gram that occurs once elsewhere counts.  A single word scores its share
+of the corpus.  Near the start of a document the longest n-gram is the one that fits.
+
+``score`` does the same with the ``ORDER`` bytes that end at each byte (zero bytes stand before the
+start of a document); shorter n-grams are their ends, and the context of an n-gram is all but its
+last byte.  There counts include the row, and n-grams seen less than ``LEAST`` times back off.
+
+Documents are dealt into groups.  Every group sends its distinct n-grams with their counts to the
+count tables, which are partitioned by hash; these add the counts of all groups up, join them to the
+n-grams asked for and send the totals back.  Logarithms are summed per document.
 
 A group asks once for an n-gram however often it holds it, so frequent n-grams are no hot keys.
 Counts cover all documents, copies included.  Null and empty texts have no n-grams, a sum of 0
@@ -22,14 +29,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmament.llm.common import exchange, mix, packed, packed_schema, partitions, records, text_slices
+from firmament.llm.common import binary_rows, exchange, mix, packed, packed_schema, partitions, records, run_hashes, text_slices, unpack, words
 
 ORDER = 5  # at most 5
+WORDS = 3
 LEAST = 2
 ALPHA = 0.4
 GROUPS = 2  # groups of documents per partition
 ASKED = np.dtype([("key", "<u8"), ("count", "<i8"), ("g", "<u4")])
 TOTAL = np.dtype([("key", "<u8"), ("count", "<i8")])
+PLACE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that the order of words counts
 KIND = np.uint64(40)  # keys: kind (order and whether context) above 40 bits of bytes
 
 
@@ -123,3 +132,131 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
     totals = exchange(asked, parts).mapInArrow(add_up, packed_schema(TOTAL)).withColumnRenamed("bucket", "g")
     found = rows.groupBy("g").cogroup(totals.groupBy("g")).applyInArrow(summed, "doc_id bigint, n_grams bigint, log_score double")
     return found.withColumn("mean_log_score", F.when(F.col("n_grams") > 0, F.col("log_score") / F.col("n_grams")))
+
+
+def word_grams(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Names of the n-grams of every order that end at every word, 0 where none fits, and the document of every word."""
+    starts, ends, doc = words(data, offsets)
+    word = run_hashes(data, starts, ends)
+    names = [mix(word) | np.uint64(1)]
+    with np.errstate(over="ignore"):
+        for k in range(2, order + 1):
+            name = np.zeros(len(word), np.uint64)
+            fits = doc[k - 1 :] == doc[: max(len(doc) - k + 1, 0)]
+            name[k - 1 :][fits] = mix(names[-1][k - 2 : -1][fits] * PLACE + word[k - 1 :][fits] + np.uint64(k)) | np.uint64(1)
+            names.append(name)
+    return names, doc
+
+
+def _merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    key, number = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+    return key, np.bincount(number, np.concatenate([n for _, n in found]), minlength=len(key)).astype(np.int64)
+
+
+def _held(texts, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of some texts, ascending, and their counts; merged whenever as much again has come."""
+    found, waiting, size = [(np.empty(0, np.uint64), np.empty(0, np.int64))], 0, 1 << 20
+    for _, _, data, offsets in text_slices(texts):
+        names = np.concatenate(word_grams(data, offsets, order)[0])
+        found.append(np.unique(names[names != 0], return_counts=True))
+        waiting += len(found[-1][0])
+        if waiting > size:
+            found, waiting = [_merged(found)], 0
+            size = max(size, len(found[0][0]))
+    return _merged(found)
+
+
+def _by_bucket(key: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of keys by bucket, the buckets used and the bounds of their keys."""
+    bucket = (mix(key) % np.uint64(buckets)).astype(np.int64)
+    sizes = np.bincount(bucket, minlength=buckets)
+    used = np.flatnonzero(sizes)
+    return np.argsort(bucket, kind="stable"), used, np.concatenate([[0], np.cumsum(sizes[used])])
+
+
+def _arrays(column, dtype) -> tuple[np.ndarray, np.ndarray]:
+    data, offsets = unpack(column)
+    return np.frombuffer(data.tobytes(), dtype), offsets // np.dtype(dtype).itemsize
+
+
+def word_scores(names: list[np.ndarray], doc: np.ndarray, key: np.ndarray, total: np.ndarray, words_in_all: int) -> np.ndarray:
+    """Logarithm of the score of every word; ``key`` ascends and has all names."""
+    elsewhere, everywhere = [], None
+    for name in names:
+        fits = np.flatnonzero(name)
+        all_of = np.zeros(len(name), np.int64)
+        all_of[fits] = total[np.searchsorted(key, name[fits])]
+        order = np.lexsort((name, doc))
+        new = np.ones(len(name), bool)
+        new[1:] = (name[order][1:] != name[order][:-1]) | (doc[order][1:] != doc[order][:-1])
+        number = np.cumsum(new) - 1
+        own = np.empty(len(name), np.int64)
+        own[order] = np.bincount(number)[number]
+        everywhere = all_of if everywhere is None else everywhere
+        elsewhere.append(np.where(name != 0, all_of - own, 0))
+    value = np.log(everywhere / words_in_all)
+    longest = sum((name != 0).astype(np.int64) for name in names)
+    value += (longest - 1) * np.log(ALPHA)
+    for k in range(2, len(names) + 1):
+        seen = np.flatnonzero(elsewhere[k - 1] > 0)
+        value[seen] = np.log(elsewhere[k - 1][seen] / elsewhere[k - 2][seen - 1]) + (longest[seen] - k) * np.log(ALPHA)
+    return value
+
+
+def score_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = WORDS) -> DataFrame:
+    """``doc_id, n_grams, log_score, mean_log_score`` of every row, over words; n_grams are the words scored."""
+    if order < 1:
+        raise ValueError("order must be 1 or more")
+    parts = partitions(docs.sparkSession)
+    groups = GROUPS * parts
+    rows = docs.select(F.pmod(F.xxhash64(doc_id, text), F.lit(groups)).cast("int").alias("g"), F.col(doc_id).cast("bigint").alias("doc_id"),
+                       F.col(text).alias("text"))
+
+    def number(batches):
+        for batch in batches:
+            n = sum(len(words(data, offsets)[0]) for _, _, data, offsets in text_slices(batch.column(0)))
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    words_in_all = docs.select(text).mapInArrow(number, "n bigint").agg(F.sum("n").alias("n")).head()["n"] or 0
+
+    def ask(group: pa.Table) -> pa.Table:
+        key, held = _held(group.column("text").combine_chunks(), order)
+        place, used, bounds = _by_bucket(key, groups)
+        return pa.table({
+            "bucket": used.astype(np.int32), "g": np.full(len(used), group.column("g")[0].as_py(), np.int32),
+            "key": binary_rows(key[place].view(np.uint8), bounds * 8), "count": binary_rows(held[place].view(np.uint8), bounds * 8),
+        })
+
+    def add_up(batches):
+        found = [(b.column(0).to_numpy(), b.column(1).to_numpy(), *_arrays(b.column(2), np.uint64), _arrays(b.column(3), np.int64)[0]) for b in batches]
+        if found:
+            _, index = np.unique(np.concatenate([f[2] for f in found]), return_inverse=True)
+            total = np.bincount(index, np.concatenate([f[4] for f in found])).astype(np.int64)[index]
+            at = 0
+            for bucket, g, key, bounds, _ in found:  # totals go back in the order asked, without the keys
+                own = np.ascontiguousarray(total[at : at + len(key)])
+                at += len(key)
+                yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(bucket), binary_rows(own.view(np.uint8), bounds * 8)], names=["g", "bucket", "count"])
+
+    def summed(left: pa.Table, right: pa.Table) -> pa.Table:
+        texts = left.column("text").combine_chunks()
+        key, total = _held(texts, order)
+        place, used, bounds = _by_bucket(key, groups)
+        if len(key):
+            right = right.combine_chunks()
+            sent, ends = _arrays(right.column("count"), np.int64)
+            for row, bucket in enumerate(right.column("bucket").to_numpy()):
+                slot = np.searchsorted(used, bucket)
+                total[place[bounds[slot] : bounds[slot + 1]]] = sent[ends[row] : ends[row + 1]]
+        sums, sizes = [np.empty(0)], [np.empty(0, np.int64)]
+        for first, end, data, offsets in text_slices(texts):
+            names, doc = word_grams(data, offsets, order)
+            value = word_scores(names, doc, key, total, words_in_all) if len(doc) else np.empty(0)
+            sums.append(np.bincount(doc, value, minlength=end - first))
+            sizes.append(np.bincount(doc, minlength=end - first))
+        return pa.table({"doc_id": left.column("doc_id"), "n_grams": np.concatenate(sizes), "log_score": np.concatenate(sums)})
+
+    asked = rows.groupBy("g").applyInArrow(ask, "bucket int, g int, key binary, count binary")
+    totals = exchange(asked, parts).mapInArrow(add_up, "g int, bucket int, count binary")
+    found = rows.groupBy("g").cogroup(totals.groupBy("g")).applyInArrow(summed, "doc_id bigint, n_grams bigint, log_score double")
+    return found.withColumn("mean_log_score", F.when(F.col("n_grams") > 0, F.col("log_score") / F.col("n_grams")))

@@ -71,8 +71,8 @@ def adaptive_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stupid-backoff score of every document under the corpus it is part of."""
-    return lm.score(read_table(spark, sf_dir, "documents"))
+    """Stupid-backoff score, over runs of up to three words, of every document under the corpus it is part of."""
+    return lm.score_words(read_table(spark, sf_dir, "documents"))
 
 
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

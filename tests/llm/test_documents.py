@@ -300,6 +300,46 @@ def test_scores_equal_brute_force(docs, rows, empty):
     assert lm.score(empty).collect() == []
 
 
+def test_word_scores_equal_brute_force(docs, rows, empty):
+    held, total = collections.Counter(), 0
+    own = []
+    for doc, text, *_ in rows:
+        body = (text or "").encode().split()
+        mine = collections.Counter(tuple(body[i - k + 1 : i + 1]) for i in range(len(body)) for k in range(1, min(i + 1, 3) + 1))
+        own.append((doc, body, mine))
+        held.update(mine)
+        total += len(body)
+    want = collections.Counter()
+    for doc, body, mine in own:
+        value = 0.0
+        for i in range(len(body)):
+            longest = min(i + 1, 3)
+            for k in range(longest, 0, -1):
+                gram = tuple(body[i - k + 1 : i + 1])
+                if k == 1 or held[gram] > mine[gram]:
+                    value += math.log(held[gram] / total if k == 1 else (held[gram] - mine[gram]) / (held[gram[:-1]] - mine[gram[:-1]]))
+                    value += (longest - k) * math.log(lm.ALPHA)
+                    break
+        want[doc, len(body), round(value, 6)] += 1
+    got = lm.score_words(docs).collect()
+    assert collections.Counter((r.doc_id, r.n_grams, round(r.log_score, 6)) for r in got) == want
+    assert all((r.mean_log_score is None) == (r.n_grams == 0) for r in got)
+    assert lm.score_words(empty).collect() == []
+
+
+def test_scores_of_the_query_see_the_order_of_words(spark, tmp_path):
+    from firmament.llm.queries import QUERIES
+
+    rng = random.Random(3)
+    lines = [prose(rng, 12).split() for _ in range(30)]
+    texts = [" ".join(w for i in rng.sample(range(30), 12) for w in lines[i]) for _ in range(40)]
+    mixed = texts[0].split()
+    rng.shuffle(mixed)
+    spark.createDataFrame([*enumerate(texts), (99, " ".join(mixed))], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_grams, r.mean_log_score) for r in QUERIES["op3_lm_scoring"](spark, str(tmp_path)).collect()}
+    assert got[0][0] == len(mixed) and got[99][1] < min(got[i][1] for i in range(40)) - 1
+
+
 # ---- classifiers
 
 
