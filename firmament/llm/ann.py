@@ -2,8 +2,8 @@
 
 Unit vectors are rotated by a random orthogonal matrix and fall into lists by their nearest
 centroid; centroids are fitted to a bounded sample, every row is indexed.  A query probes its
-nearest lists, as many as a trial on the sample needs for ``TARGET`` of its true neighbours.  In
-a list the rotated vectors are read in blocks of columns.  After each block the squared distance
+nearest lists, as many as a trial on the sample needs for ``TARGET`` of its true neighbours, and
+goes on until they hold k vectors besides itself or no list is left.  In a list the rotated vectors are read in blocks of columns.  After each block the squared distance
 so far, scaled up to all columns, is an estimate of the whole, and a hypothesis test drops
 candidates that are farther than the query's k-th best with near certainty.  Survivors get the
 exact cosine of the original vectors in double precision.
@@ -130,26 +130,32 @@ def search(table: DataFrame, vec_id: str = "vec_id", vector: str = "embedding",
     probed = probes(sample, centre, k)
     shared = spark.sparkContext.broadcast((rotation(width), centre))  # at most (width + LISTS) x width numbers
 
-    def listed(count: int, name: str):
+    def listed(count: int, held: np.ndarray | None = None):
+        """The ``count`` nearest lists, and further ones until they hold k + 1 vectors."""
         def run(batches):
             middle = shared.value[1]
             for batch in batches:
                 ids = np.asarray(batch.column(0))
                 near = -(_unit(matrix(batch.column(1), width)) @ middle.T)
-                if count == 1:
+                if held is None:
                     lists = [[int(x)] for x in near.argmin(axis=1)]
                 else:
-                    lists = np.argsort(near, axis=1, kind="stable")[:, :count].tolist()
-                yield pa.RecordBatch.from_arrays([pa.array(ids), batch.column(1), pa.array(lists, pa.list_(pa.int32()))], names=["vec_id", "v", name])
+                    order = np.argsort(near, axis=1, kind="stable")
+                    enough = (np.cumsum(held[order], axis=1) < k + 1).sum(axis=1) + 1
+                    lists = [own[: max(count, n)].tolist() for own, n in zip(order, enough.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(ids), batch.column(1), pa.array(lists, pa.list_(pa.int32()))], names=["vec_id", "v", "lists"])
 
         return run
 
     schema = "vec_id bigint, v array<double>, lists array<int>"
-    indexed = rows.mapInArrow(listed(1, "lists"), schema).select("vec_id", "v", F.col("lists")[0].alias("list"))
-    asked = rows.filter(F.col("vec_id") % every == 0).mapInArrow(listed(probed, "lists"), schema).select(
+    indexed = keep(rows.mapInArrow(listed(1), schema).select("vec_id", "v", F.col("lists")[0].alias("list")), "ann-lists")
+    held = np.zeros(len(centre), np.int64)
+    for row in indexed.groupBy("list").count().collect():  # a row per list
+        held[row["list"]] = row["count"]
+    asked = rows.filter(F.col("vec_id") % every == 0).mapInArrow(listed(probed, held), schema).select(
         "vec_id", "v", F.explode("lists").alias("list")
     )
-    indexed, asked = keep(indexed, "ann-lists"), keep(asked, "ann-probes")
+    asked = keep(asked, "ann-probes")
     sizes = indexed.groupBy("list").agg(F.ceil(F.count("*") / LIST_ROWS).cast("int").alias("rows"))
     loads = asked.groupBy("list").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("loads"))
     shape = keep(sizes.join(loads, "list"), "ann-shape")  # a row per list

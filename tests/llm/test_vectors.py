@@ -100,6 +100,14 @@ def test_ann_blocks_change_nothing(frame, monkeypatch):
     assert set(got) == set(want) and shared >= 0.95 * sum(map(len, want.values()))
 
 
+def test_ann_queries_among_copies_get_all_rows(spark):
+    rng = np.random.default_rng(12)
+    copied, single = rng.normal(size=(20, 8)), rng.normal(size=(60, 8))
+    rows = [(i, (single[i // 50] if i % 50 == 0 else copied[i % 20]).tolist(), 1, "") for i in range(3000)]
+    got = listed(ann.search(spark.createDataFrame(rows, SCHEMA)))
+    assert len(got) == 60 and {len(own) for own in got.values()} == {5}
+
+
 def test_few_and_no_rows(spark):
     for search in (topk.search, ann.search):
         assert search(spark.createDataFrame([], SCHEMA)).collect() == []
