@@ -339,7 +339,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = S
 
     texts = lower.join(requests.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id")  # one plan at any size
     full, _ = append(texts, "text", [("shingles", T.BinaryType()), ("set_a", T.LongType())], lambda: sets)
-    loaded = requests.join(full.select(F.col("doc_id").alias("rep"), "set_a", "shingles"), ["rep", "set_a"])
+    one = full.select(F.col("doc_id").alias("rep"), "set_a", "shingles").dropDuplicates(["rep", "set_a"])  # repeated rows enter once
+    loaded = requests.join(one, ["rep", "set_a"])
     links = keep(
         loaded.repartition(parts, "key", "x", "y").sortWithinPartitions(*order)
         .mapInArrow(_verify(count, threshold), "a bigint, b bigint, links bigint"),

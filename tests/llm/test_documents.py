@@ -272,6 +272,15 @@ def test_join_equals_brute_force(spark, docs, rows, empty, monkeypatch):
     assert jaccard.join(empty).collect() == []
 
 
+def test_join_counts_links_of_a_repeated_row_once(spark):
+    words = [f"w{i}" for i in range(100)]
+    text, close = " ".join(words), " ".join([*words, "end"])
+    for near in (close, " ".join([*words[:60], "other", *words[61:]])):
+        frame = spark.createDataFrame([(1, text), (1, text), (2, near), (3, "something else for the end of it")], "doc_id bigint, text string")
+        got = sorted((r.doc_id, r.class_id, r.n_links) for r in jaccard.join(frame).collect())
+        assert got == [(1, 1, 2), (1, 1, 2), (2, 1, 2), (3, 3, 0)]
+
+
 # ---- language-model scores
 
 
