@@ -1,4 +1,4 @@
-"""Run-length index of short texts: a Burrows-Wheeler transform kept as runs, with samples at run ends.
+"""Run-length index of short texts: a Burrows-Wheeler transform kept as runs, with the least origin of sorted intervals.
 
 The index holds segments one after the other, each closed by a terminator of its own; terminators
 are smaller than any byte and ordered like their segments.  A row of the transform is a suffix.
@@ -7,7 +7,8 @@ begins, so a step is a look-up among the runs.  Suffixes that agree in their fir
 bytes are consecutive rows; for each such interval the smallest origin is sampled.
 
 ``earlier_matches`` streams the segments backwards through the index, all in step, and marks the
-places whose next ``length`` bytes also start at an earlier origin.
+places whose next ``length`` bytes also start at an earlier origin.  The steps find the row of a place;
+the interval of the row decides.  Samples at run ends are not read, and there are no matching statistics.
 """
 
 from __future__ import annotations
