@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmament.llm import ann, bytebpe, jaccard, langid, licenses, lm, packing, quality, repeats, topk
+from firmament.llm import ann, bytebpe, jaccard, langid, licenses, lm, packing, quality, repeats, residual, spelling, topk, trie
 from firmament.llm.common import id_crc32, read_table
+from firmament.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +86,24 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs.select("doc_id", path.alias("path"), "text"))
 
 
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of at least five letters and three occurrences, with the frequent word that each is a slip of."""
+    counts = spelling.word_counts(read_table(spark, sf_dir, "documents"), typos=97)
+    return spelling.variants(counts.filter(F.col("n") >= spelling.OCCURRENCES))
+
+
+def residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of 2048 tokens, packed in a tree: where every piece of every document lies."""
+    return residual.pack_tree(read_table(spark, sf_dir, "documents"))
+
+
+def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of conversations, of which those of one block of twenty share up to three first turns."""
+    convs = trie.conversations(read_table(spark, sf_dir, "conversations"))
+    base = F.col("conv_id") - F.col("conv_id") % 20
+    return trie.prefix_trie(trie.paths(trie.share_heads(convs, base, (id_crc32("conv_id") % 4).cast("int"), 3)))
+
+
 QUERIES = {
     "op1_pack_sequences": pack_sequences,
     "op2_language_id": language_id,
@@ -94,5 +115,7 @@ QUERIES = {
     "op8_adaptive_ann": adaptive_ann,
     "op9_license_scan": license_scan,
     "op10_ngram_jaccard": ngram_jaccard,
+    "op11_spelling_variants": spelling_variants,
+    "op12_residual_packing": residual_packing,
+    "op13_prefix_trie": prefix_trie,
 }
-ORACLE: dict[str, str] = {}
