@@ -210,7 +210,7 @@ def _splitter_trie(ranged: DataFrame) -> tuple[list[int], Borders]:
     spark = ranged.sparkSession
     edges = keep(ranged.groupBy("shard").agg(F.min("path").alias("first"), F.max("path").alias("final")), "trie-edges")
     shards = sorted(r["shard"] for r in edges.select("shard").collect())  # a number per shard
-    following = spark.createDataFrame(list(zip(shards, [*shards[1:], None], strict=True)), "shard int, next int")
+    following = spark.createDataFrame(list(zip(shards, [*shards, None][1:], strict=False)), "shard int, next int")
     after = edges.select(F.col("shard").alias("next"), F.col("first").alias("next_first"))
     pairs = edges.join(following, "shard").join(after, "next", "left")
 
