@@ -6,7 +6,8 @@ nearest lists, as many as a trial on the sample needs for ``TARGET`` of its true
 goes on until they hold k vectors besides itself or no list is left.  In a list the rotated vectors are read in blocks of columns.  After each block the squared distance
 so far, scaled up to all columns, is an estimate of the whole, and a hypothesis test drops
 candidates that are farther than the query's k-th best with near certainty.  Survivors get the
-exact cosine of the original vectors in double precision.
+exact cosine of the original vectors in double precision, each first scaled by a power of two, which
+changes no digit and keeps tiny and huge components in range.
 
 Lists of any size are dealt in blocks of ``LIST_ROWS`` vectors and ``QUERY_ROWS`` queries.  Null,
 zero and empty vectors and vectors with null or non-finite components take no part, nor do
@@ -57,13 +58,15 @@ def centroids(sample: np.ndarray, lists: int) -> np.ndarray:
 
 def probes(sample: np.ndarray, centre: np.ndarray, k: int) -> int:
     """Lists that a query has to probe for ``TARGET`` of its neighbours within the sample."""
-    trial = sample[:: max(1, len(sample) // TRIALS)][:TRIALS]
+    chosen = np.arange(0, len(sample), max(1, len(sample) // TRIALS))[:TRIALS]
+    trial = sample[chosen]
     near = sample @ trial.T
+    near[chosen, np.arange(len(chosen))] = -np.inf  # a row is no neighbour of its own
     own = (sample @ centre.T).argmax(axis=1)
     place = np.argsort(np.argsort(-(trial @ centre.T), axis=1), axis=1)
     ranks = []
     for i in range(len(trial)):
-        best = np.argsort(-near[:, i], kind="stable")[1 : k + 1]
+        best = np.argsort(-near[:, i], kind="stable")[: min(k, len(sample) - 1)]
         ranks.append(place[i, own[best]])
     ranks = np.sort(np.concatenate(ranks)) if ranks else np.zeros(1, int)
     if not len(ranks):
@@ -71,8 +74,13 @@ def probes(sample: np.ndarray, centre: np.ndarray, k: int) -> int:
     return min(len(centre), 2 + int(ranks[min(len(ranks) - 1, int(np.ceil(TARGET * len(ranks))))]))
 
 
+def scaled(v: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest component to 1/2 to 1: exact, and squares stay in range."""
+    return np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1])
+
+
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Cosines of the rows of two matrices, every row summed in the same order."""
+    """Cosines of the rows of two scaled matrices, every row summed in the same order."""
     return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
 
 
@@ -85,6 +93,7 @@ def _unit(v: np.ndarray) -> np.ndarray:
 def scan(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, turn: np.ndarray, k: int) -> tuple[TopLists, int]:
     """The k nearest vectors of every query in one list, and the column blocks that pairs were read for."""
     turned, q_turned = _unit(vectors) @ turn, _unit(queries) @ turn
+    vectors, queries = scaled(vectors), scaled(queries)
     width = vectors.shape[1]
     lists, read = TopLists(len(queries), k), 0
     for first in range(0, len(vectors), CHUNK):

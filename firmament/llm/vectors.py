@@ -50,14 +50,19 @@ def doubles(column: pa.Array, width: int) -> np.ndarray:
 
 
 class TopLists:
-    """The ``k`` best candidates of every query: highest score, then smallest id."""
+    """The ``k`` best candidates of every query: highest score, then smallest id.
 
-    def __init__(self, queries: int, k: int):
+    Scores keep their type, so whole numbers are compared and returned as such.
+    """
+
+    def __init__(self, queries: int, k: int, kind: type = np.float64):
         self.k = k
         self.query = np.empty(0, np.int64)
-        self.score = np.empty(0)
+        self.score = np.empty(0, kind)
         self.vec = np.empty(0, np.int64)
-        self.worst = np.full(queries, -np.inf)  # score of the k-th, -inf while there are fewer
+        self.least = -np.inf if self.score.dtype.kind == "f" else np.iinfo(kind).min
+        self.worst = np.full(queries, self.least, kind)  # score of the k-th, the least there is while there are fewer
+        self.full = np.zeros(queries, bool)
 
     def add(self, query: np.ndarray, score: np.ndarray, vec: np.ndarray) -> None:
         if not len(query):
@@ -65,7 +70,8 @@ class TopLists:
         self.query = np.concatenate([self.query, query])
         self.score = np.concatenate([self.score, score])
         self.vec = np.concatenate([self.vec, vec])
-        order = np.lexsort((self.vec, -self.score, self.query))
+        down = -self.score if self.score.dtype.kind == "f" else ~self.score  # ~ has no overflow
+        order = np.lexsort((self.vec, down, self.query))
         q = self.query[order]
         first = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]]))
         nth = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q))))
@@ -73,3 +79,4 @@ class TopLists:
         self.query, self.score, self.vec = self.query[order], self.score[order], self.vec[order]
         full = nth == self.k - 1
         self.worst[self.query[full]] = self.score[full]
+        self.full[self.query[full]] = True

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from firmament.llm import ann, topk
+from firmament.llm.queries import QUERIES
 from firmament.llm.vectors import TopLists
 
 SCHEMA = "vec_id bigint, embedding array<float>, score int, rank string"
@@ -138,3 +139,36 @@ def test_top_lists_keep_ties_by_id():
     lists.add(np.array([0, 1]), np.array([1.0, 7.0]), np.array([2, 8]))
     assert list(zip(lists.query.tolist(), lists.vec.tolist(), strict=True)) == [(0, 2), (0, 4), (1, 8), (1, 1)]
     assert lists.worst.tolist() == [1.0, 5.0]
+
+
+def embeddings(spark, tmp_path, rows):
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3).write.parquet(f"{tmp_path}/embeddings.parquet")
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("size", [2.0**20, 2.0**27, 1e200])
+def test_topk_query_is_exact_at_any_size(spark, tmp_path, size):
+    """Scores above 2^53 are not rounded, and those beyond a long are its nearest end."""
+    rng = np.random.default_rng(6)
+    vectors = {i: (size * rng.normal(size=7)).tolist() for i in range(120)}
+    vectors[7] = vectors[9]
+    got = listed(QUERIES["op7_exact_topk"](spark, embeddings(spark, tmp_path, list(vectors.items()))))
+    whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in vectors.items()}
+    ends = -(2**63), 2**63 - 1
+    for q in (0, 50, 100):
+        scores = [(min(max(sum(a * b for a, b in zip(whole[q], v, strict=True)), ends[0]), ends[1]), i) for i, v in whole.items() if i != q]
+        assert got[q] == [(i, s) for s, i in sorted(scores, key=lambda r: (-r[0], r[1]))[:5]]
+
+
+def test_ann_query_finds_tiny_and_huge_vectors(spark, tmp_path):
+    rng = np.random.default_rng(7)
+    plain = {i: rng.normal(size=6) for i in range(60)}
+    sizes = {i: [1e-320, 1e-200, 1.0, 1e200, 1e307][i % 5] for i in plain}
+    rows = [(i, (v * sizes[i]).tolist()) for i, v in plain.items()]
+    got = listed(QUERIES["op8_adaptive_ann"](spark, embeddings(spark, tmp_path, rows)))
+    assert {q: len(own) for q, own in got.items()} == {0: 5, 50: 5}
+    for q, own in got.items():
+        for i, s in own:
+            if 1e-320 not in (sizes[q], sizes[i]):  # those keep few digits
+                true = plain[q] @ plain[i] / np.sqrt((plain[q] @ plain[q]) * (plain[i] @ plain[i]))
+                assert abs(s - true) < 1e-9
