@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from firmament.llm import jaccard, langid, packing, quality, repeats
-from firmament.llm.common import append, fresh, id_crc32, keep, read_table, unpack
+from firmament.llm.common import append, fresh, id_crc32, keep, partitions, read_table, unpack
 
 MIXED = 0.4  # a document without a language of at least this probability is rejected
 
@@ -34,15 +34,50 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return found.filter((F.col(lang) != langid.UNKNOWN) & (F.col(score) >= MIXED)).select(*docs.columns)
 
 
+def _own_ids(docs: DataFrame, key: str) -> DataFrame:
+    """``doc_id, key, own``: a number of its own for every text of a doc_id that has several.
+
+    Numbers follow the largest doc_id in the order of (doc_id, key), range by range.
+    """
+    spark = docs.sparkSession
+    known = docs.filter(F.col("doc_id").isNotNull())
+    several = known.groupBy("doc_id").agg(F.min(key).alias("low"), F.max(key).alias("high")).filter("low <> high").select("doc_id")
+    pairs = known.select("doc_id", key).join(several, "doc_id", "left_semi").distinct()
+    part = fresh("part", docs.columns)
+    ranged = keep(pairs.repartitionByRange(partitions(spark), "doc_id", key).withColumn(part, F.spark_partition_id()), "pipeline-shared-ids")
+    sizes = {r[part]: r["count"] for r in ranged.groupBy(part).count().collect()}  # a row per partition
+    top = max(docs.agg(F.max("doc_id").alias("top")).head()["top"] or 0, 0)
+    bases, ahead = [], top + 1
+    for k in sorted(sizes):
+        bases.append((k, ahead))
+        ahead += sizes[k]
+    base = fresh("base", docs.columns)
+    dealt = ranged.join(F.broadcast(spark.createDataFrame(bases, f"{part} int, {base} bigint")), part)
+    nth = F.row_number().over(Window.partitionBy(part).orderBy("doc_id", key))
+    return keep(dealt.select("doc_id", key, (F.col(base) + nth - 1).alias("own")), "pipeline-own-ids")
+
+
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near copies the document with the smallest doc_id stays.
 
-    Of rows that repeat a doc_id one stays; rows without a doc_id all stay.
+    A doc_id that comes with several texts is one document per text here, and those rank behind all
+    others, by doc_id and digest.  Of rows that repeat a doc_id and its text the one whose other columns
+    hash lowest stays; rows without a doc_id all stay.  So no text goes that is near to none that stays.
     """
-    first = jaccard.join(docs).filter(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
-    nth = fresh("nth", docs.columns)
-    met = docs.join(first.hint("merge"), "doc_id", "left_semi")
-    one = met.withColumn(nth, F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))).filter(F.col(nth) == 1)
+    key = fresh("text_key", docs.columns)
+    own = fresh("own_id", [*docs.columns, key])
+    named = docs.withColumn(key, F.substring(F.sha2(F.coalesce("text", F.lit("")), 256), 1, 32))
+    shared = _own_ids(named, key).withColumnRenamed("own", own)
+    if shared.isEmpty():
+        named = named.withColumn(own, F.col("doc_id").cast("bigint"))
+    else:
+        named = named.join(shared, ["doc_id", key], "left").withColumn(own, F.coalesce(own, F.col("doc_id").cast("bigint")))
+    classes = jaccard.join(named.select(F.col(own).alias("doc_id"), "text"))
+    first = classes.filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias(own)).distinct()
+    nth = fresh("nth", named.columns)
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")] or ["doc_id"]
+    order = Window.partitionBy(own).orderBy(F.xxhash64(F.to_json(F.struct(*rest))))
+    one = named.join(first.hint("merge"), own, "left_semi").withColumn(nth, F.row_number().over(order)).filter(F.col(nth) == 1)
     return one.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
