@@ -9,7 +9,7 @@ from firmament import fixed_values as fv
 from firmament.functions import normalize as N
 from firmament.operators.graph import connected_components
 from firmament.operators.match import phone_keys
-from firmament.schemas import COMPANIES, FRESH, IMMUTABLE, OFFICIAL, Master
+from firmament.schemas import COMPANIES, DATES, FRESH, IMMUTABLE, OFFICIAL, Master, dated_companies
 from firmament.session import cut
 
 WEBSITE, NAME_PHONE = "website", "name_phone"
@@ -110,21 +110,25 @@ def _in_cluster(df: DataFrame, id_map: DataFrame) -> DataFrame:
     )
 
 
-def merge_companies(companies: DataFrame, id_map: DataFrame) -> DataFrame:
-    """One row per cluster: winner's values, gaps filled in rank order (M5-M7)."""
+def _merged(companies: DataFrame, id_map: DataFrame, dates: DataFrame | None) -> DataFrame:
+    """One row per cluster: winner's values, gaps filled in rank order, fresh fields with their dates."""
     rank = winner_rank().alias("rank")
 
     def first_known(c):
         return F.min(F.when(F.col(c).isNotNull(), F.struct(rank, c)))[c].alias(c)
 
+    def its_date(c):
+        return F.min(F.when(F.col(c).isNotNull(), F.struct(rank, f"{c}_date")))[f"{c}_date"].alias(f"{c}_date")
+
     def of_winner(c):
         return F.min(F.struct(rank, c))[c]
 
     active = F.lit(fv.AGGREGATOR_ACTIVE)
     return (
-        _in_cluster(companies, id_map)
+        _in_cluster(dated_companies(companies, dates), id_map)
         .groupBy("root")
         .agg(
+            *[its_date(c) for c in FRESH],
             *[first_known(c) for c in [*IMMUTABLE, *FRESH, "website", *OFFICIAL]],
             F.when(F.bool_or(F.col("status_aggregator") == active), active)
             .otherwise(of_winner("status_aggregator")).alias("status_aggregator"),
@@ -133,10 +137,14 @@ def merge_companies(companies: DataFrame, id_map: DataFrame) -> DataFrame:
             of_winner("scrape_date").alias("scrape_date"),
         )
         .withColumnRenamed("root", "company_id")
-        .select(*COMPANIES.names)
     )
 
 
+def merge_companies(companies: DataFrame, id_map: DataFrame) -> DataFrame:
+    """Company rows after a merge (M5-M7)."""
+    return _merged(companies, id_map, None).select(*COMPANIES.names)
+
+
 def merge_master(master: Master, id_map: DataFrame) -> Master:
     """Merge clusters and move their children; losers disappear with the move (M8, U8)."""
     fp = N.digits("value")
@@ -160,7 +168,14 @@ def merge_master(master: Master, id_map: DataFrame) -> Master:
         .withColumn("company_id", F.col("root"))
         .select(*master.sources.columns)
     )
-    return Master(merge_companies(master.companies, id_map), sources, contacts, kpp)
+    losers = id_map.select(F.col("loser_id").alias("company_id"))
+    merged = master.with_tables(
+        companies=merge_companies(master.companies, id_map), sources=sources, contacts=contacts, kpp=kpp,
+        retired=losers if master.retired is None else master.retired.unionByName(losers),
+    )
+    if master.dates is None:
+        return merged
+    return merged.with_tables(dates=_merged(master.companies, id_map, master.dates).select(*DATES.names))
 
 
 def merge_log(companies: DataFrame, id_map: DataFrame) -> DataFrame:
@@ -174,7 +189,7 @@ def merge_log(companies: DataFrame, id_map: DataFrame) -> DataFrame:
 
 
 def _materialised(master: Master) -> Master:
-    return Master(**{name: cut(df) for name, df in master.tables().items()})
+    return master.with_tables(**{name: cut(df) for name, df in master.all_tables().items()})
 
 
 def dedup_pass(master: Master) -> tuple[Master, DataFrame]:

@@ -7,17 +7,16 @@ from pyspark.sql import functions as F
 
 from firmament.session import cut
 
-MAX_ROUNDS = 60  # each round at least halves the longest remaining path
-
 
 def chase_pointers(pointers: DataFrame) -> DataFrame:
     """Follow ``parent`` links until every node knows its root.
 
     ``pointers(node, root, parent)``: exactly one of root and parent is set, the links
-    hold no cycle and the table is materialised.  Returns ``(node, root)``.
+    hold no cycle and the table is materialised.  Each round halves the longest path that
+    is left.  Returns ``(node, root)``.
     """
     state = pointers
-    for _ in range(MAX_ROUNDS):
+    while True:
         waiting = state.filter(F.col("root").isNull())
         if waiting.isEmpty():
             return state.select("node", "root")
@@ -32,8 +31,6 @@ def chase_pointers(pointers: DataFrame) -> DataFrame:
             F.when(F.col("next_root").isNull(), F.col("next_parent")).alias("parent"),
         )
         state = cut(state.filter(F.col("root").isNotNull()).unionByName(moved))
-    raise RuntimeError("pointer chain did not resolve; the links hold a cycle")
-    raise RuntimeError("pointer chain did not resolve; the links hold a cycle")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -27,9 +27,12 @@ def name_phone_key(name, fingerprint):
 
 
 def key_record(listings: DataFrame, unify_prefix: bool = False) -> DataFrame:
-    """What identifies a record: ``(ingest_seq, inn, website, source_url, name_norm, fps)``, and its date."""
+    """What identifies a record: ``(ingest_seq, inn, website, source_url, name_norm, fps)``, and its date.
+
+    Columns that tell records of one number apart (``row_id``, ``tie``) come along where there are such.
+    """
     return listings.select(
-        "ingest_seq", "inn", "website", "source_url", "scrape_date",
+        *[c for c in ("row_id", "tie") if c in listings.columns], "ingest_seq", "inn", "website", "source_url", "scrape_date",
         F.when(F.col("name") != "", N.normalize_name("name")).alias("name_norm"),
         N.fingerprints("phones", unify_prefix).alias("fps"),
     )

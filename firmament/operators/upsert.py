@@ -6,8 +6,10 @@ of them are resolved at once:
 * A record follows the first cascade level on which some company held its key when it
   arrived, and there the oldest such company.  That gives every record at most one
   parent, and pointer chasing turns parents into companies.
-* A record without a parent founds a company and its ``ingest_seq`` becomes the
-  ``company_id``: unique, stable over re-runs and ordered by arrival.
+* A record without a parent founds a company.  Its ``ingest_seq`` becomes the ``company_id``,
+  unless a company has or had that id, or an earlier founder of the batch takes it: then the next
+  number above all ids given so far does, in the order of arrival.  So ids are stable over
+  re-runs and never clash, whatever numbers the records come with.
 * A company holds its first inn, its first website and its source addresses for good, a
   name with each of its phones while that is its current name, and it is open for a
   foreign inn until it has one.  All this follows from the company's earlier records, so
@@ -18,8 +20,10 @@ earliest record that is not settled yet, there is one fixpoint, and the rounds e
 a company that merges into another over a chain of keys takes a round per link.
 
 Arrivals are numbered without gaps first, over ranges of a sample's quantiles, so slices of
-them hold equal numbers of records whatever ``ingest_seq`` looks like.  Only narrow key rows
-take part; afterwards one aggregation per table folds existing and new values.
+them hold equal numbers of records whatever ``ingest_seq`` looks like; records of one number
+follow their address, then a hash of the whole record.  Only narrow key rows take part;
+afterwards one aggregation per table folds existing and new values.  Every fresh field keeps the
+scrape date it came with, so folding in several batches gives what folding in one does.
 """
 
 from __future__ import annotations
@@ -44,7 +48,7 @@ from firmament.operators.match import (
     key_record,
     name_phone_key,
 )
-from firmament.schemas import COMPANIES, FRESH, IMMUTABLE, OFFICIAL, Master
+from firmament.schemas import COMPANIES, DATES, FRESH, IMMUTABLE, OFFICIAL, Master, dated_companies
 from firmament.session import cut
 
 NEVER = 2**62
@@ -73,17 +77,35 @@ class Slices:
         return max(1, self.records).bit_length()
 
 
-def number_arrivals(records: DataFrame) -> tuple[DataFrame, int]:
-    """Records with ``seq``, their place in the order of arrival from 0 on, and how many there are."""
-    spark = records.sparkSession
+def numbered(rows: DataFrame, order: list[str], name: str) -> tuple[DataFrame, int]:
+    """Rows with ``name``, their place in that order from 0 on, and how many there are.
+
+    The columns of ``order`` tell all rows apart.
+    """
+    spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut(records.repartitionByRange(parts, "ingest_seq").withColumn("part", F.spark_partition_id()))
+    ranged = cut(rows.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()))
     sizes = ranged.groupBy("part").count()  # a row per partition
     before = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
-    nth = F.row_number().over(Window.partitionBy("part").orderBy("ingest_seq"))
-    numbered = ranged.withColumn("nth", nth).join(bases, "part").withColumn("seq", F.col("base") + F.col("nth") - 1)
-    return cut(numbered.drop("part", "nth", "base")), sum(r["count"] for r in sizes.collect())
+    nth = F.row_number().over(Window.partitionBy("part").orderBy(*order))
+    placed = ranged.withColumn("nth", nth).join(bases, "part").withColumn(name, F.col("base") + F.col("nth") - 1)
+    return cut(placed.drop("part", "nth", "base")), sum(r["count"] for r in sizes.collect())
+
+
+def mark_rows(listings: DataFrame) -> DataFrame:
+    """Records with an identity (``row_id``) and a hash that orders those of one number and address (``tie``).
+
+    They are materialised: a batch is read for its keys and again for every table, behind
+    it may lie the parsing of pages, and row ids hold for stored rows only.
+    """
+    return cut(listings.withColumns({"row_id": F.monotonically_increasing_id(), "tie": F.xxhash64(*listings.columns)}))
+
+
+def number_arrivals(records: DataFrame) -> tuple[DataFrame, int]:
+    """Records with ``seq``, their place in the order of arrival from 0 on, and how many there are."""
+    order = [c for c in ("ingest_seq", "source_url", "tie", "row_id") if c in records.columns]
+    return numbered(records, order, "seq")
 
 
 def known_code(company_id: Column) -> Column:
@@ -112,9 +134,9 @@ def known_members(offers: DataFrame, master: Master, unify_prefix: bool = False)
     One row has the company's own fields, further rows one phone each.
     """
     touched = offers.select(company_of(F.col("company_id")).alias("company_id")).distinct()
-    companies = master.companies.join(touched, "company_id", "left_semi").select(
+    companies = dated_companies(master.companies.join(touched, "company_id", "left_semi"), master.dates).select(
         "company_id", "inn", "website", F.when(F.col("name") != "", N.normalize_name("name")).alias("name_norm"),
-        "scrape_date", F.array().cast("array<string>").alias("fps"),
+        F.col("name_date").alias("scrape_date"), F.array().cast("array<string>").alias("fps"),
     )
     nothing = F.lit(None).cast("string")
     phones = (
@@ -290,12 +312,31 @@ def parent_pointers(wanted: DataFrame, offers: DataFrame, slices: Slices) -> Dat
     )
 
 
-def assign_companies(listings: DataFrame, master: Master, unify_prefix: bool = False) -> DataFrame:
-    """``(ingest_seq, company_id)`` for every record of a normalised batch.
+def founder_ids(founders: DataFrame, master: Master) -> DataFrame:
+    """``(company_id, founder)``: the id of every company that ``founders(seq, ingest_seq)`` found, by arrival.
 
-    ``unify_prefix`` matches phones that differ in a leading 8 or 7 only.
+    A number that is free stays, given to the first who comes with it; the others get the next ones
+    above every id given so far.
     """
-    records, count = number_arrivals(key_record(listings, unify_prefix))
+    used = master.companies.select(F.col("company_id").alias("ingest_seq"))
+    if master.retired is not None:
+        used = used.unionByName(master.retired.select(F.col("company_id").alias("ingest_seq")))
+    first = founders.groupBy("ingest_seq").agg(F.min("seq").alias("seq"))
+    free = first.join(used, "ingest_seq", "left_anti")
+    others = founders.join(free.select("seq"), "seq", "left_anti")
+    kept = founders.select(F.col("seq").alias("company_id"), F.col("ingest_seq").alias("founder"))
+    if others.isEmpty():
+        return kept
+    others, _ = numbered(others.select("seq"), ["seq"], "nth")
+    tops = used.unionByName(founders.select("ingest_seq")).agg(F.max("ingest_seq").alias("top")).head()["top"]
+    top = max(tops, master.mark)
+    moved = others.select(F.col("seq").alias("company_id"), (F.lit(top) + 1 + F.col("nth")).alias("founder"))
+    return kept.join(moved, "company_id", "left_anti").unionByName(moved)
+
+
+def assign_rows(marked: DataFrame, master: Master, unify_prefix: bool = False) -> DataFrame:
+    """``(row_id, seq, company_id)`` for every record of a batch that ``mark_rows`` has marked."""
+    records, count = number_arrivals(key_record(marked, unify_prefix))
     slices = Slices(count)
     wanted = cut(explode_keys(records, "seq"))
     known = cut(known_offers(wanted, master, unify_prefix))
@@ -311,20 +352,30 @@ def assign_companies(listings: DataFrame, master: Master, unify_prefix: bool = F
         if _same_companies(assigned, following):
             break
         assigned = following
-    numbers = records.select("seq", "ingest_seq")
-    founders = numbers.select(F.col("seq").alias("company_id"), F.col("ingest_seq").alias("founder"))
-    return following.join(numbers, "seq").join(founders, "company_id", "left").select(
-        "ingest_seq", F.coalesce("founder", company_of(F.col("company_id"))).alias("company_id")
+    placed = following.join(records.select("seq", "row_id", "ingest_seq"), "seq")
+    ids = founder_ids(placed.filter(F.col("seq") == F.col("company_id")).select("seq", "ingest_seq"), master)
+    return placed.join(ids, "company_id", "left").select(
+        "row_id", "seq", F.coalesce("founder", company_of(F.col("company_id"))).alias("company_id")
     )
 
 
+def assign_companies(listings: DataFrame, master: Master, unify_prefix: bool = False) -> DataFrame:
+    """``(ingest_seq, source_url, company_id)`` for every record of a normalised batch.
+
+    ``unify_prefix`` matches phones that differ in a leading 8 or 7 only.
+    """
+    marked = mark_rows(listings)
+    found = assign_rows(marked, master, unify_prefix).select("row_id", "company_id")
+    return marked.select("row_id", "ingest_seq", "source_url").join(found, "row_id").drop("row_id")
+
+
 def _same_companies(a: DataFrame, b: DataFrame) -> bool:
     other = b.withColumnRenamed("company_id", "other_id")
     return a.join(other, "seq").filter(F.col("company_id") != F.col("other_id")).isEmpty()
 
 
-def fold_companies(existing: DataFrame, assigned: DataFrame) -> DataFrame:
-    """Survivorship over the existing row and all assigned records of a company (M3, M4).
+def _folded(existing: DataFrame, assigned: DataFrame, dates: DataFrame | None) -> DataFrame:
+    """Survivorship over the existing row and all assigned records of a company, with the dates of fresh fields.
 
     Existing values come first in arrival order.  Identifiers and website keep the
     earliest value, the fresh fields the one with the newest scrape date, status
@@ -334,47 +385,64 @@ def fold_companies(existing: DataFrame, assigned: DataFrame) -> DataFrame:
         "company_id", *IMMUTABLE, *FRESH, "website", "status_aggregator",
         *[F.lit(None).cast("string").alias(c) for c in OFFICIAL],
         F.col("scrape_date").alias("first_seen_at"), "last_seen_at", "scrape_date",
+        *[F.col("scrape_date").alias(f"{c}_date") for c in FRESH],
         F.col("ingest_seq").alias("seq"),
     )
-    rows = existing.withColumn("seq", C.before_all()).unionByName(records)
+    rows = dated_companies(existing, dates).withColumn("seq", C.before_all()).unionByName(records)
 
     def earliest(c):
         return F.min(F.when(F.col(c).isNotNull(), F.struct("seq", c)))[c].alias(c)
 
     def freshest(c):
-        return F.max(F.when(F.col(c).isNotNull(), F.struct("scrape_date", "seq", c)))[c].alias(c)
+        return F.max(F.when(F.col(c).isNotNull(), F.struct(f"{c}_date", "seq", c)))
 
     def latest(c):
         return F.max(F.struct("seq", c))[c].alias(c)
 
-    return (
-        rows.groupBy("company_id")
-        .agg(
-            *[earliest(c) for c in [*IMMUTABLE, "website", "first_seen_at"]],
-            *[freshest(c) for c in FRESH],
-            *[latest(c) for c in ["status_aggregator", "last_seen_at", "scrape_date"]],
-            *[F.max(c).alias(c) for c in OFFICIAL],
-        )
-        .select(*COMPANIES.names)
+    return rows.groupBy("company_id").agg(
+        *[earliest(c) for c in [*IMMUTABLE, "website", "first_seen_at"]],
+        *[freshest(c)[c].alias(c) for c in FRESH],
+        *[freshest(c)[f"{c}_date"].alias(f"{c}_date") for c in FRESH],
+        *[latest(c) for c in ["status_aggregator", "last_seen_at", "scrape_date"]],
+        *[F.max(c).alias(c) for c in OFFICIAL],
     )
 
 
+def fold_companies(existing: DataFrame, assigned: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+    """Company rows after a batch (M3, M4)."""
+    return _folded(existing, assigned, dates).select(*COMPANIES.names)
+
+
 def apply_assigned(assigned: DataFrame, master: Master) -> Master:
     """Fold records that already carry a company_id into the master."""
-    return Master(
-        companies=fold_companies(master.companies, assigned),
+    return master.with_tables(
+        companies=fold_companies(master.companies, assigned, master.dates),
+        dates=_folded(master.companies, assigned, master.dates).select(*DATES.names),
         sources=C.upsert_sources(master.sources, C.listing_sources(assigned)),
         contacts=C.upsert_contacts(master.contacts, C.listing_contacts(assigned)),
         kpp=C.upsert_kpp(master.kpp, C.listing_kpp(assigned)),
     )
 
 
+def resolved(listings: DataFrame, master: Master, unify_prefix: bool = False) -> DataFrame:
+    """Records with their company; ``ingest_seq`` is their place in the batch, which no two share."""
+    marked = mark_rows(listings)
+    found = assign_rows(marked, master, unify_prefix)
+    return cut(marked.drop("tie").join(found, "row_id").withColumn("ingest_seq", F.col("seq")).drop("row_id", "seq"))
+
+
 def upsert_batch(listings: DataFrame, master: Master, unify_prefix: bool = False) -> Master:
-    """Resolve a normalised batch against the master and merge it in (M2).
+    """Resolve a normalised batch against the master and merge it in (M2)."""
+    return apply_assigned(resolved(listings, master, unify_prefix), master)
+
+
+def upsert_changes(listings: DataFrame, master: Master, unify_prefix: bool = False) -> tuple[Master, DataFrame]:
+    """The companies that a batch touches, as they are after it, and their ids.
 
-    The batch is materialised first: it is read for its keys and again for every
-    table, and behind it may lie the parsing of pages.
+    Touched are companies with a record in the batch and the owners of its source addresses.
     """
-    listings = cut(listings)
-    assigned = listings.join(assign_companies(listings, master, unify_prefix), "ingest_seq")
-    return apply_assigned(cut(assigned), master)
+    assigned = resolved(listings, master, unify_prefix)
+    owners = master.sources.join(assigned.select("source_url"), "source_url", "left_semi").select("company_id")
+    touched = cut(assigned.select("company_id").unionByName(owners).distinct())
+    part = master.with_tables(**{n: t.join(touched, "company_id", "left_semi") for n, t in master.all_tables().items()})
+    return apply_assigned(assigned, part), touched

@@ -263,7 +263,8 @@ def match_cascade(spark):
 @query
 def assigned_companies(spark):
     """Company of every incoming record, batch-internal matches included."""
-    return upsert.assign_companies(views.incoming(spark, SPLIT_DATE), views.master_of(spark, SPLIT_DATE))
+    found = upsert.assign_companies(views.incoming(spark, SPLIT_DATE), views.master_of(spark, SPLIT_DATE))
+    return found.select("ingest_seq", "company_id")
 
 
 def _upserted(spark):

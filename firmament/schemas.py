@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _S, _L, _I = T.StringType(), T.LongType(), T.IntegerType()
@@ -118,7 +119,14 @@ RESULTS = _struct(
     ("provider_name", _S, False),
 )
 
+# Scrape date of every fresh field of a company, which decides what a late record may overwrite.
+DATES = _struct(("company_id", _L, False), *_strings(*[f"{c}_date" for c in FRESH]))
+
+# Ids of companies that were merged away; no company gets them again.
+RETIRED = _struct(("company_id", _L, False))
+
 MASTER_TABLES = {"companies": COMPANIES, "sources": SOURCES, "contacts": CONTACTS, "kpp": KPP}
+SIDE_TABLES = {"dates": DATES, "retired": RETIRED}
 
 # Columns of an older layout that must not appear in ``companies``.
 FORBIDDEN = {"source_url", "phones", "email", "kpp", "status"}
@@ -126,12 +134,20 @@ FORBIDDEN = {"source_url", "phones", "email", "kpp", "status"}
 
 @dataclass(frozen=True)
 class Master:
-    """The four tables that make up the registry."""
+    """The four tables that make up the registry, and what later batches have to know.
+
+    Without ``dates`` all fresh fields count as scraped when the company was seen last.  ``mark`` is
+    the largest id given so far, ``version`` the stored version that this master comes from.
+    """
 
     companies: DataFrame
     sources: DataFrame
     contacts: DataFrame
     kpp: DataFrame
+    dates: DataFrame | None = None
+    retired: DataFrame | None = None
+    mark: int = 0
+    version: int | None = None
 
     def with_tables(self, **tables: DataFrame) -> "Master":
         return replace(self, **tables)
@@ -139,9 +155,22 @@ class Master:
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in MASTER_TABLES}
 
+    def all_tables(self) -> dict[str, DataFrame]:
+        """The four tables and the side tables there are."""
+        return {n: getattr(self, n) for n in [*MASTER_TABLES, *SIDE_TABLES] if getattr(self, n) is not None}
+
 
 def empty_master(spark: SparkSession) -> Master:
-    return Master(**{n: spark.createDataFrame([], s) for n, s in MASTER_TABLES.items()})
+    return Master(**{n: spark.createDataFrame([], s) for n, s in {**MASTER_TABLES, **SIDE_TABLES}.items()})
+
+
+def dated_companies(companies: DataFrame, dates: DataFrame | None) -> DataFrame:
+    """Companies with the scrape date of every fresh field beside it."""
+    names = [f"{c}_date" for c in FRESH]
+    if dates is None:
+        return companies.withColumns({n: F.col("scrape_date") for n in names})
+    joined = companies.join(dates, "company_id", "left")
+    return joined.withColumns({n: F.coalesce(n, "scrape_date") for n in names})
 
 
 def contract_diff(df: DataFrame, schema: T.StructType, forbidden: set[str] = frozenset()) -> list[str]:
@@ -159,9 +188,10 @@ def contract_diff(df: DataFrame, schema: T.StructType, forbidden: set[str] = fro
 def check_master(master: Master) -> Master:
     """Raise when a master table does not follow its contract."""
     problems = []
-    for name, schema in MASTER_TABLES.items():
+    schemas = {**MASTER_TABLES, **SIDE_TABLES}
+    for name, table in master.all_tables().items():
         banned = FORBIDDEN if name == "companies" else frozenset()
-        problems += [f"{name}: {d}" for d in contract_diff(getattr(master, name), schema, banned)]
+        problems += [f"{name}: {d}" for d in contract_diff(table, schemas[name], banned)]
     if problems:
         raise ValueError("; ".join(problems))
     return master

@@ -1,4 +1,4 @@
-"""Incremental card upsert: each micro-batch becomes one master version (K2, K3, K4)."""
+"""Incremental card upsert: each micro-batch becomes one delta of the master (K2, K3, K4)."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from firmament.operators.records import normalize_listings
-from firmament.operators.upsert import upsert_batch
+from firmament.operators.upsert import upsert_changes
 from firmament.sources.registry import RegistryStore
 
 
@@ -16,14 +16,14 @@ def upsert_sink(store: RegistryStore, writer: str):
     Batch ids count from 0 in every stream, so the writer's name belongs to the commit: no
     other stream and no batch job can make a batch look committed.
 
-    Late records need no watermark: their own scrape date decides which fields they
-    may overwrite.
+    Late records need no watermark: the stored date of every field decides what they may
+    overwrite, so the result does not depend on where one batch ends and the next begins.
+    A batch writes the companies it touches; if another writer commits first, it is resolved anew.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        if store.has_batch(batch_id, writer):
-            return
-        store.write(upsert_batch(normalize_listings(batch), store.read()), batch_id, writer)
+        listings = normalize_listings(batch)
+        store.update(lambda master: upsert_changes(listings, master), batch_id, writer)
 
     return apply
 
