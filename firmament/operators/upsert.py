@@ -84,13 +84,13 @@ def numbered(rows: DataFrame, order: list[str], name: str) -> tuple[DataFrame, i
     """
     spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut(rows.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()))
-    sizes = ranged.groupBy("part").count()  # a row per partition
-    before = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
-    nth = F.row_number().over(Window.partitionBy("part").orderBy(*order))
-    placed = ranged.withColumn("nth", nth).join(bases, "part").withColumn(name, F.col("base") + F.col("nth") - 1)
-    return cut(placed.drop("part", "nth", "base")), sum(r["count"] for r in sizes.collect())
+    ranged = cut(rows.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
+    sizes = ranged.groupBy("_part").count()  # a row per partition
+    before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_base"))
+    nth = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    placed = ranged.withColumn("_nth", nth).join(bases, "_part").withColumn(name, F.col("_base") + F.col("_nth") - 1)
+    return cut(placed.drop("_part", "_nth", "_base")), sum(r["count"] for r in sizes.collect())
 
 
 def mark_rows(listings: DataFrame) -> DataFrame:

@@ -110,6 +110,19 @@ def fold(rows):
   FROM {rows} r GROUP BY company_id"""
 
 
+def founders(which):
+    """First record of every customer by number and address."""
+    return f"""SELECT custkey, num, source_url FROM (SELECT *, row_number() OVER (PARTITION BY custkey ORDER BY num, source_url) AS r FROM n WHERE {which}) x
+        WHERE r = 1"""
+
+
+def ids_of(founders, used):
+    """A free number stays with its first founder, the others follow the highest id."""
+    return f"""SELECT custkey, CASE WHEN free THEN num ELSE (SELECT max(company_id) FROM (SELECT num AS company_id FROM {founders} UNION ALL {used}) t)
+            + sum(CASE WHEN free THEN 0 ELSE 1 END) OVER (ORDER BY num, source_url ROWS UNBOUNDED PRECEDING) END::BIGINT AS company_id
+        FROM (SELECT *, row_number() OVER (PARTITION BY num ORDER BY source_url) = 1 AND num NOT IN ({used}) AS free FROM {founders}) x"""
+
+
 RECORD = "ingest_seq AS seq, inn, name, website, address, status_aggregator, scrape_date AS first_seen_at, scrape_date AS last_seen_at, scrape_date"
 FOUNDED = f"(SELECT min(ingest_seq) OVER (PARTITION BY custkey) AS company_id, * FROM {N} x)"
 SURVIVORS = fold(f"(SELECT company_id, {RECORD} FROM {FOUNDED} f)")
@@ -458,6 +471,13 @@ ORACLE = {
         QUALIFY row_number() OVER (PARTITION BY url, strftime(fetched_at, '%Y-%m-%d') ORDER BY fetched_at DESC, page_id DESC) = 1""",
     "unknown_sites": f"SELECT site_key, count(*) AS skipped FROM {OUTCOMES} o WHERE site_key NOT IN ('site0', 'site1') GROUP BY site_key",
     "stream_frontier": folded(),
+    "repeated_arrivals": f"""WITH n AS (SELECT source_url, custkey, ingest_seq % 50 AS num, scrape_date < '{SPLIT_DATE}' AS early FROM {N} x),
+        f1 AS ({founders("early")}), i1 AS ({ids_of("f1", "SELECT 0 AS company_id WHERE false")}),
+        f2 AS ({founders("NOT early AND custkey NOT IN (SELECT custkey FROM f1)")}), i2 AS ({ids_of("f2", "SELECT company_id FROM i1")})
+        SELECT n.source_url, i.company_id FROM n JOIN (SELECT * FROM i1 UNION ALL SELECT * FROM i2) i ON i.custkey = n.custkey""",
+    "stored_deltas": fold(f"""(SELECT arg_min(ingest_seq, arrival) OVER (PARTITION BY custkey) AS company_id, arrival AS seq, inn, name, website, address,
+        status_aggregator, scrape_date AS first_seen_at, scrape_date AS last_seen_at, scrape_date
+        FROM (SELECT *, ingest_seq % 3 * 1000000000000 + ingest_seq AS arrival FROM {N} x) a)"""),
     "stream_upsert": f"""WITH {OLD_NEW} SELECT ids.company_id, max(inn) AS inn, max(website) AS website,
         arg_min(scrape_date, CASE WHEN scrape_date < '{SPLIT_DATE}' THEN 0 ELSE 1000000000000 END + ingest_seq) AS first_seen_at
         FROM n JOIN ids ON ids.custkey = n.custkey GROUP BY ids.company_id""",

@@ -267,6 +267,28 @@ def assigned_companies(spark):
     return found.select("ingest_seq", "company_id")
 
 
+@query
+def repeated_arrivals(spark):
+    """Company of every record when arrival numbers repeat inside a batch and start again in the next."""
+    rows = cut(views.normalized(spark).drop("custkey").withColumn("ingest_seq", F.col("ingest_seq") % 50))
+    early = F.col("scrape_date") < SPLIT_DATE
+    master = upsert.upsert_batch(rows.filter(early), empty_master(spark))
+    master = master.with_tables(**{name: cut(table) for name, table in master.all_tables().items()})
+    later = upsert.assign_companies(rows.filter(~early), master).select("source_url", "company_id")
+    return master.sources.select("source_url", "company_id").unionByName(later)
+
+
+@query
+def stored_deltas(spark):
+    """Records in three shuffled deliveries, each a delta of the store; buckets with two deltas are compacted."""
+    store = RegistryStore(spark, new_folder(spark, "registry"), buckets=8, deltas=2)
+    rows = cut(views.normalized(spark).drop("custkey"))
+    for delivery in range(3):
+        part = rows.filter(F.col("ingest_seq") % 3 == delivery)
+        store.update(lambda master, part=part: upsert.upsert_changes(part, master), delivery)
+    return store.read().companies.select(*COMPANY_COLUMNS)
+
+
 def _upserted(spark):
     return upsert.upsert_batch(views.incoming(spark, SPLIT_DATE), views.master_of(spark, SPLIT_DATE))
 

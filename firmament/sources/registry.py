@@ -17,8 +17,10 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -132,9 +134,13 @@ class RegistryStore:
     def _save(self, tables: dict[str, DataFrame]) -> str:
         """Tables of a new segment in a folder of its own."""
         folder = f"{self.folder}/segments/{uuid.uuid4().hex}"
-        for name, rows in tables.items():
-            dealt = rows.withColumn("bucket", self._bucket())
+
+        def save(name: str) -> None:
+            dealt = tables[name].withColumn("bucket", self._bucket())
             dealt.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{folder}/{name}")
+
+        with ThreadPoolExecutor(len(tables)) as pool:  # a job per table, side by side
+            list(pool.map(inheritable_thread_target(self.spark)(save), tables))
         return folder
 
     def _highest(self, folder: str, mark: int) -> int:

@@ -349,3 +349,45 @@ def test_compatible_inn_keeps_clusters_apart(spark):
     whole = {(r.loser_id, r.winner_id) for r in dedup.name_phone_id_map(master).collect()}
     apart = {(r.loser_id, r.winner_id) for r in dedup.name_phone_id_map(master, require_compatible_inn=True).collect()}
     assert whole == {(1, 2), (3, 2), (4, 2)} and apart == {(1, 2), (4, 3)}
+
+
+def test_ids_never_clash(spark):
+    """Repeated arrival numbers, numbers that start again and ids that were merged away give companies of their own."""
+    rows = [listing(5, url=f"http://c/{k}", inn=f"77000000{k:02d}") for k in (3, 1, 2)] + [listing(9, inn="7700000009")]
+    master = upsert.upsert_batch(frame(spark, rows), empty_master(spark))
+    master = master.with_tables(**{n: cut(t) for n, t in master.all_tables().items()})
+    assert {r.source_url: r.company_id for r in master.sources.collect()} == {
+        "http://c/1": 5, "http://c/2": 10, "http://c/3": 11, "http://c/9": 9}
+    retired = spark.createDataFrame([(20,)], "company_id bigint")
+    again = frame(spark, [listing(k, url=f"http://d/{k}", inn=f"78000000{k:02d}") for k in (5, 6, 20)])
+    got = {r.ingest_seq: r.company_id for r in upsert.assign_companies(again, master.with_tables(retired=retired)).collect()}
+    assert got == {5: 21, 6: 6, 20: 22}
+    assert {r.company_id for r in upsert.assign_companies(again, master.with_tables(mark=99)).collect()} == {100, 6, 20}
+
+
+def test_fields_do_not_depend_on_the_split(spark):
+    """Records with shuffled dates, folded in one batch, in two and in three, give the same companies, names and matches."""
+    rows = entities(21, 3, 20)
+    rnd = random.Random(4)
+    for r in rows:
+        r["scrape_date"] = f"2024-{rnd.randrange(1, 13):02d}-01"
+    results = []
+    for cuts in ([], [6, 13]):
+        master = empty_master(spark)
+        for a, b in zip([0, *cuts], [*cuts, 20], strict=True):
+            master = upsert.upsert_batch(frame(spark, rows[a:b]), master)
+            master = master.with_tables(**{n: cut(t) for n, t in master.all_tables().items()})
+        results.append([{tuple(r) for r in t.collect()} for t in (master.companies, master.sources, master.dates)])
+    assert results[0] == results[1]
+    where, companies = one_by_one(spark, rows), arrive([r.asDict() for r in frame(spark, rows).collect()])[1]
+    assert {r[0] for r in results[0][0]} == set(companies) == set(where.values())
+
+
+def test_merged_fields_keep_their_dates(spark):
+    master = master_of(spark, [(1, None, "А", "a.ru", "Работает", "2024-01-05"), (2, "7700000002", None, "a.ru", "Работает", "2024-01-03")])
+    dates = spark.createDataFrame([(1, "2023-01-01", None, "2023-02-01", None), (2, None, None, "2023-03-01", None)],
+                                  "company_id bigint, name_date string, legal_name_date string, director_date string, address_date string")
+    merged, _ = dedup.dedup_pass(master.with_tables(dates=dates))
+    r = merged.dates.first()
+    assert (r.company_id, r.name_date, r.director_date) == (2, "2023-01-01", "2023-03-01")
+    assert [r.company_id for r in merged.retired.collect()] == [1]

@@ -285,3 +285,38 @@ def test_batch_write_before_a_stream(spark):
     store.write(upsert.upsert_batch(frame(spark, rows[1:]), store.read()), batch_id=0)  # a replay: nothing changes
     su.upsert_sink(store, "stream")(frame(spark, rows[1:]), 0)
     assert {c.website for c in store.read().companies.collect()} == {"a.ru", "b.ru"}
+
+
+def test_two_writers_lose_nothing(spark):
+    """The second writer from one base gets a conflict; ``update`` resolves its batch anew on what the first left."""
+    folder = new_folder(spark, "registry")
+    a, b = (registry.RegistryStore(spark, folder, buckets=4) for _ in range(2))
+    a.write(upsert.upsert_batch(frame(spark, [listing(1, website="a.ru")]), a.read()), 0)
+    base = a.read()
+    first = upsert.upsert_changes(frame(spark, [listing(1, url="http://c/b", website="b.ru")]), base)
+    a.append(*first, 1, "a")
+    with pytest.raises(registry.Conflict):
+        b.append(*upsert.upsert_changes(frame(spark, [listing(1, url="http://c/c", website="c.ru")]), base), 1, "b")
+    with pytest.raises(registry.Conflict):
+        b.write(base, 2, "b")
+    with pytest.raises(registry.Conflict):
+        b._commit(1, "b", 1, 9, [])  # the commit itself is refused as well
+    b.update(lambda master: upsert.upsert_changes(frame(spark, [listing(1, url="http://c/c", website="c.ru")]), master), 1, "b")
+    got = {c.website: c.company_id for c in a.read().companies.collect()}
+    assert set(got) == {"a.ru", "b.ru", "c.ru"} and sorted(got.values()) == [1, 2, 3]
+    assert a.read().version == 3 and a.last_commit()["mark"] == 3
+
+
+def test_a_delta_holds_what_it_touches_and_compaction_changes_nothing(spark):
+    store = registry.RegistryStore(spark, new_folder(spark, "registry"), buckets=2, deltas=1)
+    rows = [listing(k, url=f"http://c/{k}", website=f"w{k}.ru", phones=[f"+7 495 111 22 {k}"], name="А") for k in range(10, 40)]
+    store.write(upsert.upsert_batch(frame(spark, rows), store.read()), 0)
+    again = frame(spark, [listing(50, url="http://c/10", website="w11.ru", name="Б", scrape_date="2024-12-01")])
+    store.append(*upsert.upsert_changes(again, store.read()), 1)
+    segments = store.last_commit()["segments"]
+    delta = spark.read.parquet(f"{segments[-1]['folder']}/companies")
+    assert {r.company_id for r in delta.collect()} == {10, 11} and len(segments) == 2  # the site's company and the address's owner
+    before = {n: {tuple(r) for r in t.collect()} for n, t in store.read().all_tables().items()}
+    assert store.compact() and store.due(store.last_commit()) == []
+    assert {n: {tuple(r) for r in t.collect()} for n, t in store.read().all_tables().items()} == before
+    assert len(before["companies"]) == 30 and {c.name for c in store.read(1).companies.collect()} == {"А"}
