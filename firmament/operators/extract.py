@@ -122,6 +122,20 @@ def usable_pages(pages: DataFrame) -> DataFrame:
     return pages.filter(U.same_site("url", "final_url") & U.is_text_content("content_type"))
 
 
+def main_addresses(companies: DataFrame) -> DataFrame:
+    """``(company_id, scheme, url)``: the addresses that a company's main page may have."""
+    schemes = F.array(F.lit("https://"), F.lit("http://"))
+    return companies.filter(F.col("website").isNotNull()).select(
+        "company_id", F.posexplode(F.transform(schemes, lambda s: F.concat(s, F.col("website")))).alias("scheme", "url")
+    )
+
+
+def pages_of_hosts(pages: DataFrame, addresses: DataFrame) -> DataFrame:
+    """Pages on the host of one of the addresses."""
+    hosts = addresses.select(U.netloc("url").alias("_host")).distinct()
+    return pages.withColumn("_host", U.netloc("url")).join(hosts, "_host", "left_semi").drop("_host")
+
+
 def scan_sites(companies: DataFrame, pages: DataFrame, max_pages: int = 0, **lists) -> DataFrame:
     """Contacts from the main page and all contact pages of company sites.
 
@@ -130,18 +144,16 @@ def scan_sites(companies: DataFrame, pages: DataFrame, max_pages: int = 0, **lis
 
     ``companies(company_id, website)``, ``pages(url, html)`` with one row per URL.
     Returns ``(company_id, contact_type, value)``.  The HTML of a page is turned into
-    contacts and links once and kept; only those narrow results are shuffled.
+    contacts and links once and kept; only those narrow results are shuffled.  Pages of hosts
+    that no company asks for are left out before that, as main and contact pages share a host.
     The main page is the https one when there is one.
     """
+    wanted = main_addresses(companies)
     digest = cut(
         page_contacts(
-            pages.select("url", "html", contact_links(F.col("url"), "html").alias("links")), **lists
+            pages_of_hosts(pages, wanted).select("url", "html", contact_links(F.col("url"), "html").alias("links")), **lists
         )
     )
-    schemes = F.array(F.lit("https://"), F.lit("http://"))
-    wanted = companies.filter(F.col("website").isNotNull()).select(
-        "company_id", F.posexplode(F.transform(schemes, lambda s: F.concat(s, F.col("website")))).alias("scheme", "url")
-    )
     main = (
         wanted.join(digest, "url")
         .groupBy("company_id")
@@ -165,13 +177,22 @@ def scan_sites(companies: DataFrame, pages: DataFrame, max_pages: int = 0, **lis
     ).distinct()
 
 
-def scan_totals(companies: DataFrame, inserted: DataFrame) -> DataFrame:
-    """One row: companies scanned and contacts really added."""
-    rows = companies.select(F.lit("company").alias("kind")).unionByName(
-        inserted.select(F.col("contact_type").alias("kind"))
-    )
+def scan_totals(companies: DataFrame, pages: DataFrame, inserted: DataFrame) -> DataFrame:
+    """One row: companies scanned, those without a landed main page, and contacts really added.
+
+    Every company that was to be scanned is accounted for: its main page is in ``pages(url)``, or its
+    scan has failed.
+    """
+    asked = companies.select("company_id").distinct()
+    landed = main_addresses(companies).join(pages.select("url"), "url", "left_semi").select("company_id").distinct()
+    outcome = asked.join(landed.withColumn("landed", F.lit(True)), "company_id", "left").select(
+        F.when(F.col("landed"), "landed").otherwise("failed").alias("kind"))
+    rows = outcome.unionByName(inserted.select(F.col("contact_type").alias("kind")))
+
+    def counted(*kinds):
+        return F.count_if(F.col("kind").isin(*kinds))
+
     return rows.agg(
-        F.count_if(F.col("kind") == "company").alias("scanned"),
-        F.count_if(F.col("kind") == "email").alias("emails_found"),
-        F.count_if(F.col("kind") == "phone").alias("phones_found"),
+        counted("landed", "failed").alias("scanned"), counted("failed").alias("failed"),
+        counted("email").alias("emails_found"), counted("phone").alias("phones_found"),
     )

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from firmament.functions import normalize as N
 from firmament.functions import registry as R
 from firmament.operators.filters import filter_companies, sort_columns, take
-from firmament.operators.skew import hash_part
 from firmament.schemas import Master
 from firmament.session import cut
 
@@ -67,7 +66,7 @@ REPORT_HEADERS = [
     "Источники",
 ]
 
-CELL_VALUES = 10_000
+CELL_VALUES = 10_000  # of one kind in one cell; the next part of the company goes on
 _KINDS = ["phone", "email", "kpp", "source"]
 
 
@@ -88,32 +87,40 @@ def _child_values(master: Master) -> DataFrame:
     return contacts.unionByName(kpp).unionByName(sources)
 
 
+def _ranked(values: DataFrame) -> DataFrame:
+    """Values with ``rank``, their place by first sight within a company and kind, from 0 on.
+
+    Values are dealt into ranges of that order, so a company that owns most of them lies in many
+    ranges; a value's rank is its place in its range and what earlier ranges hold of its group.
+    """
+    parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    group, order = ["company_id", "kind"], ["first_seen_at", "value"]
+    ranged = cut(values.repartitionByRange(parts, *group, *order).withColumn("range", F.spark_partition_id()))
+    before = Window.partitionBy(*group).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = (
+        ranged.groupBy(*group, "range").agg(F.count("*").alias("n"))
+        .select(*group, "range", F.sum("n").over(before).alias("ahead")).filter("ahead > 0")
+    )
+    nth = F.row_number().over(Window.partitionBy(*group, "range").orderBy(*order))
+    placed = ranged.withColumn("nth", nth).join(ahead, [*group, "range"], "left")
+    return placed.withColumn("rank", F.col("nth") - 1 + F.coalesce("ahead", F.lit(0))).drop("range", "nth", "ahead")
+
+
 def joined_children(values: DataFrame, cell_values: int = CELL_VALUES,
                     separators: dict[str, str] | None = None) -> DataFrame:
     """Phones, e-mails, kpp and sources of a company as joined text, by first sight.
 
-    A company with more than ``cell_values`` child values gets them in several
-    ``part`` rows, spread by a hash of the value: nothing is dropped and no task
-    ever holds more than about ``cell_values`` of them.
+    A cell holds ``cell_values`` values at most; those that follow stand in the next ``part`` of
+    the company.  So the parts of any company, put one after another, are all values in order.
     """
-    large = (
-        values.groupBy("company_id")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") > cell_values)
-        .select("company_id", F.ceil(F.col("n") / cell_values).alias("parts"))
-    )
-    part = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(hash_part(F.col("value"), F.col("parts")))
+    part = F.floor(F.col("rank") / cell_values).cast("int").alias("part")
 
     def cell(kind):
         own = F.collect_list(F.when(F.col("kind") == kind, F.struct("first_seen_at", "value")))
         text = F.array_join(F.array_sort(own)["value"], (separators or {}).get(kind, "\n"))
         return N.blank_to_null(text).alias(kind)
 
-    return (
-        values.join(large, "company_id", "left")
-        .groupBy("company_id", part.cast("int").alias("part"))
-        .agg(*[cell(k) for k in _KINDS])
-    )
+    return _ranked(values).groupBy("company_id", part).agg(*[cell(k) for k in _KINDS])
 
 
 def _with_children(master: Master, companies: DataFrame, limit: int, cell_values: int,

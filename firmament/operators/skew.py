@@ -28,8 +28,3 @@ def top_k_per_group(df: DataFrame, group: list[str], order: list[Column], k: int
         .withColumn(rank_name, F.row_number().over(final))
         .filter(F.col(rank_name) <= k)
     )
-
-
-def hash_part(value: Column, parts: Column) -> Column:
-    """Part number of a value, the same in every engine that has MD5."""
-    return F.pmod(F.conv(F.substring(F.md5(value), 1, 8), 16, 10).cast("bigint"), parts)

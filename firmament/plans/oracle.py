@@ -191,8 +191,8 @@ def cells(contacts=CONTACTS, kpp=KPP, sources=SOURCES, kpp_separator="chr(10)",
 
     return f"""(SELECT company_id, part, {cell('phone', 'phones')}, {cell('email', 'emails')},
         {cell('kpp', 'kpp', kpp_separator)}, {cell('source', 'sources')}
-      FROM (SELECT v.*, CAST(CASE WHEN n > {cell_values} THEN CAST('0x' || substr(md5(value), 1, 8) AS BIGINT) % CAST(ceil(n / {cell_values}.0) AS BIGINT) ELSE 0 END AS INTEGER) AS part
-              FROM (SELECT *, count(*) OVER (PARTITION BY company_id) AS n FROM {values} w) v) p
+      FROM (SELECT *, CAST((row_number() OVER (PARTITION BY company_id, kind ORDER BY first_seen_at, value) - 1) // {cell_values} AS INTEGER) AS part
+              FROM {values} w) p
      GROUP BY company_id, part)"""
 
 
@@ -294,6 +294,27 @@ clinks AS (SELECT url, link, CAST(row_number() OVER (PARTITION BY url ORDER BY i
 
 SNAPSHOTS = f"({views.FX_SNAPSHOTS})"
 
+SCAN_PHASE = f"""WITH {CONTACT_LINKS.replace(views.FX_SITE_PAGES, f"SELECT url, html FROM ({views.FX_FETCHED_PAGES}) f WHERE content_type = 'text/html'")},
+    main AS (SELECT company_id, coalesce(s.url, h.url) AS url FROM ({views.FX_SCANNED}) c
+               LEFT JOIN sp s ON s.url = 'https://' || website LEFT JOIN sp h ON h.url = 'http://' || website),
+    extra AS (SELECT company_id, link AS url FROM main JOIN clinks ON clinks.url = main.url JOIN sp ON sp.url = clinks.link),
+    hits AS (SELECT company_id, html FROM (SELECT * FROM main UNION ALL SELECT * FROM extra) a JOIN sp ON sp.url = a.url)
+    SELECT DISTINCT company_id, 'email' AS contact_type, value, '2024-06-01' AS first_seen_at
+      FROM (SELECT company_id, unnest({found_emails(page_text('html'))}) AS value FROM hits) e WHERE {valid_email('value', CORPUS_LOCALS, CORPUS_DOMAINS)} = 1
+    UNION SELECT DISTINCT company_id, 'phone', value, '2024-06-01' FROM (SELECT company_id, unnest({found_phones(page_text('html'))}) AS value FROM hits) p"""
+
+
+def card_sql(rule):
+    """Fields of the cards of one layout, which differ in what they say and how."""
+    first = rule == "site_a"
+    site = "website || '/'" if rule == "site_d" else "website"
+    badge = f"CASE badge WHEN 0 THEN '{fv.AGGREGATOR_CLOSED}' WHEN 1 THEN '{fv.AGGREGATOR_MAYBE}' ELSE {ACTIVE} END" if first else ACTIVE
+    return f"""SELECT ingest_seq, name, legal_name, inn, ogrn, {"registration_date" if first else "CAST(NULL AS VARCHAR) AS registration_date"}, director, address,
+        {site} AS website, phone || ',' || more_phone AS phones, {"email" if rule == "site_c" else "lower(email)"} AS emails,
+        kpp{" || ',500101002'" if first else ""} AS kpp_list, {badge} AS status_aggregator
+        FROM ({views.FX_CARD_FIELDS}) f WHERE rule_key = '{rule}'"""
+
+
 ORACLE = {
     "normalize_listings": f"""SELECT source_url, site_key, ingest_seq, inn, name, website, phone AS phones, coalesce(email, '') AS emails,
         coalesce(kpp, '') AS kpp_list, address, status_aggregator, scrape_date, scrape_date AS last_seen_at FROM {N} x""",
@@ -344,6 +365,12 @@ ORACLE = {
         SELECT DISTINCT company_id, 'email' AS contact_type, value FROM (SELECT company_id, unnest({found_emails(page_text('html'))}) AS value FROM hits) e
          WHERE {valid_email('value', CORPUS_LOCALS, CORPUS_DOMAINS)} = 1
         UNION SELECT DISTINCT company_id, 'phone', value FROM (SELECT company_id, unnest({found_phones(page_text('html'))}) AS value FROM hits) p""",
+    **{f"cards_site_{x}": card_sql(f"site_{x}") for x in "abcd"},
+    "scan_phase": SCAN_PHASE,
+    "scan_totals": f"""WITH added AS ({SCAN_PHASE})
+        SELECT (SELECT count(*) FROM pages) AS scanned, (SELECT count(*) FROM ({views.FX_SCANNED}) c WHERE NOT EXISTS (SELECT 1 FROM ({views.FX_FETCHED_PAGES}) f
+            WHERE content_type = 'text/html' AND f.url IN ('https://' || c.website, 'http://' || c.website))) AS failed,
+        (SELECT count(*) FROM added WHERE contact_type = 'email') AS emails_found, (SELECT count(*) FROM added WHERE contact_type = 'phone') AS phones_found""",
     "card_fields": f"""SELECT url AS source_url, page_id AS ingest_seq,
         CASE WHEN page_id % 2 = 0 THEN regexp_replace(h, '(?s):\\s+.*$', '') ELSE h END AS name,
         CAST(NULL AS VARCHAR) AS website, CAST(NULL AS VARCHAR) AS inn, '' AS phones, '' AS emails, {ACTIVE} AS status_aggregator, '2024-01-01' AS scrape_date
@@ -404,7 +431,7 @@ ORACLE = {
     "report_status_filter": report(suffix="WHERE c.status_official = 'BANKRUPT'"),
     "report_topk": report(companies=f"""(SELECT x.* FROM {COMPANIES} x JOIN (SELECT company_id, count(*) AS n FROM {SOURCES} s GROUP BY 1) q
         ON q.company_id = x.company_id ORDER BY q.n DESC, x.company_id LIMIT 100)"""),
-    "report_parts": f"SELECT company_id, part, name, phones, emails, kpp, sources FROM ({report(child_cells=cells(cell_values=4))}) r",
+    "report_parts": f"SELECT company_id, part, name, phones, emails, kpp, sources FROM ({report(child_cells=cells(cell_values=2))}) r",
     "report_typed": f"""SELECT company_id, coalesce(inn, '') AS inn, coalesce(ogrn, '') AS ogrn, coalesce(kpp, '') AS kpp, registration_date,
         split_part(registry_status, '|', 1) AS status_code, {label('registry_status')} AS status_label,
         {parsed('registration_date')} AS registration_date_parsed, {parsed('official_verified_at')} AS official_verified_at_parsed,

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from firmament.operators.cards import extract_cards
 from firmament.operators.dedup import dedup_pass
 from firmament.operators.enrich import add_site_contacts, enrich_master, scan_candidates
-from firmament.operators.extract import link_rows, page_card_links, scan_sites, usable_pages
+from firmament.operators.extract import link_rows, page_card_links, scan_sites, scan_totals, usable_pages
 from firmament.operators.frontier import catalog_stop, insert_links
 from firmament.operators.records import normalize_listings
 from firmament.operators.report import registry_report
@@ -34,10 +34,13 @@ def resolve(listings: DataFrame, master: Master) -> tuple[Master, DataFrame]:
     return dedup_pass(upsert_batch(listings, master))
 
 
-def scan_websites(master: Master, pages: DataFrame, seen_at: Column, limit: int = 0, **lists) -> tuple[Master, DataFrame]:
-    """Company sites to new contacts; returns the master and what was added."""
-    found = scan_sites(scan_candidates(master, limit), usable_pages(pages), **lists)
-    return add_site_contacts(master, found, seen_at)
+def scan_websites(master: Master, pages: DataFrame, seen_at: Column, limit: int = 0, **lists) -> tuple[Master, DataFrame, DataFrame]:
+    """Company sites to new contacts; returns the master, what was added, and the totals of the scan."""
+    wanted = cut(scan_candidates(master, limit))
+    usable = usable_pages(pages)
+    scanned, inserted = add_site_contacts(master, scan_sites(wanted, usable, **lists), seen_at)
+    inserted = cut(inserted)
+    return scanned, inserted, scan_totals(wanted, usable, inserted)
 
 
 def enrich(master: Master, responses: DataFrame, as_of: Column, **options) -> Master:

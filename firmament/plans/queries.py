@@ -13,7 +13,7 @@ from firmament.functions.contacts import is_valid_email
 from firmament.operators import cards, children, dedup, enrich, extract, frontier, match, quality, report, upsert
 from firmament.operators.records import website_groups as grouped_websites
 from firmament.plans import phases, views
-from firmament.schemas import empty_master
+from firmament.schemas import COMPANIES, empty_master
 from firmament.session import cut, new_folder
 from firmament.sources import sites, snapshots
 from firmament.sources.registry import RegistryStore, write_stats
@@ -221,6 +221,62 @@ def card_fields(spark):
     )
 
 
+def _rule_cards(spark, rule):
+    """Cards of one layout, written out of orders, with all fields read back."""
+    pages = spark.sql(views.FX_CARDS).filter(F.col("rule_key") == rule).select(
+        "url", F.col("rule_key").alias("site_key"), "rule_key", F.lit("2024-01-01").alias("scrape_date"), "ingest_seq", "html")
+    found = cards.extract_cards(views.spread(pages, "pages"), {rule: cards.CARD_RULES[rule]})
+    return found.select(
+        "ingest_seq", "name", "legal_name", "inn", "ogrn", "registration_date", "director", "address", "website",
+        joined("phones").alias("phones"), joined("emails").alias("emails"), joined("kpp_list").alias("kpp_list"), "status_aggregator",
+    )
+
+
+@query
+def cards_site_a(spark):
+    return _rule_cards(spark, "site_a")
+
+
+@query
+def cards_site_b(spark):
+    return _rule_cards(spark, "site_b")
+
+
+@query
+def cards_site_c(spark):
+    return _rule_cards(spark, "site_c")
+
+
+@query
+def cards_site_d(spark):
+    return _rule_cards(spark, "site_d")
+
+
+def _site_phase(spark):
+    """The scan phase over companies of which some have no answer, some a file and some a known contact."""
+    text = F.lit(None).cast("string")
+    rows = spark.sql(views.FX_SCANNED)
+    companies = rows.select(*[F.col(f.name) if f.name in rows.columns else text.alias(f.name) for f in COMPANIES])
+    day = F.lit("2024-01-01")
+    contacts = rows.filter(F.col("company_id") % 5 == 0).select(
+        "company_id", F.lit("phone").alias("contact_type"), F.lit("+7 (495) 000-00-00").alias("value"), day.alias("first_seen_at"), day.alias("last_seen_at"))
+    master = empty_master(spark).with_tables(companies=companies, contacts=contacts)
+    return phases.scan_websites(master, spark.sql(views.FX_FETCHED_PAGES), F.lit("2024-06-01"),
+                                junk_local_parts=CORPUS_LOCALS, junk_domains=CORPUS_DOMAINS)
+
+
+@query
+def scan_phase(spark):
+    """Contacts that a scan of company sites adds."""
+    return _site_phase(spark)[1].select("company_id", "contact_type", "value", "first_seen_at")
+
+
+@query
+def scan_totals(spark):
+    """Companies scanned, those whose site did not answer with text, and what was added."""
+    return _site_phase(spark)[2]
+
+
 # --- Matching and upsert ---------------------------------------------------------
 
 
@@ -427,7 +483,7 @@ def report_topk(spark):
 @query
 def report_parts(spark):
     """The report with a tiny cell size, so that most companies need continuation rows."""
-    return report.registry_report(views.master(spark), cell_values=4).select(
+    return report.registry_report(views.master(spark), cell_values=2).select(
         "company_id", "part", "name", "phones", "emails", "kpp", "sources"
     )
 

@@ -191,6 +191,58 @@ SELECT concat(CASE WHEN page_id % 3 = 1 THEN 'http' ELSE 'https' END, '://site',
   FROM pages
 """
 
+# The same pages with what the fetcher says about them: every tenth site answers with a file.
+FX_FETCHED_PAGES = f"""
+SELECT url, url AS final_url, CASE WHEN url LIKE '%0.example.net' THEN 'application/pdf' ELSE 'text/html' END AS content_type, html
+  FROM ({FX_SITE_PAGES}) s
+"""
+
+# Companies whose sites are scanned; every seventh site never answered, every fifth company has a contact already.
+FX_SCANNED = """
+SELECT page_id AS company_id, concat('site', CAST(page_id AS VARCHAR(20)), CASE WHEN page_id % 7 = 0 THEN '.example.org' ELSE '.example.net' END) AS website
+  FROM pages
+"""
+
+# What the cards of four sites say about the companies of the orders, field by field.
+FX_CARD_FIELDS = """
+SELECT o_orderkey AS ingest_seq, concat('site_', substr('abcd', CAST(o_orderkey % 4 AS INTEGER) + 1, 1)) AS rule_key,
+       concat('Firm ', CAST(o_custkey AS VARCHAR(20))) AS name, concat('ООО "Legal ', CAST(o_custkey AS VARCHAR(20)), '"') AS legal_name,
+       CAST(7700000000 + o_custkey AS VARCHAR(20)) AS inn, concat('1027', CAST(700000000 + o_custkey AS VARCHAR(20))) AS ogrn,
+       CAST(770100000 + o_custkey % 900 AS VARCHAR(20)) AS kpp, concat('Head ', CAST(o_orderkey % 97 AS VARCHAR(20))) AS director,
+       concat('Town, street ', CAST(o_orderkey % 89 AS VARCHAR(20))) AS address, concat('http://cust', CAST(o_custkey AS VARCHAR(20)), '.ru') AS website,
+       concat('+7 (495) 1', CAST(100000 + o_custkey AS VARCHAR(20))) AS phone, concat('8 800 ', CAST(2000000 + o_orderkey % 1000 AS VARCHAR(20))) AS more_phone,
+       concat('Mail', CAST(o_custkey AS VARCHAR(20)), '@Cust.ru') AS email, concat('0', CAST(1 + o_orderkey % 9 AS VARCHAR(20)), '.06.2011') AS registration_date,
+       o_orderkey % 3 AS badge
+  FROM orders
+"""
+
+# Their pages in the four layouts.
+FX_CARDS = f"""
+SELECT ingest_seq, rule_key, concat('http://cards.example.net/', CAST(ingest_seq AS VARCHAR(20))) AS url, CASE rule_key
+  WHEN 'site_a' THEN concat('<h1>', name, ': обзор</h1>', CASE badge WHEN 0 THEN '<i class="cloze">x</i>' WHEN 1 THEN '<i class="cloze-perhaps">x</i>' ELSE '' END,
+    '<span class="contakt"><strong>ИНН:</strong> 1</span><span class="contakt"><strong>ИНН:</strong> ', inn, '</span><span class="contakt"><strong>ОГРН</strong><br>', ogrn,
+    '</span><span class="contakt"><strong>КПП:</strong> ', kpp, ', 500101002</span><span class="contakt"><strong>Руководитель:</strong> <a href="#">', director,
+    '</a></span><span class="contakt"><strong>Дата регистрации</strong> ', registration_date, '</span><span class="contakt"><strong>Юридическое название</strong> ', legal_name,
+    '</span><p class="adresch2"> <b>', address, '</b> </p><span class="telch">', phone, '</span><p class="dop-info-p">Доп. телефоны: ', more_phone,
+    '</p><b class="emailchop">', email, '</b><a href="mailto:', email, '">m</a><a class="sitech" href="/go?url=', website, '&amp;x=1">s</a>')
+  WHEN 'site_b' THEN concat('<h1>Portal</h1><h1 class="entry-title">', name, '</h1><span class="contakt"><strong>ИНН</strong> 999</span><div class="optionally-info"><span class="contakt">',
+    legal_name, '</span><span class="contakt"><strong>ИНН</strong> ', inn, '</span><span class="contakt"><strong>ОГРН </strong> ', ogrn, '</span><span class="contakt"><strong>КПП</strong>', kpp,
+    '</span><span class="contakt"><strong>Руководитель</strong> ', director, '</span></div><span class="address-text"><span>', address, '</span>.</span><span class="phone-org">', phone,
+    '</span><span class="dop-phone">', more_phone, '</span><span class="dop-phone"></span><span class="company-email">', email, '</span><a href="mailto:', email,
+    '">m</a><a class="web-site-org" href="', website, '">x</a>')
+  WHEN 'site_c' THEN concat('<h1>', name, '</h1><div class="fields"><p><b>Адрес:</b> ', address, '</p><p><b>Владелец</b>: ', director,
+    '</p></div><div class="company__param"><div class="company__label">Телефоны</div><div class="company__value"><div>', phone, '</div><div>', more_phone,
+    '</div></div></div><div class="company__param"><div class="company__label">E-mail / почта</div><div class="company__value">', email,
+    '</div></div><div class="company__param"><div class="company__label">Сайт</div><div class="company__value"><a href="javascript:void(0)">x</a><a href="', website,
+    '">d</a></div></div><div class="text">Услуги. ИНН/КПП: ', inn, '/', kpp, ', ОГРН ', ogrn, '.</div><div class="entity-tabs">', legal_name, '</div>')
+  ELSE concat('<h1 class="about__title">', name, '</h1><span class="about__address">', address, '</span><div class="about__block"><span class="about__small">Наши реквизиты</span><div>ИНН: ',
+    inn, '</div><div>ОГРН: ', ogrn, '</div><div>КПП: ', kpp, '</div><div>Полное наименование: ', legal_name, '</div><div>Руководитель: ', director,
+    '</div></div><div class="about__block"><span class="about__small">Прочее</span><div>ИНН: 1</div></div><ul class="about__contacts"><li><a class="about__phone" href="tel:1">', phone,
+    '</a></li><li><a href="tel:', more_phone, '"></a></li><li><a href="mailto:', email, '">', email, '</a></li><li><i class="fa fa-globe"></i> <a href="', website,
+    '/?utm_source=c">сайт</a></li></ul><a href="tel:000">other</a>') END AS html
+  FROM ({FX_CARD_FIELDS}) f
+"""
+
 
 def load(spark: SparkSession, sf_dir: str) -> SparkSession:
     """Register the given tables as views of the session."""
