@@ -366,6 +366,8 @@ ORACLE = {
          WHERE {valid_email('value', CORPUS_LOCALS, CORPUS_DOMAINS)} = 1
         UNION SELECT DISTINCT company_id, 'phone', value FROM (SELECT company_id, unnest({found_phones(page_text('html'))}) AS value FROM hits) p""",
     **{f"cards_site_{x}": card_sql(f"site_{x}") for x in "abcd"},
+    "protected_contacts": f"""SELECT custkey, CASE custkey % 6 WHEN 0 THEN 'sales' WHEN 1 THEN '' WHEN 3 THEN 'ld' WHEN 4 THEN 'plain' ELSE 'deep' END || mark
+        || '@firm.ru' AS email FROM ({views.FX_PROTECTED}) p WHERE custkey % 6 <> 2""",
     "scan_phase": SCAN_PHASE,
     "scan_totals": f"""WITH added AS ({SCAN_PHASE})
         SELECT (SELECT count(*) FROM pages) AS scanned, (SELECT count(*) FROM ({views.FX_SCANNED}) c WHERE NOT EXISTS (SELECT 1 FROM ({views.FX_FETCHED_PAGES}) f

@@ -186,6 +186,13 @@ def doc_contacts(spark):
     )
 
 
+@query
+def protected_contacts(spark):
+    """Addresses in mail links, encoded attributes and linked data; broken forms give none."""
+    found = extract.page_contacts(spark.sql(views.FX_PROTECTED).select("custkey", "html"))
+    return found.select("custkey", F.explode("emails").alias("email"))
+
+
 @query
 def contact_links(spark):
     pages = spark.sql(views.FX_SITE_PAGES)

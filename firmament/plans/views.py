@@ -243,6 +243,20 @@ SELECT ingest_seq, rule_key, concat('http://cards.example.net/', CAST(ingest_seq
   FROM ({FX_CARD_FIELDS}) f
 """
 
+# Pages with an address in one of the forms that are no plain text; two of six forms are broken.
+# With the key 0x20 the encoded form of lower-case letters is the upper-case one, of @ it is ` and of . it is chr(14).
+FX_PROTECTED = """
+SELECT c_custkey AS custkey, translate(CAST(c_custkey AS VARCHAR(20)), '0123456789', 'abcdefghij') AS mark,
+       concat('<p>Firm</p>', CASE c_custkey % 6
+         WHEN 0 THEN concat('<a href="MAILTO:Sales', translate(CAST(c_custkey AS VARCHAR(20)), '0123456789', 'abcdefghij'), '@firm.ru?subject=hi">m</a><a href="mailto:nothing">n</a>')
+         WHEN 1 THEN concat('<span data-cfemail="20', hex(concat(translate(CAST(c_custkey AS VARCHAR(20)), '0123456789', 'ABCDEFGHIJ'), '`FIRM', chr(14), 'RU')), '">x</span>')
+         WHEN 2 THEN '<span data-cfemail="20zz4">x</span><span data-cfemail="2">y</span>'
+         WHEN 3 THEN concat('<script type="application/ld+json">{"@type":"Org","sub":[[{"Email":" Ld', translate(CAST(c_custkey AS VARCHAR(20)), '0123456789', 'abcdefghij'), '@Firm.ru "}]]}</script>')
+         WHEN 4 THEN concat('<script type="application/ld+json">{bad, "email":"bad@firm.ru"}</script>plain', translate(CAST(c_custkey AS VARCHAR(20)), '0123456789', 'abcdefghij'), '@firm.ru')
+         ELSE concat('<script type="application/ld+json">[{"a":{"email":"deep', translate(CAST(c_custkey AS VARCHAR(20)), '0123456789', 'abcdefghij'), '@firm.ru","n":1}},{"email":5}]</script>') END) AS html
+  FROM customer
+"""
+
 
 def load(spark: SparkSession, sf_dir: str) -> SparkSession:
     """Register the given tables as views of the session."""

@@ -200,6 +200,8 @@ def test_report_keeps_every_value_of_a_hot_company(spark):
     parts = [r.sources.split("\n") for r in rows if r.company_id == 1]
     assert sorted(sum(parts, [])) == sorted([f"http://c/x{i}" for i in range(1000)] + ["http://c/1"])
     assert len(parts) > 15 and max(map(len, parts)) < 120 and len([r for r in rows if r.company_id == 2]) == 1
+    whole = next(r.sources for r in report.registry_report(master).collect() if r.company_id == 1)
+    assert sum(parts, []) == whole.split("\n")  # parts put one after another are the one cell
 
 
 def test_report_sink(spark, tmp_path):
