@@ -1,15 +1,16 @@
 """Packing documents into token sequences: cutting stock by column generation.
 
-A document's ids, closed by an end token, are cut into full sequences and a rest.  Lengths are
-counted in classes of ``GRAIN`` tokens; the histogram, at most CAPACITY / GRAIN numbers, is all
-that the driver sees.  A linear program over patterns (how many pieces of each class share a
+A document's ids, closed by an end token, are cut into full sequences and a rest.  The histogram of
+lengths, at most CAPACITY numbers, is all that the driver sees.  Lengths fall into ``CLASSES``
+classes.  A linear program over patterns (how many pieces of each class share a
 sequence) is solved by column generation: a knapsack over the classes, priced by the duals, finds
 the next pattern, and a revised simplex step brings it in, until the number of sequences is
-within ``GAP`` of a proven bound.  Patterns are rounded down and what is left over, less than a sequence per
-pattern, is placed best fit, longest first.  Pieces are ranked within their class, and the
+within ``GAP`` of a proven bound.  Patterns are rounded down.  What is left over, less than a sequence per
+pattern, and the short pieces are placed best fit by their exact lengths, in the room that patterns
+leave and in further sequences.  Pieces are ranked within their length, and the
 rank says which copy of which pattern a piece belongs to.
 
-Ranks come from salted parts of a class, as many as its share of all pieces asks for, so that a
+Ranks come from salted parts of a length, as many as its share of all pieces asks for, so that a
 length which a third of all documents have is no single group.
 
 Null and empty texts are one end token.  Repeated rows are packed once each; a null doc_id is
@@ -30,9 +31,11 @@ from firmament.llm.common import keep, partitions
 from firmament.llm.wordbpe import default_path, word_encoder
 
 CAPACITY = 2048
-GRAIN = 8
+CLASSES = 256  # of lengths in the linear program
+SMALL = 32  # pieces of a 32nd of a sequence and less fill what room patterns leave
 END = 1
 GAP = 2e-3
+REFRESH = 50  # pivots after which the inverse is made anew
 STALL = 2  # pivots without progress by a quarter of the gap, per class, after which column generation ends
 
 
@@ -116,7 +119,7 @@ def _generate(sizes: np.ndarray, need: np.ndarray, room: int, gap: float) -> tup
                 pool.append(found)
                 vectors = np.vstack([vectors, entering])
             elif weight == 0:
-                return columns, inverse @ need
+                return columns, np.linalg.solve(basis, need)
             else:
                 weight = max(0.0, weight - 0.3)
         change = inverse @ entering
@@ -126,7 +129,7 @@ def _generate(sizes: np.ndarray, need: np.ndarray, room: int, gap: float) -> tup
             break
         columns[leave], basis[:, leave] = column, entering
         pivots += 1
-        if pivots % 100:
+        if pivots % REFRESH:
             level = level - ratio[leave] * change
             level[leave] = ratio[leave]
             pivot = inverse[leave] / change[leave]
@@ -134,52 +137,117 @@ def _generate(sizes: np.ndarray, need: np.ndarray, room: int, gap: float) -> tup
             inverse[moved] -= change[moved, None] * pivot
             inverse[leave] = pivot
         else:
-            inverse = inverse @ (2 * np.eye(m) - basis @ inverse)  # a Newton step takes out the rounding of the pivots
+            inverse = np.linalg.inv(basis)  # takes out the rounding of the pivots
             level = inverse @ shifted
-    return columns, inverse @ need
+    return columns, np.linalg.solve(basis, need)
 
 
 def cutting_stock(counts: dict[int, int], room: int, gap: float = GAP) -> Plan:
-    """Patterns for ``counts`` pieces of each size in sequences of ``room`` units."""
-    plan = Plan([], [])
-    sizes = np.array(sorted(s for s, n in counts.items() if n > 0 and s < room), np.int64)
+    """Patterns for ``counts`` pieces of each length in sequences of ``room`` tokens.
+
+    The linear program is about the pieces that are longer than ``room // SMALL``, in classes of
+    ``room // CLASSES`` tokens.  Its patterns get pieces of exact lengths, so what room is really left
+    in each is known, and best fit fills that with the pieces left over by rounding and the short ones.
+    """
+    groups: list[Group] = []
     if counts.get(room):
-        plan.items.append({room: 1})
-        plan.copies.append(counts[room])
-    if not len(sizes):
-        return plan
-    need = np.array([counts[int(s)] for s in sizes], float)
-    columns, level = _generate(sizes, need, room, gap)
-    left = need.astype(np.int64)
-    for column, x in zip(columns, level, strict=True):
-        whole = max(0, int(np.floor(x + 1e-7)))
-        for k, n in column.items():
-            whole = min(whole, int(left[k]) // n)
-        if whole:
-            plan.items.append({int(sizes[k]): n for k, n in column.items()})
-            plan.copies.append(whole)
-            for k, n in column.items():
-                left[k] -= whole * n
-    _best_fit({int(s): int(n) for s, n in zip(sizes, left, strict=True) if n}, room, plan)
-    return plan
-
-
-def _best_fit(counts: dict[int, int], room: int, plan: Plan) -> None:
-    """Place pieces, longest first, in the sequence they fill best."""
-    open_by_room: dict[int, list[dict[int, int]]] = {}
+        groups.append(Group({room: 1}, counts[room], 0))
+    grain, small = max(1, room // CLASSES), room // SMALL
+    left = {s: n for s, n in counts.items() if n > 0 and s < room}
+    runs: dict[int, list[list[int]]] = {}
+    for size in sorted((s for s in left if s > small), reverse=True):
+        runs.setdefault(-(-size // grain), []).append([size, left[size]])
+    sizes = np.array(sorted(c for c in runs if c * grain < room), np.int64)
+    if len(sizes):
+        need = np.array([sum(n for _, n in runs[int(c)]) for c in sizes], float)
+        for column, x in zip(*_generate(sizes, need, room // grain, gap), strict=True):
+            pattern = {int(sizes[k]): n for k, n in column.items()}
+            here = {c: sum(n for _, n in runs[c]) for c in pattern}
+            whole = min(max(0, int(np.floor(x + 1e-7))), *(here[c] // n for c, n in pattern.items()))
+            groups += _filled(pattern, whole, runs, room)
+        left = {s: n for s, n in left.items() if s <= small} | {s: n for own in runs.values() for s, n in own}
+    _best_fit(left, room, groups)
+    return Plan([g.items for g in groups], [g.copies for g in groups])
+
+
+@dataclass
+class Group:
+    """Sequences of equal content: pieces by length, how many there are and the room left in each."""
+
+    items: dict[int, int]
+    copies: int
+    room: int
+
+    def taken(self, size: int, each: int, copies: int) -> Group:
+        """So many of the sequences with ``each`` further pieces."""
+        items = dict(self.items)
+        items[size] = items.get(size, 0) + each
+        return Group(items, copies, self.room - size * each)
+
+
+def _filled(pattern: dict[int, int], copies: int, runs: dict[int, list[list[int]]], room: int) -> list[Group]:
+    """Copies of a pattern with pieces of exact lengths, taken from the front of each class's runs.
+
+    As long as all pieces of a copy come from one run per class, copies are made at once; a copy
+    across the end of a run is made on its own.
+    """
+    made = []
+    while copies:
+        at_once = min(copies, *(runs[c][0][1] // n for c, n in pattern.items()))
+        items: dict[int, int] = {}
+        for c, n in pattern.items():
+            wanted = n * max(1, at_once)
+            while wanted:
+                run = runs[c][0]
+                take = min(wanted, run[1])
+                items[run[0]] = items.get(run[0], 0) + take // max(1, at_once)
+                run[1] -= take
+                wanted -= take
+                if not run[1] and len(runs[c]) > 1:
+                    runs[c].pop(0)
+        made.append(Group(items, max(1, at_once), room - sum(s * n for s, n in items.items())))
+        copies -= max(1, at_once)
+    return made
+
+
+def _best_fit(counts: dict[int, int], room: int, groups: list[Group]) -> None:
+    """Place pieces, longest first, each in the sequence with the least room that holds it; equal ones at once."""
+    waiting: dict[int, list[int]] = {}
+    bits = 0  # one per room that some group has
+
+    def put(k: int) -> None:
+        nonlocal bits
+        if groups[k].room:
+            waiting.setdefault(groups[k].room, []).append(k)
+            bits |= 1 << groups[k].room
+
+    for k in range(len(groups)):
+        put(k)
     for size in sorted(counts, reverse=True):
-        for _ in range(counts[size]):
-            fits = [r for r in open_by_room if r >= size]
-            r = min(fits) if fits else room
-            own = open_by_room[r].pop() if fits else {}
-            if fits and not open_by_room[r]:
-                del open_by_room[r]
-            own[size] = own.get(size, 0) + 1
-            open_by_room.setdefault(r - size, []).append(own)
-    for sequences in open_by_room.values():
-        for own in sequences:
-            plan.items.append(own)
-            plan.copies.append(1)
+        n = counts[size]
+        while n:
+            fits = bits >> size
+            if fits:
+                space = size + (fits & -fits).bit_length() - 1
+                k = waiting[space].pop()
+                if not waiting[space]:
+                    bits ^= 1 << space
+                own = groups[k]
+            else:
+                own, k = Group({}, -(-n // (room // size)), room), len(groups)
+                groups.append(own)
+            each = own.room // size
+            full = min(own.copies, n // each)
+            rest = min(n - full * each, each - 1) if full < own.copies else 0
+            parts = [own.taken(size, each, full)] * (full > 0) + [own.taken(size, rest, 1)] * (rest > 0)
+            over = own.copies - full - (rest > 0)
+            parts += [Group(own.items, over, own.room)] * (over > 0)
+            n -= full * each + rest
+            groups[k] = parts[0]
+            put(k)
+            for part in parts[1:]:
+                groups.append(part)
+                put(len(groups) - 1)
 
 
 def pieces(docs: DataFrame, doc_id: str, text: str, vocabulary: str | None, capacity: int, ids: bool) -> DataFrame:
@@ -209,14 +277,14 @@ def pieces(docs: DataFrame, doc_id: str, text: str, vocabulary: str | None, capa
 
 
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None, capacity: int = CAPACITY,
-         grain: int = GRAIN, ids: bool = True) -> DataFrame:
+         ids: bool = True) -> DataFrame:
     """A row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` and ``ids`` if asked for."""
     spark = docs.sparkSession
     cut = keep(pieces(docs, doc_id, text, vocabulary, capacity, ids), "packing-pieces")
-    size = F.ceil(F.col("length") / grain).cast("int").alias("size")
-    histogram = cut.groupBy(size).count().collect()  # capacity / grain rows at most
+    size = F.col("length").cast("int").alias("size")
+    histogram = cut.groupBy(size).count().collect()  # capacity rows at most
     counts = {r["size"]: r["count"] for r in histogram}
-    plan = cutting_stock(counts, capacity // grain)
+    plan = cutting_stock(counts, capacity)
     total, parts = sum(counts.values()), partitions(spark)
     shares = spark.createDataFrame([(s, -(-n * parts // total)) for s, n in counts.items()], "size int, salts bigint")
     whole = ["doc_id", "start", "length", "ids_crc32"]

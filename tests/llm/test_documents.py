@@ -46,6 +46,23 @@ def empty(spark):
 # ---- packing
 
 
+def test_sequences_have_little_padding():
+    """Also where pieces are short; no more than one sequence in a hundred beyond the bound, or beyond best fit."""
+    assert sum(packing.cutting_stock({1: 20_000}, 2048).copies) == 10
+    rng = random.Random(9)
+    for longest in (12, 60, 700, 2047):
+        counts = collections.Counter(rng.randint(1, longest) for _ in range(4000))
+        least = sum(s * n for s, n in counts.items()) / 2048
+        plan = packing.cutting_stock(dict(counts), 2048)
+        used = collections.Counter()
+        for items, copies in zip(plan.items, plan.copies, strict=True):
+            for s, n in items.items():
+                used[s] += n * copies
+        plain: list[packing.Group] = []
+        packing._best_fit(dict(counts), 2048, plain)
+        assert used == counts and sum(plan.copies) <= 1.01 * max(least, sum(g.copies for g in plain)) + 1
+
+
 def test_cutting_stock_uses_every_piece_once():
     rng = random.Random(1)
     for room in (16, 64):
