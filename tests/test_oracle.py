@@ -18,7 +18,8 @@ QUICK = [
     "link_resolution", "page_links", "catalog_stop", "doc_contacts", "contact_links", "match_cascade", "survivorship",
     "child_contacts", "dedup_website", "name_phone_edges", "registry_report", "report_parts", "report_filtered",
     "provider_chain", "official_update", "quota_assignment", "frontier_state", "pending_batch", "crawl_stats",
-    "snapshot_history", "quality_uniqueness",
+    "snapshot_history", "quality_uniqueness", "cards_site_a", "cards_site_b", "cards_site_c", "cards_site_d", "protected_contacts",
+    "scan_totals",
 ]
 
 

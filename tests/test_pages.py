@@ -167,3 +167,14 @@ def test_unusable_pages(spark):
         ("https://c.ru", "https://c.ru", "application/pdf"), ("https://d.ru", "https://d.ru", "text/plain"), ("https://e.ru", "https://e.ru", None),
     ], "url string, final_url string, content_type string")
     assert sorted(r.url for r in extract.usable_pages(pages).collect()) == ["https://a.ru", "https://d.ru"]
+
+
+def test_scan_accounts_for_every_company(spark):
+    """Pages of other hosts are left out before parsing; a company without a landed main page has failed."""
+    companies = spark.createDataFrame([(1, "firm.ru"), (2, "gone.ru"), (3, None), (4, "firm.ru")], "company_id long, website string")
+    pages = spark.createDataFrame([("https://firm.ru", "a@firm.ru"), ("https://firm.ru/contacts", "b@firm.ru"), ("https://else.ru", "c@else.ru")],
+                                  "url string, html string")
+    kept = extract.pages_of_hosts(pages, extract.main_addresses(companies))
+    assert {r.url for r in kept.collect()} == {"https://firm.ru", "https://firm.ru/contacts"}
+    added = spark.createDataFrame([(1, "email"), (1, "email"), (4, "phone")], "company_id long, contact_type string")
+    assert tuple(extract.scan_totals(companies, pages, added).first()) == (4, 2, 2, 1)
