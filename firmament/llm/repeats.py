@@ -6,8 +6,8 @@ that also starts earlier: in a document with a smaller doc_id, or earlier in the
 1. *Anchors.*  In each window of ``LENGTH`` bytes the run of ``ANCHOR`` bytes whose hash is least
    is an anchor, so equal windows share an anchor at one offset.  An anchor's context reaches far
    enough to hold all windows around it.  Packed (anchor, context) records are exchanged by
-   anchor hash; of records with one context all but the first are repeats as a whole, which
-   settles copies and the inside of long passages.
+   anchor hash; of records with one context (anchor and 128-bit name) all but the first are
+   repeats as a whole, which settles copies and the inside of long passages.
 2. *Index.*  Anchors with several contexts, about two per end of a repeated passage, are settled
    on the bytes: their contexts are exchanged by anchor, built into a run-length index in
    blocks, and streamed through it; places whose next ``LENGTH`` bytes start at an earlier origin
@@ -16,12 +16,14 @@ that also starts earlier: in a document with a smaller doc_id, or earlier in the
 
 An anchor that a share of all documents has, a common line, would fill one task.  A sample of at
 most ``SAMPLE`` documents names such anchors, which only decides where records travel: their
-records are dealt by anchor and context, and their windows are compared by a 128-bit name and
-reduced to the first of each before the exchange.  Either way the result is the same.
+records are dealt by anchor and context, and their windows are compared by anchor and 128-bit name
+and reduced to the first of each before the exchange.  Any other anchor that turns out to have more
+contexts than ``crowd``, by default what one index holds, goes the same way after the first exchange,
+so no block grows beyond two of them.  Either way the result is the same.
 
 Null and empty texts have nothing to remove.  A null doc_id counts as the smallest.  Rows that
 repeat doc_id and text are one document and get the same result; rows that repeat only the
-doc_id are ordered by a checksum of their texts.  Further columns are kept as they are.
+doc_id are ordered by a 64-bit checksum of their texts.  Further columns are kept as they are.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,9 +50,11 @@ BLOCK = 1 << 19  # bytes that one index holds
 GROUPS = 2  # groups of documents per partition
 SPAN, HOT = 2, 1
 
-ENTRY = np.dtype([("a", "<u8"), ("c", "<u8"), ("doc", "<i8"), ("tag", "<u4"), ("g", "<u4"), ("start", "<u4"), ("size", "u1"), ("flag", "u1")])
-FOUND = np.dtype([("a", "<u8"), ("doc", "<i8"), ("tag", "<u4"), ("start", "<u4"), ("end", "<u4"), ("kind", "u1")])
-FACTORS = mix(np.arange(501, 520, dtype=np.uint64)) | np.uint64(1)
+ENTRY = np.dtype([("a", "<u8"), ("c", "<u8"), ("e", "<u8"), ("doc", "<i8"), ("tag", "<u8"), ("g", "<u4"), ("start", "<u4"), ("size", "u1"), ("flag", "u1")])
+FOUND = np.dtype([("a", "<u8"), ("doc", "<i8"), ("tag", "<u8"), ("start", "<u4"), ("end", "<u4"), ("kind", "u1")])
+FACTORS = mix(np.arange(501, 540, dtype=np.uint64)) | np.uint64(1)
+SECOND = 20  # first factor of the other half of a name
+OTHER_SYMBOLS = mix(np.arange(8193, 8449, dtype=np.uint64))
 
 
 def _slide(value: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
@@ -61,10 +66,10 @@ def _slide(value: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
     return pick(value[: len(value) - (width - reach)], value[width - reach :]) if width > reach else value
 
 
-def _run_hash(data: np.ndarray, width: int) -> np.ndarray:
-    """Hashes of all runs of ``width`` bytes."""
-    out = SYMBOLS[data]
-    reach, level = 1, 0
+def _run_hash(data: np.ndarray, width: int, symbols: np.ndarray = SYMBOLS, level: int = 0) -> np.ndarray:
+    """Hashes of all runs of ``width`` bytes; ``level`` is the first factor used."""
+    out = symbols[data]
+    reach = 1
     with np.errstate(over="ignore"):
         while reach < width:
             more = min(reach, width - reach)
@@ -74,11 +79,11 @@ def _run_hash(data: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
-    """Document, anchor hash, context hash, context start and size of every anchor of a slice."""
+    """Document, anchor hash, two halves of the context's name, context start and size of every anchor of a slice."""
     n, wide = len(data), length - ANCHOR
     none = np.empty(0, np.int64)
     if n < length:
-        return none, none.astype(np.uint64), none.astype(np.uint64), none, none
+        return none, *[none.astype(np.uint64)] * 3, none, none
     lengths = np.diff(offsets)
     finish = np.repeat(offsets[1:], lengths)
     short = _run_hash(data, ANCHOR)
@@ -91,16 +96,21 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
         doc = np.searchsorted(offsets, chosen, side="right") - 1
         start = np.maximum(offsets[doc], chosen - wide)
         end = np.minimum(offsets[doc + 1], chosen + length)
-        name, cover = np.zeros(len(chosen), np.uint64), -(-2 * wide // ANCHOR)  # runs at most ANCHOR apart cover the context
-        for k in range(cover + 1):
-            name = mix(name * FACTORS[10] + short[start + (end - start - ANCHOR) * k // cover])
-        name = mix(name + ((end - start) * 1024 + (chosen - start)).astype(np.uint64))
-        return doc, mix(short[chosen]), name, start - offsets[doc], end - start
+        cover, shape = -(-2 * wide // ANCHOR), ((end - start) * 1024 + (chosen - start)).astype(np.uint64)
+        halves = []
+        for runs, factor in ((short, FACTORS[10]), (_run_hash(data, ANCHOR, OTHER_SYMBOLS, SECOND), FACTORS[SECOND + 10])):
+            name = np.zeros(len(chosen), np.uint64)
+            for k in range(cover + 1):  # runs at most ANCHOR apart cover the context
+                name = mix(name * factor + runs[start + (end - start - ANCHOR) * k // cover])
+            halves.append(mix(name + shape))
+        return doc, mix(short[chosen]), *halves, start - offsets[doc], end - start
 
 
 def _tags(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """64-bit checksums, half of them CRC-32, of which the order of texts under one doc_id follows."""
     view = memoryview(np.ascontiguousarray(data))
-    return np.array([zlib.crc32(view[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], np.uint32)
+    pairs = zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
+    return np.array([zlib.crc32(view[a:b]) << 32 | xxhash.xxh3_64_intdigest(view[a:b]) & 0xFFFFFFFF for a, b in pairs], np.uint64)
 
 
 def _ids(array: pa.Array) -> np.ndarray:
@@ -109,7 +119,10 @@ def _ids(array: pa.Array) -> np.ndarray:
 
 
 def _repeated(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the first record of every (anchor, context), and of the others; one place twice is no repeat."""
+    """Positions of the first record of every (anchor, context), and of the others; one place twice is no repeat.
+
+    A 64-bit mix of the keys only gathers records; all 192 bits of anchor and name decide.
+    """
     with np.errstate(over="ignore"):
         name = mix(entries["a"] * FACTORS[16] + entries["c"])
     order = np.argsort(name, kind="stable")
@@ -120,9 +133,10 @@ def _repeated(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(several):
         return order[alone], several
     e = entries[several]
-    several = several[np.lexsort((e["start"], e["tag"], e["doc"], name[several]))]
-    e, group = entries[several], name[several]
-    head = np.concatenate([[True], group[1:] != group[:-1]])
+    several = several[np.lexsort((e["start"], e["tag"], e["doc"], e["e"], e["c"], e["a"], name[several]))]
+    e = entries[several]
+    head = np.ones(len(e), bool)
+    head[1:] = (e["a"][1:] != e["a"][:-1]) | (e["c"][1:] != e["c"][:-1]) | (e["e"][1:] != e["e"][:-1])
     first = np.flatnonzero(head)[np.cumsum(head) - 1]
     same = (e["doc"] == e["doc"][first]) & (e["tag"] == e["tag"][first]) & (e["start"] == e["start"][first])
     return np.concatenate([order[alone], several[head]]), several[~same]
@@ -146,7 +160,7 @@ def _spans(entries: np.ndarray) -> np.ndarray:
     """Span records of whole contexts, joined."""
     kept, start, end = _joined(entries["doc"], entries["tag"], entries["start"], entries["start"].astype(np.int64) + entries["size"])
     out = entries[kept].copy()
-    out["start"], out["c"], out["flag"], out["a"], out["size"] = start, end, SPAN, 0, 0
+    out["start"], out["c"], out["flag"], out["a"], out["e"], out["size"] = start, end, SPAN, 0, 0, 0
     return out
 
 
@@ -171,8 +185,8 @@ def _as_found(entries: np.ndarray, kind: int, ends: np.ndarray) -> np.ndarray:
     return out
 
 
-def _settle(batches, groups: int):
-    """Spans, and contexts to look at, by group of documents."""
+def _settle(batches, groups: int, crowd: int):
+    """Spans, and contexts to look at, by group of documents; anchors with over ``crowd`` contexts count as frequent."""
     entries = records(batches, ENTRY)
     if not len(entries):
         return
@@ -184,12 +198,13 @@ def _settle(batches, groups: int):
     hot = heads["flag"] == HOT
     cold = heads[~hot]
     _, number, held = np.unique(cold["a"], return_inverse=True, return_counts=True)
-    cold = cold[held[number] > 1]
+    crowded, cold = cold[held[number] > crowd], cold[(held[number] > 1) & (held[number] <= crowd)]
+    many = np.concatenate([heads[hot], crowded])
     found = np.concatenate([
         _as_found(spans, 0, spans["c"]), _as_found(cold, 1, cold["start"] + cold["size"]),
-        _as_found(heads[hot], 2, heads[hot]["start"] + heads[hot]["size"]),
+        _as_found(many, 2, many["start"] + many["size"]),
     ])
-    group = np.concatenate([spans["g"], cold["g"], heads["g"][hot]])
+    group = np.concatenate([spans["g"], cold["g"], many["g"]])
     if len(found):
         yield packed(found, group, groups)
 
@@ -213,13 +228,15 @@ def _frequent(docs: DataFrame, total: int, sample: int) -> np.ndarray:
     return np.sort(rows.column(0).to_numpy().view(np.uint64) if rows.num_rows else np.empty(0, np.uint64))
 
 
-def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, sample: int = SAMPLE) -> DataFrame:
+def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, sample: int = SAMPLE,
+            crowd: int | None = None) -> DataFrame:
     """All rows and columns with ``spans`` (removed byte ranges) and ``kept`` (the other bytes)."""
     if not 2 * ANCHOR <= length <= 150:
         raise ValueError("length must be between 96 and 150 bytes")
     spark = docs.sparkSession
     parts = partitions(spark)
     groups, wide = GROUPS * parts, 2 * length - ANCHOR
+    crowd = BLOCK // wide if crowd is None else crowd
     group = fresh("g", docs.columns)
     ids = F.col(doc_id).cast("bigint")
     dealt = docs.withColumn(group, F.pmod(F.xxhash64(ids, F.col(text)), F.lit(groups)).cast("int"))
@@ -231,11 +248,11 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
         for batch in batches:
             doc_ids, group_ids = _ids(batch.column(1)), np.asarray(batch.column(0))
             for first, _, data, offsets in text_slices(batch.column(2)):
-                doc, a, c, start, size = anchors(data, offsets, length)
+                doc, a, c, e, start, size = anchors(data, offsets, length)
                 if not len(doc):
                     continue
                 entries = np.empty(len(doc), ENTRY)
-                entries["a"], entries["c"], entries["start"], entries["size"] = a, c, start, size
+                entries["a"], entries["c"], entries["e"], entries["start"], entries["size"] = a, c, e, start, size
                 entries["doc"], entries["g"] = doc_ids[first + doc], group_ids[first + doc]
                 entries["tag"] = _tags(data, offsets)[doc]
                 place = np.minimum(np.searchsorted(common, a), max(len(common) - 1, 0))
@@ -244,7 +261,7 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
                 yield packed(entries, _bucket(entries, groups), groups)
 
     met = exchange(narrow.mapInArrow(gather, packed_schema(ENTRY)), parts)
-    found = keep(met.mapInArrow(lambda b: _settle(b, groups), packed_schema(FOUND)), "repeats-found")
+    found = keep(met.mapInArrow(lambda b: _settle(b, groups, crowd), packed_schema(FOUND)), "repeats-found")
 
     segment = np.dtype([*ENTRY.descr, ("body", f"V{wide}")])
 
@@ -272,7 +289,7 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
             _copy(windows, source, left.column("g")[0].as_py())
             windows["start"] = source["start"] + shift
             windows["size"], windows["flag"] = length, HOT
-            windows["c"] = _window_names(data, begin[~cold][origin] + shift, length)
+            windows["c"], windows["e"] = _window_names(data, begin[~cold][origin] + shift, length)
             windows = _settle_locally(windows)
         both = np.zeros(len(windows) + len(out), segment)
         for name in ENTRY.names:
@@ -334,16 +351,17 @@ def _lookup(doc_ids: np.ndarray, tags: np.ndarray, wanted: np.ndarray) -> np.nda
     return np.array([row[d, t] for d, t in zip(wanted["doc"].tolist(), wanted["tag"].tolist(), strict=True)], np.int64)
 
 
-def _window_names(data: np.ndarray, begin: np.ndarray, length: int) -> np.ndarray:
-    """64-bit names of windows; together with the anchor hash 128 bits."""
-    name = np.zeros(len(begin), np.uint64)
+def _window_names(data: np.ndarray, begin: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit names of windows, in halves."""
+    name, other = np.zeros(len(begin), np.uint64), np.zeros(len(begin), np.uint64)
     with np.errstate(over="ignore"):
         for j in range(0, length, 8):
             part = np.zeros(len(begin), np.uint64)
             for k in range(j, min(j + 8, length)):
                 part = (part << np.uint64(8)) | data[begin + k].astype(np.uint64)
             name = mix(name * FACTORS[18] + part)
-    return name
+            other = mix((other ^ part) * FACTORS[SECOND + 18])
+    return name, other
 
 
 def _indexed(segments: np.ndarray, length: int) -> list[np.ndarray]:
@@ -361,7 +379,7 @@ def _indexed(segments: np.ndarray, length: int) -> list[np.ndarray]:
         size = block["size"].astype(np.int64)
         rows = np.ascontiguousarray(block["body"]).view(np.uint8).reshape(len(block), wide)
         inside = np.arange(wide)[None, :] < size[:, None]
-        pair = np.empty(len(block), [("doc", "<i8"), ("tag", "<u4")])
+        pair = np.empty(len(block), [("doc", "<i8"), ("tag", "<u8")])
         pair["doc"], pair["tag"] = block["doc"], block["tag"]
         rank = np.unique(pair, return_inverse=True)[1].reshape(-1).astype(np.int64)
         place = (rank[:, None] << 32) + block["start"].astype(np.int64)[:, None] + np.arange(wide)[None, :]

@@ -207,6 +207,44 @@ def test_repeats_equal_brute_force(docs, rows, frequent, monkeypatch):
         assert [(s.start, s.end) for s in r[spans]] == runs and bytes(r[kept]) == body, (r.doc_id, (r.text or "")[:50])
 
 
+@pytest.mark.parametrize("crowd", [0, None])  # with 0 every anchor's windows are dealt by name
+def test_repeats_of_an_anchor_in_many_contexts(spark, crowd):
+    """A line of 60 bytes between ever other words fills more contexts than one index holds; no sample names it."""
+    rng, line = np.random.default_rng(3), "the line that all of these files hold is sixty bytes long ok"
+    words = ["".join(w) for w in rng.choice(list("abcdefghijklmnop"), (4_000, 12))]
+    rows = []
+    for i in range(4_000):
+        a, b, c, d, e, f = (words[j] for j in rng.integers(0, len(words), 6))
+        rows.append((i, f"{a} {b} {c} {line} {d} {e} {f}"))
+        if i % 500 == 0:
+            rows.append((10_000 + i, f"{f} {b} {c} {line} {d} {e} {a} {line}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = brute_repeats(rows)
+    assert sum(len(runs) > 0 for runs, _ in want.values()) >= 8
+    for r in repeats.repeats(docs, sample=0, crowd=crowd).collect():
+        runs, body = want[r.doc_id, r.text]
+        assert [(s.start, s.end) for s in r.spans] == runs and bytes(r.kept) == body, r.doc_id
+
+
+def test_repeats_need_the_whole_name():
+    """Records that agree in anchor and half of the name are different contexts."""
+    entries = np.zeros(4, repeats.ENTRY)
+    entries["a"], entries["c"], entries["e"], entries["doc"] = 7, 9, [1, 2, 1, 3], [4, 3, 2, 1]
+    first, rest = repeats._repeated(entries)
+    assert sorted(first.tolist()) == [1, 2, 3] and rest.tolist() == [0]
+
+
+def test_texts_with_one_crc_are_told_apart():
+    seen = {}
+    for i in range(400_000):
+        text = b"%x" % (i * 2_654_435_761)
+        other = seen.setdefault(zlib.crc32(text), text)
+        if other != text:
+            break
+    tags = repeats._tags(np.frombuffer(text + other, np.uint8), np.array([0, len(text), len(text) + len(other)]))
+    assert zlib.crc32(text) == zlib.crc32(other) and tags[0] != tags[1]
+
+
 def test_repeats_empty_table(empty):
     assert repeats.repeats(empty).collect() == []
 
