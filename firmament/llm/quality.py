@@ -5,11 +5,12 @@ scaled by the log ratio of their counts in the two classes.  A linear model with
 fitted to them by dual coordinate descent, and a logistic curve, fitted to rows kept aside,
 turns its margins into scores.
 
-The fit sees at most ``SAMPLE`` labelled rows, those whose ids hash lowest; all documents are
-scored, over their whole texts.  Null and empty texts have no n-gram and get the score of the
+The fit sees at most ``SAMPLE`` labelled rows, those whose ids hash lowest, and of these, in the same
+order, as many as hold ``VOLUME`` features together (256 MB on the driver); all documents are scored,
+over their whole texts.  Null and empty texts have no n-gram and get the score of the
 bias.  Without labelled rows of both classes every score is the share of label 1 (0.5 without
-any).  Several labels of one document count as the lowest.  Repeated rows get equal scores;
-further columns are left as they are.
+any).  Several labels of one document count as the lowest.  Of rows that repeat a doc_id the fit sees the
+text that hashes lowest.  Repeated rows get equal scores; further columns are left as they are.
 """
 
 from __future__ import annotations
@@ -22,9 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from firmament.llm.common import append, mix, run_hashes, text_slices, unpack, words
+from firmament.llm.common import append, keep, mix, run_hashes, text_slices, unpack, words
 
 SAMPLE = 8_000  # labelled rows at most that a fit sees
+VOLUME = 1 << 26  # features at most that these rows hold together
 BITS = 18
 ASIDE = 4  # every fourth sampled row fits the curve instead of the plane
 EPOCHS = 12
@@ -169,19 +171,26 @@ def logistic(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
-        sample: int = SAMPLE) -> Model:
-    """Fit to at most ``sample`` labelled documents, those whose ids hash lowest."""
+        sample: int = SAMPLE, volume: int = VOLUME) -> Model:
+    """Fit to at most ``sample`` labelled documents with at most ``volume`` features, those whose ids hash lowest."""
     chosen = (
         labels.filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull())
         .groupBy(F.col(doc_id).alias("_id")).agg(F.min(label).cast("int").alias("_label"))
         .orderBy(F.xxhash64("_id"), "_id").limit(sample)
     )
-    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_id").limit(sample)
-    found, names = append(rows.select("_id", "_label", "_text"), "_text", [("_features", T.BinaryType())], lambda: _feature_bytes)
-    got = found.select("_id", "_label", names[0]).toArrow().sort_by("_id")
+    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_id")
+    single = rows.groupBy("_id", "_label").agg(F.min_by("_text", F.xxhash64("_text")).alias("_text"))
+    found, names = append(single, "_text", [("_features", T.BinaryType())], lambda: _feature_bytes)
+    kept = keep(found.select("_id", "_label", F.xxhash64("_id").alias("_order"), F.col(names[0]).alias("_features")), "quality-sample")
+    sizes = kept.select("_order", (F.octet_length("_features") / 4).cast("bigint").alias("n")).toArrow().sort_by("_order")
+    within = np.cumsum(sizes.column("n").to_numpy()) <= volume
+    if not within.all():
+        kept = kept.filter(F.col("_order") < int(sizes.column("_order")[int(np.argmin(within))].as_py()))
+    got = kept.select("_id", "_label", "_features").toArrow()
     flat, offsets = unpack(got.column(2))
-    pairs = zip(offsets[:-1], offsets[1:], got.column(1).to_pylist(), strict=True)
-    return train([(flat[a:b].view(np.int32), y) for a, b, y in pairs])
+    labelled = got.column(1).to_pylist()
+    order = np.argsort(got.column(0).to_numpy(), kind="stable")
+    return train([(flat[offsets[i] : offsets[i + 1]].view(np.int32), labelled[i]) for i in order.tolist()])
 
 
 def _feature_bytes(texts: pa.Array) -> list[pa.Array]:

@@ -428,6 +428,20 @@ def test_quality_separates_unseen_rows(spark, empty):
     assert quality.score(empty, model)[0].collect() == []
 
 
+def test_quality_sample_is_bounded_by_features(spark, monkeypatch):
+    """Rows beyond the feature bound are not learnt from; the fit sees one text of a repeated id."""
+    docs, labels = labelled(spark)
+    docs = docs.select("doc_id", "text").unionByName(spark.range(200).select(F.lit(0).alias("doc_id"), F.concat(F.lit("copy "), "id").alias("text")))
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda rows: seen.append([(len(f), y) for f, y in rows]))
+    for volume in (1 << 26, 2_000, 1):
+        quality.fit(docs, labels, volume=volume)
+    whole, bounded, nothing = seen
+    assert len(whole) == 150 and sum(n for n, _ in whole) > 2_000
+    assert 0 < len(bounded) < 150 and sum(n for n, _ in bounded) <= 2_000 and set(bounded) <= set(whole)
+    assert nothing == []
+
+
 def test_quality_without_two_classes(spark):
     docs, labels = labelled(spark)
     none = quality.fit(docs, labels.limit(0))
