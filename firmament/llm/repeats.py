@@ -6,7 +6,7 @@ that also starts earlier: in a document with a smaller doc_id, or earlier in the
 1. *Anchors.*  In each window of ``LENGTH`` bytes the run of ``ANCHOR`` bytes whose hash is least
    is an anchor, so equal windows share an anchor at one offset.  An anchor's context reaches far
    enough to hold all windows around it.  Packed (anchor, context) records are exchanged by
-   anchor hash; of records with one context (anchor and 128-bit name) all but the first are
+   anchor hash; of records with one context (anchor and 96-bit name) all but the first are
    repeats as a whole, which settles copies and the inside of long passages.
 2. *Index.*  Anchors with several contexts, about two per end of a repeated passage, are settled
    on the bytes: their contexts are exchanged by anchor, built into a run-length index in
@@ -16,7 +16,7 @@ that also starts earlier: in a document with a smaller doc_id, or earlier in the
 
 An anchor that a share of all documents has, a common line, would fill one task.  A sample of at
 most ``SAMPLE`` documents names such anchors, which only decides where records travel: their
-records are dealt by anchor and context, and their windows are compared by anchor and 128-bit name
+records are dealt by anchor and context, and their windows are compared by anchor and 96-bit name
 and reduced to the first of each before the exchange.  Any other anchor that turns out to have more
 contexts than ``crowd``, by default what one index holds, goes the same way after the first exchange,
 so no block grows beyond two of them.  Either way the result is the same.
@@ -32,7 +32,6 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,8 +49,9 @@ BLOCK = 1 << 19  # bytes that one index holds
 GROUPS = 2  # groups of documents per partition
 SPAN, HOT = 2, 1
 
-ENTRY = np.dtype([("a", "<u8"), ("c", "<u8"), ("e", "<u8"), ("doc", "<i8"), ("tag", "<u8"), ("g", "<u4"), ("start", "<u4"), ("size", "u1"), ("flag", "u1")])
+ENTRY = np.dtype([("a", "<u8"), ("c", "<u8"), ("e", "<u4"), ("doc", "<i8"), ("tag", "<u8"), ("start", "<u4"), ("size", "u1"), ("flag", "u1")])
 FOUND = np.dtype([("a", "<u8"), ("doc", "<i8"), ("tag", "<u8"), ("start", "<u4"), ("end", "<u4"), ("kind", "u1")])
+CODE = np.uint64((1 << 32) - 1)  # lower half of a tag: Spark's hash of doc_id and text, which also deals the groups
 FACTORS = mix(np.arange(501, 540, dtype=np.uint64)) | np.uint64(1)
 SECOND = 20  # first factor of the other half of a name
 OTHER_SYMBOLS = mix(np.arange(8193, 8449, dtype=np.uint64))
@@ -79,7 +79,7 @@ def _run_hash(data: np.ndarray, width: int, symbols: np.ndarray = SYMBOLS, level
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
-    """Document, anchor hash, two halves of the context's name, context start and size of every anchor of a slice."""
+    """Document, anchor hash, 64 and 32 bits of the context's name, context start and size of every anchor of a slice."""
     n, wide = len(data), length - ANCHOR
     none = np.empty(0, np.int64)
     if n < length:
@@ -103,14 +103,19 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
             for k in range(cover + 1):  # runs at most ANCHOR apart cover the context
                 name = mix(name * factor + runs[start + (end - start - ANCHOR) * k // cover])
             halves.append(mix(name + shape))
-        return doc, mix(short[chosen]), *halves, start - offsets[doc], end - start
+        return doc, mix(short[chosen]), halves[0], halves[1] >> np.uint64(32), start - offsets[doc], end - start
 
 
-def _tags(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """64-bit checksums, half of them CRC-32, of which the order of texts under one doc_id follows."""
+def _tags(data: np.ndarray, offsets: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """64-bit checksums: CRC-32, which texts under one doc_id are ordered by, over ``code``."""
     view = memoryview(np.ascontiguousarray(data))
-    pairs = zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
-    return np.array([zlib.crc32(view[a:b]) << 32 | xxhash.xxh3_64_intdigest(view[a:b]) & 0xFFFFFFFF for a, b in pairs], np.uint64)
+    own = np.array([zlib.crc32(view[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], np.uint64)
+    return (own << np.uint64(32)) | code.astype(np.uint64)
+
+
+def _groups(entries: np.ndarray, count: int) -> np.ndarray:
+    """Group of the document of every record."""
+    return ((entries["tag"] & CODE) % np.uint64(count)).astype(np.int64)
 
 
 def _ids(array: pa.Array) -> np.ndarray:
@@ -121,7 +126,7 @@ def _ids(array: pa.Array) -> np.ndarray:
 def _repeated(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the first record of every (anchor, context), and of the others; one place twice is no repeat.
 
-    A 64-bit mix of the keys only gathers records; all 192 bits of anchor and name decide.
+    A 64-bit mix of the keys only gathers records; all 160 bits of anchor and name decide.
     """
     with np.errstate(over="ignore"):
         name = mix(entries["a"] * FACTORS[16] + entries["c"])
@@ -173,7 +178,7 @@ def _settle_locally(entries: np.ndarray) -> np.ndarray:
 def _bucket(entries: np.ndarray, count: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         spread = mix(np.where(entries["flag"] == 0, entries["a"], entries["a"] * FACTORS[17] + entries["c"]))
-        spread = np.where(entries["flag"] == SPAN, entries["g"], spread)
+        spread = np.where(entries["flag"] == SPAN, entries["tag"] & CODE, spread)
     return (spread % np.uint64(count)).astype(np.int64)
 
 
@@ -204,9 +209,8 @@ def _settle(batches, groups: int, crowd: int):
         _as_found(spans, 0, spans["c"]), _as_found(cold, 1, cold["start"] + cold["size"]),
         _as_found(many, 2, many["start"] + many["size"]),
     ])
-    group = np.concatenate([spans["g"], cold["g"], many["g"]])
     if len(found):
-        yield packed(found, group, groups)
+        yield packed(found, _groups(found, groups), groups)
 
 
 def _frequent(docs: DataFrame, total: int, sample: int) -> np.ndarray:
@@ -237,24 +241,25 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
     parts = partitions(spark)
     groups, wide = GROUPS * parts, 2 * length - ANCHOR
     crowd = BLOCK // wide if crowd is None else crowd
-    group = fresh("g", docs.columns)
+    code = fresh("code", docs.columns)
+    group = fresh("g", [*docs.columns, code])
     ids = F.col(doc_id).cast("bigint")
-    dealt = docs.withColumn(group, F.pmod(F.xxhash64(ids, F.col(text)), F.lit(groups)).cast("int"))
-    narrow = dealt.select(F.col(group).alias("g"), ids.alias("doc"), F.col(text).alias("text"))
+    dealt = docs.withColumn(code, F.xxhash64(ids, F.col(text)).bitwiseAND(F.lit(int(CODE)).cast("bigint")))
+    dealt = dealt.withColumn(group, F.pmod(code, F.lit(groups)).cast("int"))
+    narrow = dealt.select(F.col(group).alias("g"), ids.alias("doc"), F.col(text).alias("text"), F.col(code).alias("code"))
     frequent = spark.sparkContext.broadcast(_frequent(narrow, docs.select(doc_id).count(), sample))
 
     def gather(batches):
         common = frequent.value
         for batch in batches:
-            doc_ids, group_ids = _ids(batch.column(1)), np.asarray(batch.column(0))
-            for first, _, data, offsets in text_slices(batch.column(2)):
+            doc_ids, codes = _ids(batch.column(1)), np.asarray(batch.column(3))
+            for first, end, data, offsets in text_slices(batch.column(2)):
                 doc, a, c, e, start, size = anchors(data, offsets, length)
                 if not len(doc):
                     continue
                 entries = np.empty(len(doc), ENTRY)
                 entries["a"], entries["c"], entries["e"], entries["start"], entries["size"] = a, c, e, start, size
-                entries["doc"], entries["g"] = doc_ids[first + doc], group_ids[first + doc]
-                entries["tag"] = _tags(data, offsets)[doc]
+                entries["doc"], entries["tag"] = doc_ids[first + doc], _tags(data, offsets, codes[first:end])[doc]
                 place = np.minimum(np.searchsorted(common, a), max(len(common) - 1, 0))
                 entries["flag"] = (common[place] == a) * HOT if len(common) else 0
                 entries = _settle_locally(entries)
@@ -263,55 +268,44 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
     met = exchange(narrow.mapInArrow(gather, packed_schema(ENTRY)), parts)
     found = keep(met.mapInArrow(lambda b: _settle(b, groups, crowd), packed_schema(FOUND)), "repeats-found")
 
-    segment = np.dtype([*ENTRY.descr, ("body", f"V{wide}")])
+    bodied = packed_schema(ENTRY) + ", body binary"
 
     def extract(left: pa.Table, right: pa.Table) -> pa.RecordBatch:
         wanted = records([right], FOUND) if right.num_rows else np.empty(0, FOUND)
         wanted = wanted[wanted["kind"] > 0]
         if not len(wanted) or not left.num_rows:
-            return packed(np.empty(0, segment), np.empty(0, np.int64), groups)
-        doc_ids, data, offsets, tags = _rows(left, "doc", "text")
+            return _with_bodies(np.empty(0, ENTRY), np.empty((0, wide), np.uint8), groups)
+        doc_ids, data, offsets, tags = _rows(left, "doc", "text", "code")
         row = _lookup(doc_ids, tags, wanted)
         begin = offsets[row] + wanted["start"]
         size = (wanted["end"] - wanted["start"]).astype(np.int64)
         cold = wanted["kind"] == 1
-        out = np.zeros(int(cold.sum()), segment)
-        _copy(out, wanted[cold], left.column("g")[0].as_py())
+        out = _copy(wanted[cold])
         out["size"] = size[cold]
-        body = data[np.minimum(begin[cold][:, None] + np.arange(wide), len(data) - 1)]
-        out["body"] = np.ascontiguousarray(body).view(f"V{wide}").reshape(-1)
-        many = size[~cold] - length + 1
-        origin = np.repeat(np.arange(len(many)), np.maximum(many, 0))
-        shift = np.arange(len(origin)) - np.repeat(np.cumsum(np.maximum(many, 0)) - np.maximum(many, 0), np.maximum(many, 0))
-        windows = np.zeros(len(origin), ENTRY)
-        if len(origin):
-            source = wanted[~cold][origin]
-            _copy(windows, source, left.column("g")[0].as_py())
-            windows["start"] = source["start"] + shift
-            windows["size"], windows["flag"] = length, HOT
-            windows["c"], windows["e"] = _window_names(data, begin[~cold][origin] + shift, length)
-            windows = _settle_locally(windows)
-        both = np.zeros(len(windows) + len(out), segment)
-        for name in ENTRY.names:
-            both[name][: len(windows)], both[name][len(windows) :] = windows[name], out[name]
-        both["body"][len(windows) :] = out["body"]
-        return packed(both, _bucket(both, groups), groups)
+        body = np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(wide, np.uint8)]), wide)[begin[cold]]
+        many = np.maximum(size[~cold] - length + 1, 0)
+        origin = np.repeat(np.arange(len(many)), many)
+        shift = np.arange(len(origin)) - np.repeat(np.cumsum(many) - many, many)
+        windows = _copy(wanted[~cold][origin])
+        windows["start"] += shift.astype(np.uint32)
+        windows["size"], windows["flag"] = length, HOT
+        windows["c"], windows["e"] = _window_names(data, begin[~cold][origin] + shift, length)
+        return _with_bodies(np.concatenate([_settle_locally(windows), out]), body, groups)
 
     open_groups = found.withColumnRenamed("bucket", "g")
     segments = narrow.groupBy("g").cogroup(open_groups.groupBy("g")).applyInArrow(
-        lambda left, right: pa.Table.from_batches([extract(left, right)]), packed_schema(segment)
+        lambda left, right: pa.Table.from_batches([extract(left, right)]), bodied
     )
 
     def compare(batches):
-        both = records(batches, segment)
-        windows = np.empty(int((both["flag"] != 0).sum()), ENTRY)
-        for name in ENTRY.names:
-            windows[name] = both[name][both["flag"] != 0]
-        spans = windows[windows["flag"] == SPAN]
-        windows = windows[windows["flag"] == HOT]
-        spans = np.concatenate([spans, _spans(windows[_repeated(windows)[1]]), *_indexed(both[both["flag"] == 0], length)])
+        batches = list(batches)
+        both = records(batches, ENTRY)
+        bodies = [unpack(b.column(b.schema.get_field_index("body")))[0] for b in batches]
+        body = (np.concatenate(bodies) if bodies else np.empty(0, np.uint8)).reshape(-1, wide)
+        spans, windows = both[both["flag"] == SPAN], both[both["flag"] == HOT]
+        spans = np.concatenate([spans, _spans(windows[_repeated(windows)[1]]), *_indexed(both[both["flag"] == 0], body, length)])
         if len(spans):
-            yield packed(_as_found(spans, 0, spans["c"]), spans["g"], groups)
+            yield packed(_as_found(spans, 0, spans["c"]), _groups(spans, groups), groups)
 
     settled = keep(exchange(segments, parts).mapInArrow(compare, packed_schema(FOUND)), "repeats-settled")
 
@@ -326,23 +320,34 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
 
     def remove(left: pa.Table, right: pa.Table) -> pa.Table:
         spans = records([right], FOUND) if right.num_rows else np.empty(0, FOUND)
-        return _removed(left, spans[spans["kind"] == 0], id_name, text_name, columns, names)
+        return _removed(left, spans[spans["kind"] == 0], id_name, text_name, code, columns, names)
 
     every = found.unionByName(settled).withColumnRenamed("bucket", group)
     return dealt.groupBy(group).cogroup(every.groupBy(group)).applyInArrow(remove, schema)
 
 
-def _copy(out: np.ndarray, wanted: np.ndarray, group: int) -> None:
+def _copy(wanted: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(wanted), ENTRY)
     for name in ("a", "doc", "tag", "start"):
         out[name] = wanted[name]
-    out["g"] = group
+    return out
+
+
+def _with_bodies(entries: np.ndarray, body: np.ndarray, groups: int) -> pa.RecordBatch:
+    """Packed records, with the bytes of those that carry no flag, in their order."""
+    bucket = _bucket(entries, groups)
+    rows, own = packed(entries, bucket, groups), bucket[entries["flag"] == 0]
+    used = np.asarray(rows.column(0)).astype(np.int64)
+    bounds = np.concatenate([[0], np.cumsum(np.bincount(own, minlength=groups)[used])])
+    column = binary_rows(body[np.argsort(own, kind="stable")].reshape(-1), bounds * body.shape[1])
+    return pa.RecordBatch.from_arrays([*rows.columns, column], names=[*rows.schema.names, "body"])
 
 
-def _rows(left: pa.Table, doc_id: str, text: str):
+def _rows(left: pa.Table, doc_id: str, text: str, code: str):
     ids = left.column(doc_id).combine_chunks()
     doc_ids = _ids(ids.cast(pa.int64()))
     data, offsets = unpack(left.column(text))
-    return doc_ids, data, offsets, _tags(data, offsets)
+    return doc_ids, data, offsets, _tags(data, offsets, np.asarray(left.column(code)))
 
 
 def _lookup(doc_ids: np.ndarray, tags: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -352,7 +357,7 @@ def _lookup(doc_ids: np.ndarray, tags: np.ndarray, wanted: np.ndarray) -> np.nda
 
 
 def _window_names(data: np.ndarray, begin: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """128-bit names of windows, in halves."""
+    """64 and 32 bits of the names of windows."""
     name, other = np.zeros(len(begin), np.uint64), np.zeros(len(begin), np.uint64)
     with np.errstate(over="ignore"):
         for j in range(0, length, 8):
@@ -361,23 +366,23 @@ def _window_names(data: np.ndarray, begin: np.ndarray, length: int) -> tuple[np.
                 part = (part << np.uint64(8)) | data[begin + k].astype(np.uint64)
             name = mix(name * FACTORS[18] + part)
             other = mix((other ^ part) * FACTORS[SECOND + 18])
-    return name, other
+    return name, other >> np.uint64(32)
 
 
-def _indexed(segments: np.ndarray, length: int) -> list[np.ndarray]:
+def _indexed(segments: np.ndarray, body: np.ndarray, length: int) -> list[np.ndarray]:
     """Span records of what the index finds, block by block; the contexts of an anchor stay together."""
-    segments = segments[np.argsort(segments["a"], kind="stable")]
+    order = np.argsort(segments["a"], kind="stable")
+    segments = segments[order]
     out = []
     start = 0
-    wide = segments.dtype["body"].itemsize
+    wide = body.shape[1]
     while start < len(segments):
         end = min(len(segments), start + max(1, BLOCK // wide))
         if end < len(segments):
             end = int(np.searchsorted(segments["a"], segments["a"][end - 1], side="right"))
-        block = segments[start:end]
+        block, rows = segments[start:end], body[order[start:end]]
         start = end
         size = block["size"].astype(np.int64)
-        rows = np.ascontiguousarray(block["body"]).view(np.uint8).reshape(len(block), wide)
         inside = np.arange(wide)[None, :] < size[:, None]
         pair = np.empty(len(block), [("doc", "<i8"), ("tag", "<u8")])
         pair["doc"], pair["tag"] = block["doc"], block["tag"]
@@ -390,16 +395,16 @@ def _indexed(segments: np.ndarray, length: int) -> list[np.ndarray]:
         owner = np.repeat(np.arange(len(block)), size)[hits]
         shift = hits - (np.cumsum(size) - size)[owner]
         spans = np.zeros(len(hits), ENTRY)
-        for name in ("doc", "tag", "g"):
+        for name in ("doc", "tag"):
             spans[name] = block[name][owner]
         spans["start"], spans["size"] = block["start"][owner] + shift, length
         out.append(_spans(spans))
     return out
 
 
-def _removed(left: pa.Table, spans: np.ndarray, doc_id: str, text: str, columns: list[str], names: list[str]) -> pa.Table:
+def _removed(left: pa.Table, spans: np.ndarray, doc_id: str, text: str, code: str, columns: list[str], names: list[str]) -> pa.Table:
     """The documents of a group with their spans and what is kept of them."""
-    doc_ids, data, offsets, tags = _rows(left, doc_id, text)
+    doc_ids, data, offsets, tags = _rows(left, doc_id, text, code)
     kept, start, end = _joined(spans["doc"], spans["tag"], spans["start"], spans["end"])
     by_doc: dict[tuple[int, int], list[int]] = {}
     for i, (d, t) in enumerate(zip(spans["doc"][kept].tolist(), spans["tag"][kept].tolist(), strict=True)):

@@ -234,15 +234,23 @@ def test_repeats_need_the_whole_name():
     assert sorted(first.tolist()) == [1, 2, 3] and rest.tolist() == [0]
 
 
-def test_texts_with_one_crc_are_told_apart():
+def test_texts_with_one_crc_are_told_apart(spark):
+    """Rows without doc_id whose texts share their CRC-32 get the spans of their own texts."""
     seen = {}
     for i in range(400_000):
-        text = b"%x" % (i * 2_654_435_761)
-        other = seen.setdefault(zlib.crc32(text), text)
+        text = "%x" % (i * 2_654_435_761)
+        other = seen.setdefault(zlib.crc32(text.encode()), text)
         if other != text:
             break
-    tags = repeats._tags(np.frombuffer(text + other, np.uint8), np.array([0, len(text), len(text) + len(other)]))
-    assert zlib.crc32(text) == zlib.crc32(other) and tags[0] != tags[1]
+    assert zlib.crc32(text.encode()) == zlib.crc32(other.encode())
+    shared = "and now for the passage of over one hundred bytes that the second of the two rows below shares with a longer third one"
+    tail = shared[:118]
+    rows = [(None, text + tail), (None, other + tail), (5, shared)]
+    assert zlib.crc32(rows[0][1].encode()) == zlib.crc32(rows[1][1].encode())
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.text): (bytes(r.kept), len(r.spans)) for r in repeats.repeats(docs).collect()}
+    whole = [got[None, t] for t in (text + tail, other + tail)]
+    assert sorted(n for _, n in whole) == [0, 1] and got[5, shared][1] == 1
 
 
 def test_repeats_empty_table(empty):
