@@ -14,10 +14,11 @@ from firmament.operators.skew import top_k_per_group
 from firmament.session import cut
 
 
-def page_card_links(pages: DataFrame, rules: DataFrame) -> DataFrame:
+def page_card_links(pages: DataFrame, rules: DataFrame, *also: str) -> DataFrame:
     """Listing pages with the array of card URLs their site's rule accepts.
 
-    ``pages(site_key, page_no, html, ...)``; ``rules`` is the bounded rule table.
+    ``pages(site_key, page_no, html, ...)``; ``rules`` is the bounded rule table; columns
+    named in ``also`` are kept.
     """
 
     def slug_of(path):
@@ -43,7 +44,7 @@ def page_card_links(pages: DataFrame, rules: DataFrame) -> DataFrame:
         ).otherwise(U.resolve(F.concat("origin", F.lit("/")), path))
 
     urls = F.array_distinct(F.transform(F.filter(H.links("html"), accept), card_url))
-    return pages.join(rules, "site_key").select("site_key", "page_no", urls.alias("links"))
+    return pages.join(rules, "site_key").select("site_key", "page_no", *also, urls.alias("links"))
 
 
 def extract_links(pages: DataFrame, rules: DataFrame) -> DataFrame:

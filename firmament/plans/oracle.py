@@ -349,6 +349,10 @@ ORACLE = {
     "discovered_frontier": f"""WITH {CATALOG} SELECT url, arg_min(l.site_key, lpad(CAST(l.page_no AS VARCHAR), 9, '0') || l.site_key) AS site_key,
         'pending' AS status, 0 AS attempts FROM links l JOIN usable u ON u.site_key = l.site_key AND u.page_no = l.page_no
         WHERE url NOT IN (SELECT url FROM {OUTCOMES} o) GROUP BY url""",
+    "catalogue_links": f"""SELECT site_key, page_no, CASE site_key WHEN 'chop.moscow' THEN 'https://chop.moscow/catalog/firm-' || custkey || '/'
+          WHEN 'prochop.ru' THEN 'https://prochop.ru/chops/firm-' || custkey || '/'
+          WHEN 'russkiisoyuz' THEN 'https://xn--g1abdcwihado2k.xn--p1ai/services/' || custkey || '/guard'
+          ELSE 'https://xn--b1ag1aeh1b4a.xn--p1ai/chop/firm-' || custkey || '/' END AS url FROM ({views.FX_CATALOGUES}) c""",
     "page_emails": f"SELECT page_id, unnest({found_emails(page_text('html'))}) AS email FROM pages",
     "page_phones": f"SELECT page_id, unnest({found_phones(page_text('html'))}) AS phone FROM pages",
     "doc_contacts": f"""WITH e AS (SELECT doc_id, list_filter({found_emails('text')}, lambda e: {valid_email('e', CORPUS_LOCALS, CORPUS_DOMAINS)} = 1) AS es,
@@ -486,6 +490,9 @@ ORACLE = {
         CAST(page_id % 7 AS INTEGER) AS page_no, md5(html) AS html_md5 FROM pages""",
     "response_store": f"""SELECT provider, inn, {seconds('fetched_at')} AS fetched_at, payload FROM {RESPONSES} r
         WHERE CAST(inn AS BIGINT) % 7 <> 0 AND payload IS NOT NULL""",
+    "report_file": f"SELECT company_id, part, name, address, nullif(phones, '') AS phones, nullif(sources, '') AS sources FROM ({report()}) r",
+    "value_lists": """SELECT c_custkey AS custkey, CASE WHEN c_custkey % 4 > 1 THEN c_mktsegment ELSE '' END AS one,
+        concat_ws('|', CASE WHEN c_custkey % 4 > 1 THEN c_mktsegment END, CASE WHEN c_custkey % 3 = 0 THEN c_name || '|' || c_mktsegment END) AS both FROM customer""",
     "usable_pages": f"""SELECT page_id, final_url, content_type FROM ({views.FX_REDIRECTS}) r
         WHERE page_id % 5 IN (0, 1, 3) AND page_id % 4 IN (0, 2)""",
     "outgoing_links": f"""SELECT custkey,
@@ -525,3 +532,4 @@ ORACLE = {
         {report('up', cells('kc', 'kk', 'ks'))}""",
 }
 ORACLE["stats_file"] = ORACLE["crawl_stats"]
+ORACLE["stream_discovery"] = ORACLE["discovered_frontier"]

@@ -18,7 +18,12 @@ from firmament.session import cut
 
 def discover(listing_pages: DataFrame, rules: DataFrame, frontier: DataFrame) -> DataFrame:
     """Listing pages to new frontier rows, catalogue loops cut off."""
-    linked = cut(page_card_links(listing_pages, rules))
+    return frontier_rows(page_card_links(listing_pages, rules), frontier)
+
+
+def frontier_rows(page_links: DataFrame, frontier: DataFrame) -> DataFrame:
+    """New frontier rows out of the links of listing pages; the first site of an address wins."""
+    linked = cut(page_links)
     usable = catalog_stop(linked).select("site_key", "page_no")
     links = link_rows(linked.join(usable, ["site_key", "page_no"], "left_semi"))
     return insert_links(frontier, links.withColumnRenamed("page_no", "arrival"))

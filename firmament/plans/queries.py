@@ -13,10 +13,11 @@ from firmament.functions.contacts import is_valid_email
 from firmament.operators import cards, children, dedup, enrich, extract, frontier, match, quality, report, upsert
 from firmament.operators.records import website_groups as grouped_websites
 from firmament.plans import phases, views
-from firmament.schemas import COMPANIES, empty_master
+from firmament.schemas import COMPANIES, PAGES, empty_master
 from firmament.session import cut, new_folder
 from firmament.sources import sites, snapshots
-from firmament.sources.registry import RegistryStore, write_stats
+from firmament.sources.registry import RegistryStore, read_report, write_report, write_stats
+from firmament.streaming import discovery as stream_discovery_job
 from firmament.streaming import frontier as stream_frontier_job
 from firmament.streaming import upsert as stream_upsert_job
 
@@ -89,6 +90,19 @@ def email_validity(spark):
     )
 
 
+@query
+def value_lists(spark):
+    """Fields that come as a scalar, blank or missing in one place and as a list in another, as one list."""
+    rows = spark.table("customer").select(
+        "c_custkey", F.when(F.col("c_custkey") % 4 == 0, "   ").when(F.col("c_custkey") % 4 != 1, F.col("c_mktsegment")).alias("one"),
+        F.when(F.col("c_custkey") % 3 == 0, F.array("c_name", "c_mktsegment")).alias("many"),
+    )
+    return rows.select(
+        F.col("c_custkey").alias("custkey"), joined(N.as_list("one"), "|").alias("one"),
+        joined(F.concat(N.as_list("one"), N.list_or_empty("many")), "|").alias("both"),
+    )
+
+
 @query
 def status_labels(spark):
     status = R.report_status("status_official", "liquidation_date", "inn")
@@ -164,6 +178,12 @@ def discovered_frontier(spark):
     return phases.discover(spark.sql(views.FX_CATALOG), rules, frontier.fold_outcomes(views.outcomes(spark)))
 
 
+@query
+def catalogue_links(spark):
+    """Card links of the four real catalogue layouts, by their own rules."""
+    return extract.extract_links(spark.sql(views.FX_CATALOGUES), sites.link_rules(spark))
+
+
 @query
 def page_emails(spark):
     return spark.table("pages").select("page_id", F.explode(extract.page_emails("html")).alias("email"))
@@ -708,6 +728,17 @@ def stats_file(spark):
     return spark.read.schema(stats.schema).json(folder)
 
 
+@query
+def report_file(spark):
+    """The report as a file with a header, read back by its names; an empty report leaves no file."""
+    wide = report.registry_report(views.master(spark)).select("company_id", "part", "name", "address", "phones", "sources")
+    folder = new_folder(spark, "report")
+    if write_report(wide.filter(F.lit(False)), folder):
+        raise RuntimeError("an empty report was written")
+    write_report(wide, folder)
+    return read_report(spark, folder, wide.schema)
+
+
 @query
 def usable_pages(spark):
     """Pages that stayed on their site and hold text, out of redirects of five kinds."""
@@ -746,6 +777,19 @@ def stream_frontier(spark, sf_dir):
     return state.withColumn("updated_at", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss"))
 
 
+@query
+def stream_discovery(spark):
+    """Listing pages land out of order in three deliveries, some first as an empty answer; one delivery comes twice."""
+    inbox, folder, checkpoint = (new_folder(spark, name) for name in ("pages", "discovered", "progress"))
+    landed = spark.sql(views.FX_LANDED)
+    fields = [F.col(f.name).cast(f.dataType) if f.name in landed.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in PAGES]
+    rules = sites.link_rules(spark, CORPUS_SITES, CORPUS_RULES)
+    for part in (2, 0, 1, 0):
+        snapshots.append_pages(landed.filter(F.col("delivery") == part).select(*fields), inbox)
+        stream_discovery_job.start_discovery(snapshots.stream_pages(spark, inbox), rules, folder, checkpoint).awaitTermination()
+    return stream_discovery_job.read_discovered(spark, folder, frontier.fold_outcomes(views.outcomes(spark)))
+
+
 @query
 def stream_upsert(spark):
     """Records arrive as files in two deliveries and pass through the streaming upsert."""

@@ -182,6 +182,27 @@ SELECT concat('site', CAST(page_id % 10 AS VARCHAR(20))) AS site_key,
   FROM pages
 """
 
+# The same pages as they land: a later fetch of every third one follows an empty answer.
+FX_LANDED = f"""
+SELECT site_key, page_no, site_no * 1000000 + page_no AS page_id, CAST('2024-03-02 00:00:00' AS TIMESTAMP) AS fetched_at, html, (site_no + page_no) % 3 AS delivery
+  FROM (SELECT c.*, CAST(substr(site_key, 5) AS BIGINT) AS site_no FROM ({FX_CATALOG}) c) p
+UNION ALL
+SELECT site_key, page_no, 0 AS page_id, CAST('2024-03-01 00:00:00' AS TIMESTAMP) AS fetched_at, '' AS html, page_no % 3 AS delivery
+  FROM ({FX_CATALOG}) c WHERE page_no % 3 = 0
+"""
+
+# Listing pages of the real catalogues: cards of all layouts, with words that are no cards, among other links.
+FX_CATALOGUES = """
+SELECT c_custkey AS custkey, CAST(c_custkey AS INTEGER) AS page_no,
+       CASE c_custkey % 5 WHEN 0 THEN 'chop.moscow' WHEN 1 THEN 'prochop.ru' WHEN 2 THEN 'vsechopy-mo' WHEN 3 THEN 'vsechopy-urfo' ELSE 'russkiisoyuz' END AS site_key,
+       concat('<p>', c_name, '</p><a href="/catalog/firm-', num, '/">a</a> <a href="/catalog/page/">2</a> <a href="/catalog/firm-', num, '">again</a>',
+              '<a href="/catalog/city/', num, '/">deep</a><A HREF="/chops/firm-', num, '">b</A><a href="/chops/tag/">tag</a>',
+              '<a class="card title wide" href="/services/', num, '/guard?from=list">c</a><a href="/services/', num, '/plain">no class</a>',
+              '<a class="title" href="/about/', num, '">no service</a><a class="subtitle" href="/services/', num, '/sub">other class</a>',
+              '<a href="/chop/city/">city</a><a href="/chop/firm-', num, '/">d</a><a href="">none</a>') AS html
+  FROM (SELECT customer.*, CAST(c_custkey AS VARCHAR(20)) AS num FROM customer) c
+"""
+
 # Landed pages of company sites: the main page and a contact page, some on http only.
 FX_SITE_PAGES = """
 SELECT concat(CASE WHEN page_id % 3 = 0 THEN 'http' ELSE 'https' END, '://site', CAST(page_id AS VARCHAR(20)), '.example.net') AS url, html

@@ -223,6 +223,11 @@ def write_report(report: DataFrame, path: str, fmt: str = "csv") -> bool:
     return True
 
 
+def read_report(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A report written as CSV; cells hold line ends, so a file is read by one task."""
+    return spark.read.schema(schema).options(header=True, escape='"', multiLine=True).csv(path)
+
+
 def write_stats(stats: DataFrame, path: str) -> None:
     """One JSON object per site."""
     stats.write.mode("overwrite").json(path)

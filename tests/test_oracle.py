@@ -19,7 +19,7 @@ QUICK = [
     "child_contacts", "dedup_website", "name_phone_edges", "registry_report", "report_parts", "report_filtered",
     "provider_chain", "official_update", "quota_assignment", "frontier_state", "pending_batch", "crawl_stats",
     "snapshot_history", "quality_uniqueness", "cards_site_a", "cards_site_b", "cards_site_c", "cards_site_d", "protected_contacts",
-    "scan_totals",
+    "scan_totals", "catalogue_links", "stream_discovery", "report_file", "value_lists",
 ]
 
 

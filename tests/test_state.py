@@ -2,15 +2,19 @@
 
 import datetime as dt
 import json
+import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from firmament.operators import enrich, frontier, report, skew, upsert
 from firmament.operators.filters import contains_text, sort_columns
-from firmament.schemas import COMPANIES, LISTINGS, Master, empty_master
+from firmament.plans import phases
+from firmament.schemas import COMPANIES, LISTINGS, PAGES, Master, empty_master
 from firmament.session import new_folder
-from firmament.sources import registry, snapshots
+from firmament.sources import registry, sites, snapshots
+from firmament.streaming import discovery
 from firmament.streaming import frontier as sf
 from firmament.streaming import upsert as su
 from tests.test_resolve import frame, listing, master_of
@@ -73,6 +77,37 @@ def test_catalog_stop(spark):
     assert got == {("s", 1), ("s", 2), ("e", 1), ("o", 1), ("o", 2)}
 
 
+def test_streamed_discovery_equals_the_batch_job(spark, tmp_path):
+    """Pages in any order and split, fetched again and delivered again, give the rows of one batch."""
+    def page(site, no, *links, day=2):
+        html = "".join(f'<a href="/firm/{x}/">x</a>' for x in links)
+        return Row(site_key=site, page_no=no, page_id=no * 10 + day, fetched_at=T0 + dt.timedelta(days=day), html=html)
+
+    rules = sites.link_rules(
+        spark, [("s", "http://s/", "r", "{page}"), ("o", "http://o/", "r", "{page}")], [("r", "http://s", None, "^/firm/([a-z]+)/$", ["skip"], "/firm/")])
+    known = spark.createDataFrame([("http://s/firm/old/",)], "url string")
+    pages = [page("s", 1, "a", "old"), page("s", 2, "b", "skip"), page("s", 3, "c"), page("s", 4, "b"), page("s", 5, "z"), page("o", 1, "b"), page("o", 2), page("o", 3, "y")]
+    stale = [page("s", 1, day=1), page("s", 3, "b", day=1), page("o", 2, "q", day=1)]
+    batch = phases.discover(spark.createDataFrame(pages), rules, known)
+    want = sorted(map(tuple, batch.collect()))
+    assert [w[0] for w in want] == [f"http://s/firm/{x}/" for x in "abc"] and want[1][1] == "o"
+
+    landing = pages + stale
+    for trial, cuts in enumerate(([11], [3, 8, 11], list(range(1, 12)))):
+        order = random.Random(trial).sample(landing, len(landing))
+        folder, inbox, progress = (str(tmp_path / f"{name}{trial}") for name in ("links", "inbox", "progress"))
+        assert discovery.read_discovered(spark, folder, known).collect() == []
+        for a, b in zip([0, *cuts], cuts):
+            part = spark.createDataFrame(order[a:b])
+            missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in PAGES if f.name not in part.columns]
+            part.select(*[F.col(f.name).cast(f.dataType) for f in PAGES if f.name in part.columns], *missing).select(*PAGES.names).write.mode("append").parquet(inbox)
+            if len(cuts) < 5 or b == cuts[-1]:
+                discovery.start_discovery(snapshots.stream_pages(spark, inbox), rules, folder, progress).awaitTermination()
+        assert sorted(map(tuple, discovery.read_discovered(spark, folder, known).collect())) == want
+    discovery.discovery_sink(folder, rules)(spark.createDataFrame(landing), 0)  # a replay
+    assert sorted(map(tuple, discovery.read_discovered(spark, folder, known).collect())) == want
+
+
 def test_top_k_with_hot_group(spark):
     rows = spark.range(5000).select(F.when(F.col("id") < 4000, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7)).alias("g"), F.col("id").cast("string").alias("url"))
     got = skew.top_k_per_group(rows, ["g"], [F.col("url")], 5, "url").collect()
