@@ -233,8 +233,11 @@ def _frequent(docs: DataFrame, total: int, sample: int) -> np.ndarray:
 
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, sample: int = SAMPLE,
-            crowd: int | None = None) -> DataFrame:
-    """All rows and columns with ``spans`` (removed byte ranges) and ``kept`` (the other bytes)."""
+            crowd: int | None = None, readable: bool = False) -> DataFrame:
+    """All rows and columns with ``spans`` (removed byte ranges) and ``kept`` (the other bytes).
+
+    With ``readable``, ``kept`` is a string: a character that lost some of its bytes goes as a whole.
+    """
     if not 2 * ANCHOR <= length <= 150:
         raise ValueError("length must be between 96 and 150 bytes")
     spark = docs.sparkSession
@@ -313,14 +316,14 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
     schema = T.StructType([*docs.schema.fields,
                            T.StructField(names[0], T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()),
                                                                               T.StructField("end", T.IntegerType())]))),
-                           T.StructField(names[1], T.BinaryType())])
+                           T.StructField(names[1], T.StringType() if readable else T.BinaryType())])
     columns = list(docs.columns)
     lower = [c.lower() for c in columns]
     id_name, text_name = columns[lower.index(doc_id.lower())], columns[lower.index(text.lower())]
 
     def remove(left: pa.Table, right: pa.Table) -> pa.Table:
         spans = records([right], FOUND) if right.num_rows else np.empty(0, FOUND)
-        return _removed(left, spans[spans["kind"] == 0], id_name, text_name, code, columns, names)
+        return _removed(left, spans[spans["kind"] == 0], id_name, text_name, code, columns, names, readable)
 
     every = found.unionByName(settled).withColumnRenamed("bucket", group)
     return dealt.groupBy(group).cogroup(every.groupBy(group)).applyInArrow(remove, schema)
@@ -402,7 +405,15 @@ def _indexed(segments: np.ndarray, body: np.ndarray, length: int) -> list[np.nda
     return out
 
 
-def _removed(left: pa.Table, spans: np.ndarray, doc_id: str, text: str, code: str, columns: list[str], names: list[str]) -> pa.Table:
+def _readable(kept: pa.Array) -> pa.Array:
+    """The bytes as text, without those that are no whole character."""
+    data, offsets = unpack(kept)
+    body = data.tobytes()
+    return pa.array([body[a:b].decode("utf-8", "ignore") for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.string())
+
+
+def _removed(left: pa.Table, spans: np.ndarray, doc_id: str, text: str, code: str, columns: list[str], names: list[str],
+             readable: bool = False) -> pa.Table:
     """The documents of a group with their spans and what is kept of them."""
     doc_ids, data, offsets, tags = _rows(left, doc_id, text, code)
     kept, start, end = _joined(spans["doc"], spans["tag"], spans["start"], spans["end"])
@@ -421,7 +432,8 @@ def _removed(left: pa.Table, spans: np.ndarray, doc_id: str, text: str, code: st
                 removed[offsets[i] - base + end[k]] -= 1
         stays = np.cumsum(removed[:-1]) == 0
         before = np.concatenate([[0], np.cumsum(stays)])
-        parts.append(binary_rows(data[base : base + size][stays], before[offsets[first : last + 1] - base]))
+        kept_rows = binary_rows(data[base : base + size][stays], before[offsets[first : last + 1] - base])
+        parts.append(_readable(kept_rows) if readable else kept_rows)
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    arrays = [left.column(c) for c in columns] + [pa.array(listed, kind), pa.chunked_array(parts, pa.binary())]
+    arrays = [left.column(c) for c in columns] + [pa.array(listed, kind), pa.chunked_array(parts, pa.string() if readable else pa.binary())]
     return pa.table(arrays, names=[*columns, *names])

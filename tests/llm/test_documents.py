@@ -253,6 +253,15 @@ def test_texts_with_one_crc_are_told_apart(spark):
     assert sorted(n for _, n in whole) == [0, 1] and got[5, shared][1] == 1
 
 
+def test_repeats_as_text_drop_characters_cut_in_two(spark):
+    passage = "".join(chr(0x430 + k * 7 % 32) for k in range(80))
+    rows = [(1, "é" + passage + "а"), (2, "ы" + passage + "ж"), (3, None), (4, "")]  # both last ones begin with one byte
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r.doc_id: bytes(r.kept) for r in repeats.repeats(docs).collect()}[2] == "ы".encode() + "ж".encode()[1:]
+    got = {r.doc_id: r.kept for r in repeats.repeats(docs, readable=True).collect()}
+    assert got == {1: rows[0][1], 2: "ы", 3: "", 4: ""}
+
+
 def test_repeats_empty_table(empty):
     assert repeats.repeats(empty).collect() == []
 
