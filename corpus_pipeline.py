@@ -8,13 +8,11 @@ run; rows held out by the queries are held out here too.
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from firmament.llm import jaccard, langid, packing, quality, repeats
-from firmament.llm.common import append, fresh, id_crc32, keep, partitions, read_table, unpack
+from firmament.llm.common import fresh, id_crc32, keep, partitions, read_table
 
 MIXED = 0.4  # a document without a language of at least this probability is rejected
 
@@ -81,19 +79,11 @@ def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return one.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
-def _readable(kept: pa.Array) -> list[pa.Array]:
-    data, offsets = unpack(kept)
-    body = data.tobytes()
-    return [pa.array([body[a:b].decode("utf-8", "ignore") for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.string())]
-
-
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document has are cut out; a character cut in two goes as a whole."""
-    cut = repeats.repeats(docs)
-    kept = cut.columns[-1]
-    found, (left,) = append(cut, kept, [("left", T.StringType())], lambda: _readable)
-    body = F.when(F.col("text").isNotNull(), F.col(left))
-    new = found.withColumn("text", body)
+    cut = repeats.repeats(docs, readable=True)
+    body = F.when(F.col("text").isNotNull(), F.col(cut.columns[-1]))
+    new = cut.withColumn("text", body)
     if "n_chars" in docs.columns:
         new = new.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return new.select(*docs.columns)
