@@ -104,6 +104,14 @@ def test_cards(spark):
            emails=["s@sokol.ru"], website="sokol.ru")
 
 
+def test_reference_needs_its_semicolon(spark):
+    html = """<h1>a &amp;&amp; b&amp &am &notit; &copy; &#64; &amp;#65;</h1><a class="sitech" href="https://x.ru/?a=1&copy=2&amp;b">s</a>"""
+    pages = spark.createDataFrame([("u", "k", "site_a", "2024-01-01", 1, html)],
+                                  "url string, site_key string, rule_key string, scrape_date string, ingest_seq long, html string")
+    row = cards.extract_cards(pages).first()
+    assert (row.name, row.website) == ("a && b&amp &am &notit; © @ &#65;", "https://x.ru/?a=1&copy=2&b")
+
+
 def test_closed_badge_wins(spark):
     page = "<h1>Имя</h1><i class='cloze-perhaps'></i><i class='cloze'></i>"
     pages = spark.createDataFrame([("u", "s", "site_a", "2024-01-01", 1, page)],
