@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from firmament import fixed_values as fv
 from firmament.functions.contacts import decode_protected_email, format_phone
-from firmament.functions.normalize import col, strip
+from firmament.functions.normalize import col, let, strip
 
 # One tag; attribute values may hold ">" inside quotes.  The plain second form
 # takes over where quotes do not balance.
@@ -56,6 +56,11 @@ def unescape(c: Column | str) -> Column:
     return F.when(c.contains("&"), named).otherwise(c)
 
 
+def _unescaped_once(c: Column) -> Column:
+    """``unescape`` of a costly value, which is worked out once."""
+    return let(c, unescape)
+
+
 def without_hidden(html: Column | str) -> Column:
     """Page source without comments, scripts, styles and templates."""
     return F.regexp_replace(col(html), _HIDDEN, " ")
@@ -63,33 +68,31 @@ def without_hidden(html: Column | str) -> Column:
 
 def visible_text(html: Column | str) -> Column:
     """Text nodes of a page separated by blanks."""
-    return unescape(F.regexp_replace(without_hidden(html), _TAG, " "))
+    return _unescaped_once(F.regexp_replace(without_hidden(html), _TAG, " "))
 
 
 def _inner_text(fragment: Column) -> Column:
     """Text nodes of a fragment, each stripped, glued together."""
-    return unescape(F.array_join(F.transform(F.split(fragment, _TAG), strip), ""))
+    return _unescaped_once(F.array_join(F.transform(F.split(fragment, _TAG), strip), ""))
 
 
 def attribute(tag: Column, name: str) -> Column:
     """Value of an attribute of one start tag in any quoting style; empty when absent."""
     other = rf"""[\s"'/]*+(?!{name}\s*=)[^\s=>"'/]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]++))?+"""
-    pattern = (
-        rf"""(?is)^<[a-z][^\s>/]*+(?:{other})*+[\s"'/]*+{name}"""
-        r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))"""
-    )
-    return unescape(strip(F.concat(*[F.regexp_extract(tag, pattern, g) for g in (1, 2, 3)])))
+    value = r"""(?:"([^"]*)"|'([^']*)'|([^\s>]+))"""
+    # One match of the whole text, which leaves the value, or nothing where the attribute is absent.
+    pattern = rf"""(?is)\A(?:<[a-z][^\s>/]*+(?:{other})*+[\s"'/]*+{name}\s*=\s*{value}.*|.*)\z"""
+    return _unescaped_once(strip(F.regexp_replace(tag, pattern, "$1$2$3")))
 
 
-def links(html: Column | str) -> Column:
-    """``array<struct<href, class, text>>`` of the page's links in document order."""
+def links(html: Column | str, text: bool = True) -> Column:
+    """``array<struct<href, class, text>>`` of the page's links in document order; on request without ``text``."""
 
     def entry(anchor):
-        return F.struct(
-            attribute(anchor, "href").alias("href"),
-            attribute(anchor, "class").alias("class"),
-            _inner_text(F.regexp_replace(anchor, r"(?s)^" + _TAG, "")).alias("text"),
-        )
+        parts = [attribute(anchor, "href").alias("href"), attribute(anchor, "class").alias("class")]
+        if text:
+            parts.append(_inner_text(F.regexp_replace(anchor, r"(?s)^" + _TAG, "")).alias("text"))
+        return F.struct(*parts)
 
     found = F.regexp_extract_all(without_hidden(html), F.lit(_ANCHOR), F.lit(0))
     return F.filter(F.transform(found, entry), lambda a: a["href"] != "")

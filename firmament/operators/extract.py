@@ -21,30 +21,33 @@ def page_card_links(pages: DataFrame, rules: DataFrame, *also: str) -> DataFrame
     named in ``also`` are kept.
     """
 
-    def slug_of(path):
-        return F.call_function("regexp_extract", path, F.col("path_pattern"), F.lit(1))
+    # Rules without a prefix keep the path as it is; their pattern has no slug group.
+    prefixed = F.col("card_prefix").isNotNull()
+
+    def entry(a):
+        return let(
+            U.path(a["href"]),
+            lambda path: F.struct(
+                a["class"].alias("class"), path.alias("path"),
+                F.when(prefixed, F.call_function("regexp_extract", path, F.col("path_pattern"), F.lit(1))).alias("slug"),
+            ),
+        )
 
     def accept(a):
-        path = U.path(a["href"])
-        slug = slug_of(path)
         by_class = F.col("link_class").isNull() | F.array_contains(
             F.split(a["class"], r"\s+"), F.col("link_class")
         )
-        # Rules without a prefix keep the path as it is; their pattern has no slug group.
-        by_slug = F.when(F.col("card_prefix").isNull(), F.lit(True)).otherwise(
-            (slug != "") & ~F.array_contains(F.col("skip_slugs"), slug)
-        )
-        return by_class & F.regexp_like(path, F.col("path_pattern")) & by_slug
+        by_slug = ~prefixed | ((a["slug"] != "") & ~F.array_contains(F.col("skip_slugs"), a["slug"]))
+        return by_class & F.regexp_like(a["path"], F.col("path_pattern")) & by_slug
 
     def card_url(a):
-        path = U.path(a["href"])
         return F.when(
-            F.col("card_prefix").isNotNull(),
-            F.concat("origin", "card_prefix", slug_of(path), F.lit("/")),
-        ).otherwise(U.resolve(F.concat("origin", F.lit("/")), path))
+            prefixed,
+            F.concat("origin", "card_prefix", a["slug"], F.lit("/")),
+        ).otherwise(U.resolve(F.concat("origin", F.lit("/")), a["path"]))
 
-    urls = F.array_distinct(F.transform(F.filter(H.links("html"), accept), card_url))
-    return pages.join(rules, "site_key").select("site_key", "page_no", *also, urls.alias("links"))
+    urls = F.array_distinct(F.transform(F.filter(F.transform(H.links("html", text=False), entry), accept), card_url))
+    return pages.join(F.broadcast(rules), "site_key").select("site_key", "page_no", *also, urls.alias("links"))
 
 
 def extract_links(pages: DataFrame, rules: DataFrame) -> DataFrame:

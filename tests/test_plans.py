@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from firmament.operators import dedup, extract, match, report, upsert
+from firmament.plans import views
 from firmament.session import new_folder
 from firmament.sources import snapshots
 from tests.test_resolve import entities, frame, master_of
@@ -81,3 +82,12 @@ def test_hot_key_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_costly_tables_are_dealt_by_rows(spark):
+    """Neither one file of one row group nor a count of splits leaves the work to few tasks."""
+    cores = spark.sparkContext.defaultParallelism
+    assert views.spread(spark.range(0, 100, 1, 1), "customer").rdd.getNumPartitions() == cores
+    rows = 3 * cores * views.TASK_ROWS["pages"]
+    assert views.spread(spark.range(0, rows, 1, 2 * cores), "pages").rdd.getNumPartitions() == 3 * cores
+    assert views.spread(spark.range(0, 100, 1, 1), "nation").rdd.getNumPartitions() == 1
