@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from firmament.operators import cards, extract
+from firmament.operators import cards, dom, extract
 from firmament.operators.records import normalize_listings
 from firmament.sources import sites
 
@@ -186,3 +186,14 @@ def test_scan_accounts_for_every_company(spark):
     assert {r.url for r in kept.collect()} == {"https://firm.ru", "https://firm.ru/contacts"}
     added = spark.createDataFrame([(1, "email"), (1, "email"), (4, "phone")], "company_id long, contact_type string")
     assert tuple(extract.scan_totals(companies, pages, added).first()) == (4, 2, 2, 1)
+
+
+def test_plain_tags_give_the_nodes_of_the_parser():
+    plain = ["<!doctype html><title>a &lt b &lt;</title><script>var t='</p>'; a<b</script>x<br/><p class='a  b'>y<div Href=q id>z</DIV>",
+             "<ul><li>a<li>b</ul><!-- c --><td>d<template>e</template>&#64;&amp&copy;<a href=''>f</a></x>"]
+    other = ["<a href=/x/y>z</a>", "<p><!doctype html>", "<!-->x-->", "a<b", "<a b = 'c'>d", "</p class='x'>", "<script><!-- </script>", "<textarea><b></textarea>"]
+    for html in [*plain, *other, "", "<"]:
+        parser = dom._NodeList()
+        parser.feed(dom._references_only(html))
+        assert dom.page_nodes(html) == parser.finish(), html
+    assert all(dom._plain_nodes(html) is not None for html in plain) and not any(dom._plain_nodes(html) for html in other)
