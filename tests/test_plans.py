@@ -7,7 +7,7 @@ from firmament.operators import dedup, extract, match, report, upsert
 from firmament.plans import views
 from firmament.session import new_folder
 from firmament.sources import snapshots
-from tests.test_resolve import entities, frame, master_of
+from tests.test_resolve import assignment, entities, frame, listing, master_of
 
 
 def plan(df):
@@ -91,3 +91,18 @@ def test_costly_tables_are_dealt_by_rows(spark):
     rows = 3 * cores * views.TASK_ROWS["pages"]
     assert views.spread(spark.range(0, rows, 1, 2 * cores), "pages").rdd.getNumPartitions() == 3 * cores
     assert views.spread(spark.range(0, 100, 1, 1), "nation").rdd.getNumPartitions() == 1
+
+
+def test_rounds_of_resolution_keep_real_sizes(spark, monkeypatch):
+    """The estimated size of what rounds hand on was a product of all sizes joined, its digits multiplied by every round."""
+    bits, real = [], upsert._same_companies
+
+    def seen(a, b):
+        bits.extend(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() for df in (a, b))
+        return real(a, b)
+
+    monkeypatch.setattr(upsert, "_same_companies", seen)
+    phone = ["+7 (495) 111-22-33"]
+    rows = [listing(0, name="А", phones=phone, website="a.ru"), listing(1, inn="7700000001", website="a.ru"), listing(2, name="А", phones=phone, inn="7700000002")]
+    assert assignment(spark, rows) == {0: 0, 1: 0, 2: 2}
+    assert bits and max(bits) < 64
