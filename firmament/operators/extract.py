@@ -10,8 +10,11 @@ from firmament.functions import html as H
 from firmament.functions import urls as U
 from firmament.functions.contacts import is_valid_email
 from firmament.functions.normalize import let
-from firmament.operators.skew import top_k_per_group
-from firmament.session import cut
+from firmament.operators.skew import dealt, top_k_per_group
+from firmament.session import stored
+
+# Pages that one task of a site scan parses.
+PAGES_PER_TASK = 1000
 
 
 def page_card_links(pages: DataFrame, rules: DataFrame, *also: str) -> DataFrame:
@@ -149,15 +152,13 @@ def scan_sites(companies: DataFrame, pages: DataFrame, max_pages: int = 0, **lis
     ``companies(company_id, website)``, ``pages(url, html)`` with one row per URL.
     Returns ``(company_id, contact_type, value)``.  The HTML of a page is turned into
     contacts and links once and kept; only those narrow results are shuffled.  Pages of hosts
-    that no company asks for are left out before that, as main and contact pages share a host.
+    that no company asks for are left out before that, as main and contact pages share a host,
+    and the others are dealt again, since the join leaves them in tasks sized by their bytes.
     The main page is the https one when there is one.
     """
     wanted = main_addresses(companies)
-    digest = cut(
-        page_contacts(
-            pages_of_hosts(pages, wanted).select("url", "html", contact_links(F.col("url"), "html").alias("links")), **lists
-        )
-    )
+    asked = dealt(pages_of_hosts(pages, wanted).select("url", "html"), pages.count(), PAGES_PER_TASK, "url")
+    digest = stored(page_contacts(asked.withColumn("links", contact_links(F.col("url"), "html")), **lists))
     main = (
         wanted.join(digest, "url")
         .groupBy("company_id")

@@ -197,3 +197,26 @@ def test_plain_tags_give_the_nodes_of_the_parser():
         parser.feed(dom._references_only(html))
         assert dom.page_nodes(html) == parser.finish(), html
     assert all(dom._plain_nodes(html) is not None for html in plain) and not any(dom._plain_nodes(html) for html in other)
+
+
+def test_site_scan_parses_pages_in_tasks_of_bounded_size(spark, monkeypatch):
+    companies = spark.range(3000).select(F.col("id").alias("company_id"), F.concat(F.lit("firm"), "id", F.lit(".ru")).alias("website"))
+    pages = companies.select(F.concat(F.lit("https://"), "website").alias("url"), F.concat(F.lit("<p>mail a"), "company_id", F.lit("@firm.ru</p>")).alias("html"))
+    sizes, parse = [], extract.page_contacts
+
+    def counted(df, **lists):
+        sizes.extend(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+        return parse(df, **lists)
+
+    monkeypatch.setattr(extract, "page_contacts", counted)
+    monkeypatch.setattr(extract, "PAGES_PER_TASK", 250, raising=False)
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    try:
+        for key in keys:
+            spark.conf.set(key, "-1")
+        found = extract.scan_sites(companies, pages)
+        assert found.count() == 3000
+    finally:
+        for key in keys:
+            spark.conf.unset(key)
+    assert sum(sizes) == 3000 and max(sizes) < 400
