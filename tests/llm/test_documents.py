@@ -408,6 +408,38 @@ def test_word_scores_equal_brute_force(docs, rows, empty):
     assert lm.score_words(empty).collect() == []
 
 
+def shuffled(spark, frame):
+    """Rows of a frame, and the bytes its stages wrote for exchanges."""
+    spark.sparkContext.setJobGroup(frame_group := f"shuffled-{id(frame)}", "")
+    got = frame.collect()
+    spark.sparkContext.setJobGroup(None, None)
+    bus = spark.sparkContext._jsc.sc()
+    bus.listenerBus().waitUntilEmpty(30_000)
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for job in tracker.getJobIdsForGroup(frame_group) for s in tracker.getJobInfo(job).stageIds}
+    return got, sum(bus.statusStore().lastStageAttempt(s).shuffleWriteBytes() for s in stages)
+
+
+def test_word_scores_send_names_in_less_than_their_eight_bytes(spark):
+    """Names are sent as distances, counts and texts compressed; texts travel once."""
+    rng = random.Random(8)
+    texts = [" ".join(f"{rng.getrandbits(16):x}" for _ in range(400)) for _ in range(600)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(2).cache()
+    frame.count()
+    got, written = shuffled(spark, lm.score_words(frame))
+    assert len(got) == 600 and sum(r.n_grams for r in got) == 240_000
+    names = 600 * (400 + 399 + 398)
+    assert written < 8 * names
+
+
+def test_squeezed_numbers_come_back():
+    for values in ([], [0], [0, 0], [1, 255, 256, 2**40], [2**64 - 1, 0, 7], list(range(100_000))):
+        values = np.array(values, np.uint64)
+        data = lm.squeezed(values)
+        assert lm.unsqueezed(memoryview(data)).tolist() == values.tolist()
+    assert len(lm.squeezed(np.ones(100_000, np.uint64))) < 100
+
+
 def test_scores_of_the_query_see_the_order_of_words(spark, tmp_path):
     from firmament.llm.queries import QUERIES
 
