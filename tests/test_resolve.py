@@ -391,3 +391,11 @@ def test_merged_fields_keep_their_dates(spark):
     r = merged.dates.first()
     assert (r.company_id, r.name_date, r.director_date) == (2, "2023-01-01", "2023-03-01")
     assert [r.company_id for r in merged.retired.collect()] == [1]
+
+
+def test_later_rounds_work_on_what_changed(spark, monkeypatch):
+    asked, whole = [], upsert.parent_pointers
+    monkeypatch.setattr(upsert, "parent_pointers", lambda wanted, *rest: asked.append(wanted.count()) or whole(wanted, *rest))
+    rows = [listing(i, **r) for i, r in enumerate(CHAIN)] + [listing(100 + i, inn=f"78{i // 2:08d}") for i in range(60)]
+    assert assignment(spark, rows) == one_by_one(spark, rows)
+    assert len(asked) > 1 and asked[0] >= 60 and max(asked[1:]) < asked[0] - 60 + 1
